@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boxlake.schemas import INT32_MAX, INT32_MIN
+
 # Characters stripped from both ends of a text, and the accepted
 # spellings of the two truth values.
 BLANK_CODES = (
@@ -18,6 +20,8 @@ BLANK_CODES = (
 BLANKS = "".join(map(chr, BLANK_CODES))
 TRUE_TEXTS = ("true", "t", "1", "yes", "y")
 FALSE_TEXTS = ("false", "f", "0", "no", "n")
+# JSON texts of the values that do not count as given.
+FALSY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 
 
 def parse_document(text: Column) -> Column:
@@ -30,18 +34,30 @@ def get(value: Column, path: str, dtype: str = "variant") -> Column:
     return F.try_variant_get(value, path, dtype)
 
 
+def get_struct(value: Column, path: str, names) -> Column:
+    """Several fields of one object at once, each still a VARIANT; NULL for a non-object.
+
+    Much cheaper than one path lookup per field.
+    """
+    return get(value, path, struct_type(names))
+
+
+def struct_type(names) -> str:
+    return "struct<" + ", ".join(f"`{n}`: variant" for n in dict.fromkeys(names)) + ">"
+
+
 def get_or(value: Column, path: str, default: Column, dtype: str = "string") -> Column:
     """Like ``get``, with a default for an absent path; a present JSON null stays NULL."""
     found = get(value, path)
     return F.when(found.isNull(), default).otherwise(get(found, "$", dtype))
 
 
-def is_object(value: Column) -> Column:
-    return get(value, "$", "map<string,variant>").isNotNull()
+def is_object(value: Column, path: str = "$") -> Column:
+    return get(value, path, "map<string,variant>").isNotNull()
 
 
-def is_filled_object(value: Column) -> Column:
-    return F.coalesce(F.size(F.map_keys(get(value, "$", "map<string,variant>"))) > 0, F.lit(False))
+def is_filled_object(value: Column, path: str = "$") -> Column:
+    return F.coalesce(F.size(get(value, path, "map<string,variant>")), F.lit(0)) > 0
 
 
 def elements(value: Column) -> Column:
@@ -97,16 +113,7 @@ def to_clean_text(value: Column) -> Column:
 
 def truthy(value: Column) -> Column:
     """False for absent, null, false, zero, empty text, empty list and empty object."""
-    name = kind(value)
-    return F.coalesce(
-        F.when(name == "BOOLEAN", get(value, "$", "boolean"))
-        .when(_is_number(name), to_double(value) != 0)
-        .when(name == "STRING", get(value, "$", "string") != "")
-        .when(name == "VOID", F.lit(False))
-        .when(name.startswith("ARRAY"), F.size(elements(value)) > 0)
-        .otherwise(name != "OBJECT<>"),
-        F.lit(False),
-    )
+    return F.coalesce(~F.to_json(value).isin(*FALSY_JSON), F.lit(False))
 
 
 def first_truthy(*values: Column) -> Column:
@@ -123,13 +130,13 @@ def first_present(*values: Column) -> Column:
     *head, last = values
     picked = last
     for value in reversed(head):
-        picked = F.when(kind(value) != "VOID", value).otherwise(picked)
+        picked = F.when(F.to_json(value) != "null", value).otherwise(picked)
     return picked
 
 
-def get_any(value: Column, names: tuple[str, ...], zero_as_missing: bool = True) -> Column:
-    """One field under several spellings."""
-    operands = [get(value, f"$.{name}") for name in names]
+def any_of(fields: Column, names: tuple[str, ...], zero_as_missing: bool = True) -> Column:
+    """One field of a struct of VARIANTs under several spellings."""
+    operands = [fields.getField(name) for name in names]
     return first_truthy(*operands) if zero_as_missing else first_present(*operands)
 
 
@@ -142,5 +149,8 @@ def double_from_text(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def fits_int32(value: Column) -> Column:
-    return value.isNull() | value.between(-(2**31), 2**31 - 1)
+def outside_int32(*values: Column) -> Column:
+    """True when any value does not fit a 32-bit column; nulls fit."""
+    if len(values) == 1:
+        return F.coalesce(~values[0].between(INT32_MIN, INT32_MAX), F.lit(False))
+    return F.coalesce((F.least(*values) < INT32_MIN) | (F.greatest(*values) > INT32_MAX), F.lit(False))

@@ -8,7 +8,7 @@ used. Documents are parsed once and never shuffled: only the extracted rows are.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +23,14 @@ SUMMARY_ROOT = "boxScoreSummary"
 TRADITIONAL_ROOTS = ("boxScoreTraditional", "boxScoreTraditionalV3", "boxScoreTraditionalv3")
 ADVANCED_ROOTS = ("boxScoreAdvanced", "boxScoreAdvancedV3", "boxScoreAdvancedv3")
 SIDES = ("homeTeam", "awayTeam")
+GAME_FIELDS = ("homeTeamId", "awayTeamId", "gameTimeUTC", "gameEt", "gameStatusText")
+ARENA_FIELDS = {"arena_name": "arenaName", "arena_city": "arenaCity", "arena_state": "arenaState"}
 BOX_TEAM_ID = ("teamId", "teamID", "id")
 SUMMARY_TEAM_ID = ("teamId", "id")
 ABBREVIATION = ("teamTricode", "abbreviation")
 CITY = ("teamCity", "city")
 TEAM_NAME = ("teamName", "name", "nickname")
+TEAM_FIELDS = (*SUMMARY_TEAM_ID, *ABBREVIATION, *CITY, *TEAM_NAME)
 TEAM_STAT_FIELDS = {
     "pts": ("points", "pts"),
     "fgm": ("fieldGoalsMade", "fgm"),
@@ -56,8 +59,12 @@ PLAYER_STAT_FIELDS = {
     **{name: TEAM_STAT_FIELDS[name][0] for name in PLAYER_STATS if name != "plus_minus"},
     "plus_minus": "plusMinusPoints",
 }
+PLAYER_TEXT_FIELDS = {
+    "first_name": "firstName", "last_name": "familyName", "position": "position", "minutes": "minutes",
+}
 PLAYER_COLUMNS = ("personId", "teamId")
 LINEUP_COLUMNS = ("GROUP_ID",)
+LINEUP_TEXT_FIELDS = ("group_set", "group_id", "group_name")
 
 # Reject reasons and their texts.
 REASONS = {
@@ -104,22 +111,30 @@ def _too_long(name: str, length: int) -> Column:
     return F.coalesce(F.char_length(name) > length, F.lit(False))
 
 
-def _outside_int32(*values: Column) -> Column:
-    return reduce(or_, [~P.fits_int32(v) for v in values])
+# --- games and team dimension --------------------------------------------------------
 
 
-# --- games and team dimension --------------------------------------------------------
+def _side_fields(side: str) -> list[Column]:
+    """Raw dimension fields of one side; all NULL when the side is no object."""
+    team = F.col(side)
+    return [
+        P.to_long(P.any_of(team, SUMMARY_TEAM_ID)).alias(f"{side}_id"),
+        P.to_text(P.any_of(team, ABBREVIATION)).alias(f"{side}_abbreviation"),
+        P.any_of(team, CITY).alias(f"{side}_city"),
+        P.any_of(team, TEAM_NAME).alias(f"{side}_name"),
+        team.getField(TEAM_NAME[0]).alias(f"{side}_own_name"),
+    ]
 
 
-def _team_dim(team: Column, fallback_id: Column) -> Column:
-    own_id = P.to_long(P.get_any(team, SUMMARY_TEAM_ID))
-    city, name = P.get_any(team, CITY), P.get_any(team, TEAM_NAME)
-    first_name = P.get(team, f"$.{TEAM_NAME[0]}")
-    joined = F.concat(P.to_text(city), F.lit(" "), P.to_text(name))
-    full = F.when(P.truthy(first_name), P.to_text(first_name)).when(P.truthy(city) & P.truthy(name), joined)
+def _team_dim(side: str, fallback_id: Column) -> Column:
+    """Dimension row of one side; an id that is missing or zero falls back to the game's."""
+    city, name, own_name = (F.col(f"{side}_{c}") for c in ("city", "name", "own_name"))
+    full = F.when(P.truthy(own_name), P.to_text(own_name)).when(
+        P.truthy(city) & P.truthy(name), F.concat(P.to_text(city), F.lit(" "), P.to_text(name))
+    )
     return F.struct(
-        F.coalesce(F.nullif(own_id, F.lit(0)), fallback_id).alias("team_id"),
-        P.to_text(P.get_any(team, ABBREVIATION)).alias("abbreviation"),
+        F.coalesce(F.nullif(F.col(f"{side}_id"), F.lit(0)), fallback_id).alias("team_id"),
+        F.col(f"{side}_abbreviation").alias("abbreviation"),
         P.to_text(name).alias("team_name"),
         P.to_text(city).alias("city"),
         full.alias("full_name"),
@@ -128,33 +143,37 @@ def _team_dim(team: Column, fallback_id: Column) -> Column:
 
 def extract_games(landed: DataFrame) -> DataFrame:
     """Landed summaries to game columns, a two-entry ``teams`` array and a reject reason."""
-    root = P.get(F.col("doc"), f"$.{SUMMARY_ROOT}")
-    docs = _documents(landed, "game_id").withColumn("root", F.when(P.is_filled_object(root), root))
-    root = F.col("root")
-    utc, local = P.get(root, "$.gameTimeUTC"), P.get(root, "$.gameEt")
-    parts = docs.select(
+    doc = F.col("doc")
+    found = _documents(landed, "game_id").select(
         "game_id", *LANDED_ORDER,
-        P.is_object(F.col("doc")).alias("is_doc"),
-        root.isNotNull().alias("has_root"),
-        P.to_long(P.get(root, "$.homeTeamId")).alias("home_team_id"),
-        P.to_long(P.get(root, "$.awayTeamId")).alias("away_team_id"),
-        P.to_text(P.first_truthy(utc, local)).alias("time_text"),
-        P.to_text(utc).alias("utc_text"),
-        P.get(root, "$.gameStatusText", "string").alias("game_status"),
-        P.get(root, "$.arena.arenaName", "string").alias("arena_name"),
-        P.get(root, "$.arena.arenaCity", "string").alias("arena_city"),
-        P.get(root, "$.arena.arenaState", "string").alias("arena_state"),
-        *[P.get(root, f"$.{side}").alias(side) for side in SIDES],
+        P.is_object(doc).alias("is_doc"),
+        P.is_filled_object(doc, f"$.{SUMMARY_ROOT}").alias("has_root"),
+        P.get_struct(doc, f"$.{SUMMARY_ROOT}", GAME_FIELDS).alias("game"),
+        P.get_struct(doc, f"$.{SUMMARY_ROOT}.arena", ARENA_FIELDS.values()).alias("arena"),
+        *[P.get_struct(doc, f"$.{SUMMARY_ROOT}.{side}", TEAM_FIELDS).alias(side) for side in SIDES],
+    )
+    fields = found.select(
+        "game_id", *LANDED_ORDER, "is_doc", "has_root",
+        P.to_long(F.col("game.homeTeamId")).alias("home_team_id"),
+        P.to_long(F.col("game.awayTeamId")).alias("away_team_id"),
+        F.col("game.gameTimeUTC").alias("utc"),
+        P.first_truthy(F.col("game.gameTimeUTC"), F.col("game.gameEt")).alias("time"),
+        P.get(F.col("game.gameStatusText"), "$", "string").alias("game_status"),
+        *[P.get(F.col(f"arena.{f}"), "$", "string").alias(c) for c, f in ARENA_FIELDS.items()],
+        *[field for side in SIDES for field in _side_fields(side)],
     )
     home, away = F.col("home_team_id"), F.col("away_team_id")
-    rows = parts.select(
+    texts = fields.select(
         "game_id", *LANDED_ORDER, "is_doc", "has_root", "home_team_id", "away_team_id",
-        "time_text", "utc_text", "game_status", "arena_name", "arena_city", "arena_state",
+        "game_status", *ARENA_FIELDS,
+        P.to_text(F.col("time")).alias("time_text"),
+        P.to_text(F.col("utc")).alias("utc_text"),
+        F.array(*[_team_dim(side, fallback) for side, fallback in zip(SIDES, (home, away))]).alias("teams"),
+    )
+    rows = texts.select(
+        "*",
         G.iso_date(F.col("time_text")).alias("game_date"),
         G.iso_timestamp(F.col("utc_text")).alias("game_datetime_utc"),
-        F.array(*[
-            _team_dim(F.col(side), fallback) for side, fallback in zip(SIDES, (home, away))
-        ]).alias("teams"),
     )
     team_ids = [F.get("teams", F.lit(i)).getField("team_id") for i in (0, 1)]
     reason = _first_reason(
@@ -164,7 +183,7 @@ def extract_games(landed: DataFrame) -> DataFrame:
         ("missing_game_time", F.col("time_text").isNull()),
         ("unreadable_time",
          F.col("game_date").isNull() | (F.col("utc_text").isNotNull() & F.col("game_datetime_utc").isNull())),
-        ("out_of_range", _outside_int32(home, away, *team_ids) | _too_long("game_id", 10)),
+        ("out_of_range", P.outside_int32(home, away, *team_ids) | _too_long("game_id", 10)),
     )
     return rows.withColumn("reject_reason", reason).drop("is_doc", "has_root", "time_text", "utc_text")
 
@@ -191,68 +210,78 @@ def team_dim_rows(games: DataFrame, *keep: str) -> DataFrame:
 
 def document_root(doc: Column, names: tuple[str, ...]) -> Column:
     """The first object found under one of the names, else the document itself."""
-    found = [F.when(P.is_object(P.get(doc, f"$.{n}")), P.get(doc, f"$.{n}")) for n in names]
+    found = [F.when(P.is_object(doc, f"$.{n}"), P.get(doc, f"$.{n}")) for n in names]
     return F.coalesce(*found, doc)
 
 
-def _team_entry(team: Column, measures) -> Column:
-    """(team_id, stats) of a team object, NULL unless it has an id and a stats object."""
-    team_id = P.to_long(P.get_any(team, BOX_TEAM_ID))
-    stats = P.get(team, "$.statistics")
-    entry = F.struct(team_id.alias("team_id"), *measures(stats))
-    return F.when(team_id.isNotNull() & P.is_object(stats), entry)
+def _team_entry(team: Column, path: str, names: tuple[str, ...]) -> Column:
+    """(team_id, stats) of a team object."""
+    team_id = P.first_truthy(*[P.get(team, f"{path}.{n}") for n in BOX_TEAM_ID])
+    return F.struct(
+        P.to_long(team_id).alias("team_id"),
+        P.get_struct(team, f"{path}.statistics", names).alias("stats"),
+    )
+
+
+def _usable(entries: Column) -> Column:
+    """Entries whose id can be read and whose statistics are an object."""
+    return F.filter(entries, lambda e: e.getField("team_id").isNotNull() & e.getField("stats").isNotNull())
+
 
+class Measures:
+    """Typed columns of the statistics object of one kind of box document."""
 
-def traditional_measures(zero_as_missing: bool = True):
-    def build(stats: Column) -> list[Column]:
+    def __init__(self, parser, fields: dict[str, tuple[str, ...]], texts: tuple[str, ...], zero_as_missing: bool):
+        self.parser, self.fields, self.texts, self.zero_as_missing = parser, fields, texts, zero_as_missing
+        self.names = (*texts, *(n for names in fields.values() for n in names))
+
+    def columns(self, stats: Column) -> list[Column]:
         return [
-            P.to_text(P.get(stats, "$.minutes")).alias("minutes"),
+            *[P.to_text(stats.getField(t)).alias(t) for t in self.texts],
             *[
-                P.to_long(P.get_any(stats, names, zero_as_missing)).alias(stat)
-                for stat, names in TEAM_STAT_FIELDS.items()
+                self.parser(P.any_of(stats, names, self.zero_as_missing)).alias(c)
+                for c, names in self.fields.items()
             ],
         ]
 
-    return build
 
+def traditional_measures(zero_as_missing: bool = True) -> Measures:
+    return Measures(P.to_long, TEAM_STAT_FIELDS, ("minutes",), zero_as_missing)
 
-def advanced_measures(zero_as_missing: bool = True):
-    def build(stats: Column) -> list[Column]:
-        return [
-            P.to_double(P.get_any(stats, names, zero_as_missing)).alias(rating)
-            for rating, names in TEAM_RATING_FIELDS.items()
-        ]
 
-    return build
+def advanced_measures(zero_as_missing: bool = True) -> Measures:
+    return Measures(P.to_double, TEAM_RATING_FIELDS, (), zero_as_missing)
 
 
-def extract_team_entries(landed: DataFrame, roots: tuple[str, ...], measures) -> DataFrame:
+def extract_team_entries(landed: DataFrame, roots: tuple[str, ...], measures: Measures) -> DataFrame:
     """Landed box documents to the ``entries`` array of (team_id, measures).
 
     Home and away objects come first; the plain team list counts only when neither
     is usable. ``entries`` is NULL for a document that is no JSON object.
     """
-    docs = _documents(landed, "game_id").select(
+    doc, root = F.col("doc"), F.col("root")
+    found = _documents(landed, "game_id").select(
         "game_id", *LANDED_ORDER,
-        P.is_object(F.col("doc")).alias("is_doc"),
-        document_root(F.col("doc"), roots).alias("root"),
+        F.when(P.is_object(doc), document_root(doc, roots)).alias("root"),
     )
-    root = F.col("root")
-    sides = docs.select(
-        "game_id", *LANDED_ORDER, "is_doc",
-        F.array_compact(F.array(*[_team_entry(P.get(root, f"$.{s}"), measures) for s in SIDES])).alias("sides"),
+    sides = F.array(*[_team_entry(root, f"$.{side}", measures.names) for side in SIDES])
+    teams = found.select(
+        "game_id", *LANDED_ORDER,
+        root.isNotNull().alias("is_doc"),
+        _usable(sides).alias("sides"),
         P.elements(P.get(root, "$.teams")).alias("listed"),
     )
-    from_list = F.array_compact(F.transform("listed", lambda team: _team_entry(team, measures)))
-    entries = F.when(F.size("sides") > 0, F.col("sides")).otherwise(
-        F.coalesce(from_list, F.col("sides"))
+    from_list = _usable(F.transform("listed", lambda team: _team_entry(team, "$", measures.names)))
+    used = F.when(F.size("sides") > 0, F.col("sides")).otherwise(F.coalesce(from_list, F.col("sides")))
+    entries = F.transform(
+        used, lambda e: F.struct(e.getField("team_id").alias("team_id"), *measures.columns(e.getField("stats")))
     )
-    return sides.select("game_id", *LANDED_ORDER, F.when(F.col("is_doc"), entries).alias("entries"))
+    return teams.select("game_id", *LANDED_ORDER, F.when(F.col("is_doc"), entries).alias("entries"))
 
 
-def _entry_of(entries: str, team: Column) -> Column:
+def _entry_of(entries: str, team: str) -> Column:
     """Entry of a team; the later one when an id appears twice."""
-    return F.try_element_at(F.filter(entries, lambda e: e.getField("team_id") == team), F.lit(-1))
+    return F.try_element_at(F.filter(entries, lambda e: e.getField("team_id") == F.col(team)), F.lit(-1))
 
 
 def assemble_teambox(todo: DataFrame, traditional: DataFrame, advanced: DataFrame) -> DataFrame:
@@ -263,25 +292,34 @@ def assemble_teambox(todo: DataFrame, traditional: DataFrame, advanced: DataFram
     trad = traditional.select("game_id", F.col("entries").alias("trad"), F.lit(True).alias("_t"))
     adv = advanced.select("game_id", F.col("entries").alias("adv"), F.lit(True).alias("_a"))
     joined = todo.join(trad, "game_id", "left").join(adv, "game_id", "left")
-    home, away = F.col("home_team_id"), F.col("away_team_id")
+    picked = joined.select(
+        *todo.columns,
+        *[
+            _entry_of(source, f"{side}_team_id").alias(f"_{side}_{source}")
+            for side in ("home", "away")
+            for source in ("trad", "adv")
+        ],
+        _first_reason(
+            ("not_landed", F.col("_t").isNull() | F.col("_a").isNull()),
+            ("malformed_payload", F.col("trad").isNull() | F.col("adv").isNull()),
+        ).alias("_reason"),
+    )
 
-    def side(team: Column, other: Column, home_flag: bool) -> Column:
-        found, rated = _entry_of("trad", team), _entry_of("adv", team)
+    def side(name: str, other: str) -> Column:
         return F.struct(
-            team.alias("team_id"), F.lit(home_flag).alias("is_home"), other.alias("opponent_team_id"),
-            found.getField("minutes").alias("minutes"),
-            *[found.getField(s).alias(s) for s in TEAM_STATS],
-            *[rated.getField(r).alias(r) for r in TEAM_RATINGS],
+            F.col(f"{name}_team_id").alias("team_id"),
+            F.lit(name == "home").alias("is_home"),
+            F.col(f"{other}_team_id").alias("opponent_team_id"),
+            *[F.col(f"_{name}_trad.{c}").alias(c) for c in ("minutes", *TEAM_STATS)],
+            *[F.col(f"_{name}_adv.{c}").alias(c) for c in TEAM_RATINGS],
         )
 
-    rows = joined.withColumn("rows", F.array(side(home, away, True), side(away, home, False)))
-    too_big = F.exists("rows", lambda r: _outside_int32(*[r.getField(s) for s in TEAM_STATS]))
-    reason = _first_reason(
-        ("not_landed", F.col("_t").isNull() | F.col("_a").isNull()),
-        ("malformed_payload", F.col("trad").isNull() | F.col("adv").isNull()),
-        ("out_of_range", too_big),
+    stats = [F.col(f"_{name}_trad.{s}") for name in ("home", "away") for s in TEAM_STATS]
+    return picked.select(
+        *todo.columns,
+        F.array(side("home", "away"), side("away", "home")).alias("rows"),
+        F.coalesce(F.col("_reason"), F.when(P.outside_int32(*stats), F.lit("out_of_range"))).alias("reject_reason"),
     )
-    return rows.withColumn("reject_reason", reason).drop("trad", "adv", "_t", "_a")
 
 
 def teambox_rows(games: DataFrame, *keep: str) -> DataFrame:
@@ -296,29 +334,28 @@ def teambox_rows(games: DataFrame, *keep: str) -> DataFrame:
 # --- player dimension and box scores -------------------------------------------------
 
 
-def first_table(doc: Column) -> Column:
+def first_table(doc: Column, names) -> Column:
     """Rows of the first table of a tabular document, NULL when there is none."""
-    return P.elements(F.get(P.elements(P.get(doc, "$.tables")), F.lit(0)))
+    return P.get(doc, "$.tables[0]", f"array<{P.struct_type(names)}>")
+
 
+def _has_columns(table: str, names: tuple[str, ...]) -> Column:
+    """A column exists when any row carries it, be it with a JSON null."""
 
-def _has_columns(table: Column, names: tuple[str, ...]) -> Column:
     def has(name: str) -> Column:
-        return F.exists(table, lambda row: P.get(row, f"$.{name}").isNotNull())
+        return F.exists(table, lambda row: row.getField(name).isNotNull())
 
     return reduce(and_, map(has, names))
 
 
 def _player(row: Column, pos: Column) -> Column:
-    first, last = (P.to_text(P.get(row, f"$.{n}")) for n in ("firstName", "familyName"))
+    field = row.getField
     return F.struct(
         pos.alias("pos"),
-        P.to_long(P.get(row, "$.personId")).alias("player_id"),
-        P.to_long(P.get(row, "$.teamId")).alias("team_id"),
-        first.alias("first_name"),
-        last.alias("last_name"),
-        P.to_text(P.get(row, "$.position")).alias("position"),
-        P.to_text(P.get(row, "$.minutes")).alias("minutes"),
-        *[P.to_long(P.get(row, f"$.{field}")).alias(stat) for stat, field in PLAYER_STAT_FIELDS.items()],
+        P.to_long(field("personId")).alias("player_id"),
+        P.to_long(field("teamId")).alias("team_id"),
+        *[P.to_text(field(f)).alias(c) for c, f in PLAYER_TEXT_FIELDS.items()],
+        *[P.to_long(field(f)).alias(c) for c, f in PLAYER_STAT_FIELDS.items()],
     )
 
 
@@ -327,7 +364,9 @@ def extract_players(landed: DataFrame) -> DataFrame:
     docs = _documents(landed, "game_id").select(
         "game_id", *LANDED_ORDER,
         P.is_object(F.col("doc")).alias("is_doc"),
-        first_table(F.col("doc")).alias("table"),
+        first_table(
+            F.col("doc"), (*PLAYER_COLUMNS, *PLAYER_TEXT_FIELDS.values(), *PLAYER_STAT_FIELDS.values())
+        ).alias("table"),
     )
     named = F.filter(
         F.transform("table", _player),
@@ -336,12 +375,12 @@ def extract_players(landed: DataFrame) -> DataFrame:
     rows = docs.select(
         "game_id", *LANDED_ORDER, "is_doc",
         F.coalesce(F.size("table"), F.lit(0)).alias("table_rows"),
-        _has_columns(F.col("table"), PLAYER_COLUMNS).alias("has_columns"),
+        _has_columns("table", PLAYER_COLUMNS).alias("has_columns"),
         named.alias("players"),
     )
     too_big = F.exists(
         "players",
-        lambda p: _outside_int32(*[p.getField(c) for c in ("player_id", "team_id", *PLAYER_STATS)]),
+        lambda p: P.outside_int32(*[p.getField(c) for c in ("player_id", "team_id", *PLAYER_STATS)]),
     )
     reason = _first_reason(
         ("malformed_payload", ~F.coalesce(F.col("is_doc"), F.lit(False))),
@@ -391,36 +430,39 @@ def player_dim_seeds(rows: DataFrame) -> DataFrame:
 def extract_lineups(landed: DataFrame) -> DataFrame:
     """Landed lineup tables (season, team_id, group_quantity) to ``groups`` and a reject reason."""
     keys = ("season", "team_id", "group_quantity")
+    columns = {**{n: "string" for n in LINEUP_TEXT_FIELDS}, **dict(LINEUP_MEASURES)}
+    parsers = {"string": P.to_text, "int": P.to_long, "double": P.to_double}
+    whole = [n for n, t in LINEUP_MEASURES if t == "int"]
     docs = _documents(landed, *keys).select(
         *keys, *LANDED_ORDER,
         P.is_object(F.col("doc")).alias("is_doc"),
-        F.coalesce(first_table(F.col("doc")), F.array().cast("array<variant>")).alias("table"),
+        first_table(F.col("doc"), [n.upper() for n in columns]).alias("table"),
     )
 
-    def measure(row: Column, name: str, dtype: str) -> Column:
-        field = P.get(row, f"$.{name.upper()}")
-        return (P.to_long(field) if dtype == "int" else P.to_double(field)).alias(name)
-
     def group(row: Column, pos: Column) -> Column:
         return F.struct(
             pos.alias("pos"),
-            *[P.to_text(P.get(row, f"$.{n.upper()}")).alias(n) for n in ("group_set", "group_id", "group_name")],
-            *[measure(row, n, t) for n, t in LINEUP_MEASURES],
+            *[parsers[t](row.getField(n.upper())).alias(n) for n, t in columns.items()],
+        )
+
+    def defect(g: Column) -> Column:
+        return F.when(g.getField("group_id").isNull(), "null_key").when(
+            P.outside_int32(*[g.getField(n) for n in whole]), "out_of_range"
         )
 
     rows = docs.select(
         *keys, *LANDED_ORDER, "is_doc",
-        F.size("table").alias("table_rows"),
-        _has_columns(F.col("table"), LINEUP_COLUMNS).alias("has_columns"),
-        F.transform("table", group).alias("groups"),
+        (F.size("table") > 0).alias("has_rows"),
+        _has_columns("table", LINEUP_COLUMNS).alias("has_columns"),
+        F.coalesce(F.transform("table", group), F.array()).alias("groups"),
     )
-    whole = [n for n, t in LINEUP_MEASURES if t == "int"]
-    reason = _first_reason(
-        ("malformed_payload", ~F.coalesce(F.col("is_doc"), F.lit(False))),
-        ("missing_lineup_columns", (F.col("table_rows") > 0) & ~F.col("has_columns")),
-        ("null_key", F.exists("groups", lambda g: g.getField("group_id").isNull())),
-        ("out_of_range",
-         F.exists("groups", lambda g: _outside_int32(*[g.getField(n) for n in whole])) | _too_long("season", 7)),
+    reason = F.coalesce(
+        _first_reason(
+            ("malformed_payload", ~F.coalesce(F.col("is_doc"), F.lit(False))),
+            ("missing_lineup_columns", F.col("has_rows") & ~F.col("has_columns")),
+            ("out_of_range", _too_long("season", 7)),
+        ),
+        F.get(F.array_compact(F.transform("groups", defect)), F.lit(0)),
     )
     return rows.select(*keys, *LANDED_ORDER, "groups", reason.alias("reject_reason"))
 

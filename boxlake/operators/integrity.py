@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from boxlake.functions.parsing import fits_int32
+from boxlake.functions.parsing import outside_int32
 from boxlake.schemas import TableSpec
 
 
@@ -61,7 +61,7 @@ def row_violations(spec: TableSpec):
         F.when(F.char_length(c) > n, F.lit(f"length:{c}")) for c, n in spec.lengths
     ]
     broken += [
-        F.when(~fits_int32(F.col(f.name)), F.lit(f"int32:{f.name}"))
+        F.when(outside_int32(F.col(f.name)), F.lit(f"int32:{f.name}"))
         for f in spec.schema
         if isinstance(f.dataType, IntegerType)
     ]
