@@ -13,20 +13,28 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from boxlake.schemas import TABLES
 from boxlake.sources.files import file_system
 
 
+def _season_of(folder: str) -> str:
+    return folder.rpartition("season=")[2]
+
+
 @dataclass(frozen=True)
 class Append:
+    """Rows whose keys the table does not hold yet."""
+
     rows: DataFrame
 
 
 @dataclass(frozen=True)
 class Replace:
+    """New content of a table, or only of some seasons of a table split by season."""
+
     rows: DataFrame
+    seasons: tuple[str, ...] | None = None
 
 
 class Warehouse:
@@ -41,28 +49,34 @@ class Warehouse:
             self._publish(0, {name: [] for name in TABLES})
 
     def read(self, name: str, seasons: list[str] | None = None) -> DataFrame:
-        """A table; ``seasons`` prunes the partitions of a table split by season."""
+        """A table; ``seasons`` leaves the folders of other seasons unread."""
         spec = TABLES[name]
-        batches = self._tables()[name]
-        if not batches:
+        folders = self._tables()[name]
+        if seasons is not None:
+            folders = [f for f in folders if _season_of(f) in seasons]
+        if not folders:
             return self.spark.createDataFrame([], spec.schema)
         base = f"{self.root}/{name}"
-        rows = (
+        return (
             self.spark.read.schema(spec.schema)
             .option("basePath", base)
-            .parquet(*[f"{base}/batch={b}" for b in batches])
+            .parquet(*[f"{base}/{f}" for f in folders])
             .select(*spec.columns)
         )
-        return rows if seasons is None else rows.filter(F.col("season").isin(list(seasons)))
 
     def commit(self, changes: dict[str, Append | Replace]) -> int:
         """Write all changes, then publish them together; returns the new version."""
         version = self._version() + 1
         tables = dict(self._tables())
         for name, change in changes.items():
-            batch = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-            self._write(name, batch, change.rows)
-            tables[name] = [*tables[name], batch] if isinstance(change, Append) else [batch]
+            folders = self._write(name, f"batch={version:08d}-{uuid.uuid4().hex[:8]}", change.rows)
+            if isinstance(change, Append):
+                kept = tables[name]
+            elif change.seasons is None:
+                kept = []
+            else:
+                kept = [f for f in tables[name] if _season_of(f) not in change.seasons]
+            tables[name] = [*kept, *folders]
         self._publish(version, tables)
         return version
 
@@ -70,8 +84,8 @@ class Warehouse:
         """Empty every table."""
         self._publish(self._version() + 1, {name: [] for name in TABLES})
 
-    def _write(self, name: str, batch: str, rows: DataFrame) -> None:
-        spec = TABLES[name]
+    def _write(self, name: str, batch: str, rows: DataFrame) -> list[str]:
+        spec, path = TABLES[name], f"{self.root}/{name}/{batch}"
         rows = rows.select(*spec.columns)
         if spec.partition_by:
             # Even files whatever the season sizes: a rebalance splits a large season
@@ -79,7 +93,12 @@ class Warehouse:
             rows = rows.hint("rebalance", *spec.partition_by).sortWithinPartitions(
                 *dict.fromkeys([*spec.partition_by, *spec.key])
             )
-        rows.write.partitionBy(*spec.partition_by).parquet(f"{self.root}/{name}/batch={batch}")
+        rows.write.partitionBy(*spec.partition_by).parquet(path)
+        if not spec.partition_by:
+            return [batch]
+        fs, where = file_system(self.spark, path)
+        names = [s.getPath().getName() for s in fs.listStatus(where)]
+        return [f"{batch}/{n}" for n in sorted(names) if "=" in n]
 
     def _version(self) -> int | None:
         fs, where = file_system(self.spark, self.commits)
