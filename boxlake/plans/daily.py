@@ -49,6 +49,7 @@ class Load:
     zero_as_missing: bool = True
     broadcast_games: int = BROADCAST_GAMES
     retry: bool = False
+    keep_going: bool = False
 
     def __post_init__(self):
         self.working = Working(self.spark)
@@ -96,6 +97,8 @@ class Load:
             changes["etl_errors"] = Replace(resolved.unionByName(E.error_rows(rejects, self.run_ts, retry_count=1)))
         else:
             changes["etl_errors"] = Append(E.error_rows(rejects, self.run_ts))
+        if rejects.isEmpty() and not self.retry:
+            changes.pop("etl_errors")
         self.warehouse.commit(changes)
         ledger.append(
             rejects.select(F.col("process_name").alias("process"), "game_id", "error_type",
@@ -109,8 +112,7 @@ class Load:
         """New game ids; a season whose finder rows lack a column is refused as a whole."""
         rows = landing.finder_rows(self._landed("finder"))
         self.refused = [r.season for r in landing.finder_status(rows).filter("not ok").select("season").collect()]
-        if self.refused and len(self.seasons) == 1:
-            self.working.close()
+        if self.refused and len(self.seasons) == 1 and not self.keep_going:
             raise ValueError(f"finder rows of {self.refused[0]} lack one of {landing.FINDER_COLUMNS}")
         self.seasons = [s for s in self.seasons if s not in self.refused]
         found = landing.completed_games(rows.filter(~F.col("season").isin(self.refused)))
@@ -204,14 +206,19 @@ class Load:
 
     def run(self) -> DataFrame:
         """All stages in order; returns the stage report."""
-        stages: tuple[Callable[[], None], ...] = (
-            self.load_spine, self.load_games, self.load_teambox, self.load_players,
-        )
-        for stage in stages:
-            stage()
-        report = self.report()
-        self.working.close()
-        return report
+        return self._run(self.load_spine, self.load_games, self.load_teambox, self.load_players)
+
+    def run_retry(self) -> DataFrame:
+        """The stages behind the spine, over the games that failed before."""
+        return self._run(self.load_games, self.load_teambox, self.load_players)
+
+    def _run(self, *stages: Callable[[], None]) -> DataFrame:
+        try:
+            for stage in stages:
+                stage()
+            return self.report()
+        finally:
+            self.working.close()
 
     def report(self) -> DataFrame:
         """(stage, season, success, failed, attempted); one row per stage and season."""
@@ -240,12 +247,7 @@ def retry_failed(
     spark: SparkSession, warehouse: Warehouse, landing_root: str, seasons: list[str], **options
 ) -> DataFrame:
     """Take the failed games of every stage up again and close the errors that went away."""
-    load = Load(spark, warehouse, landing_root, list(seasons), retry=True, **options)
-    for stage in (load.load_games, load.load_teambox, load.load_players):
-        stage()
-    report = load.report()
-    load.working.close()
-    return report
+    return Load(spark, warehouse, landing_root, list(seasons), retry=True, **options).run_retry()
 
 
 def backfill(
@@ -260,7 +262,7 @@ def backfill(
     invalid = [r.season for r in texts.filter(~is_season_text(F.col("season"), LEAGUE_YEARS)).collect()]
     if invalid:
         raise ValueError(f"seasons must look like 2023-24: {invalid}")
-    load = Load(spark, warehouse, landing_root, list(seasons), **options)
+    load = Load(spark, warehouse, landing_root, list(seasons), keep_going=True, **options)
     report = load.run()
     return report, texts.withColumn("ok", ~F.col("season").isin(load.refused))
 
