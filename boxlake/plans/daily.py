@@ -10,7 +10,8 @@ facts are read for their keys only. All seasons of a run go through one job per
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ class Load:
     warehouse: Warehouse
     landing_root: str
     seasons: list[str]
-    run_ts: Column = field(default_factory=F.current_timestamp)
+    run_ts: Column | datetime | None = None
     limit: int | None = None
     fmt: str = "json"
     zero_as_missing: bool = True
@@ -56,7 +57,10 @@ class Load:
         self.outcomes: dict[str, DataFrame] = {}
         self.refused: list[str] = []
         # One fixed time for everything the run writes.
-        self.run_ts = F.lit(self.spark.range(1).select(self.run_ts).first()[0])
+        if self.run_ts is None:
+            self.run_ts = datetime.now(timezone.utc)
+        if not isinstance(self.run_ts, Column):
+            self.run_ts = F.lit(self.run_ts)
 
     # --- shared steps ----------------------------------------------------------------
 
@@ -70,11 +74,13 @@ class Load:
         order = F.array_position(F.array(*map(F.lit, self.seasons)), F.col("season"))
         return df.withColumn("season_order", order)
 
-    def _todo(self, todo: DataFrame, order: tuple[str, ...], process: str) -> DataFrame:
+    def _todo(self, todo: DataFrame, order: tuple[str, ...], process: str) -> DataFrame | None:
+        """The work list as a written table, or None when everything is up to date."""
         if self.retry:
             todo = W.only_failed(todo, E.open_game_ids(self.warehouse.read("etl_errors"), process))
         first = W.first_n_per_season(todo, order, self.limit)
-        return self.working.keep(self._with_season_order(first), f"{process}_todo")
+        kept = self.working.keep(self._with_season_order(first), f"{process}_todo")
+        return None if kept.isEmpty() else kept
 
     def _book(self, process: str, games: DataFrame, bad: DataFrame | None, changes: dict) -> None:
         """Commit a stage together with its errors, and keep its outcome for the report."""
@@ -127,6 +133,8 @@ class Load:
         todo = self._todo(
             W.missing_games(wh.read("spine"), wh.read("fact_games"), self.seasons), W.SPINE_ORDER, "games"
         )
+        if todo is None:
+            return
         found = X.latest(X.extract_games(self._landed("summary", todo))).withColumn("_landed", F.lit(True))
         reason = F.when(F.col("_landed").isNull(), "not_landed").otherwise(F.col("reject_reason"))
         games = self.working.keep(
@@ -143,6 +151,8 @@ class Load:
         todo = self._todo(
             W.missing_boxes(wh.read("fact_games"), wh.read(TEAMBOX.name), self.seasons), W.GAME_ORDER, "teambox"
         )
+        if todo is None:
+            return
         kinds = (
             ("traditional", X.TRADITIONAL_ROOTS, X.traditional_measures(self.zero_as_missing)),
             ("advanced", X.ADVANCED_ROOTS, X.advanced_measures(self.zero_as_missing)),
@@ -159,6 +169,8 @@ class Load:
         todo = self._todo(
             W.missing_boxes(wh.read("fact_games"), wh.read(PLAYERBOX.name), self.seasons), W.GAME_ORDER, "playerbox"
         )
+        if todo is None:
+            return
         found = X.latest(X.extract_players(self._landed("players", todo)))
         games = self.working.keep(X.assemble_playerbox(todo, found), "playerbox")
         rows = X.playerbox_rows(games.filter("reject_reason is null"), "season_order", "game_date")
@@ -212,6 +224,9 @@ class Load:
         """The stages behind the spine, over the games that failed before."""
         return self._run(self.load_games, self.load_teambox, self.load_players)
 
+    def run_lineups(self) -> DataFrame:
+        return self._run(self.load_lineups)
+
     def _run(self, *stages: Callable[[], None]) -> DataFrame:
         try:
             for stage in stages:

@@ -38,9 +38,11 @@ class Working:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{working_root(spark)}/boxlake-{uuid.uuid4().hex}"
+        self.kept = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
+        self.kept += 1
+        path = f"{self.root}/{self.kept:03d}-{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

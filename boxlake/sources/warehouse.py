@@ -109,8 +109,12 @@ class Warehouse:
         return max(versions, default=None)
 
     def _tables(self) -> dict[str, list[str]]:
-        path = f"{self.commits}/{self._version():08d}.json"
-        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
+        fs, where = file_system(self.spark, f"{self.commits}/{self._version():08d}.json")
+        stream = fs.open(where)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _publish(self, version: int, tables: dict[str, list[str]]) -> None:
         fs, final = file_system(self.spark, f"{self.commits}/{version:08d}.json")
