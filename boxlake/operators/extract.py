@@ -468,7 +468,15 @@ def extract_lineups(landed: DataFrame) -> DataFrame:
 
 
 def lineup_rows(lineups: DataFrame, *keep: str) -> DataFrame:
-    return lineups.select(*keep, "season", "team_id", "group_quantity", F.explode("groups").alias("g")).select(
+    """Rows of the usable tables; those with a reject reason yield none.
+
+    Masking the array and dropping its empty result afterwards keeps the optimizer from
+    pushing a condition on the extracted columns below their extraction, which would
+    evaluate it twice.
+    """
+    usable = F.when(F.col("reject_reason").isNull(), F.col("groups"))
+    flat = lineups.select(*keep, "season", "team_id", "group_quantity", F.explode_outer(usable).alias("g"))
+    return flat.filter(F.col("g").isNotNull()).select(
         *keep, "season", "team_id", "group_quantity", "g.pos", "g.group_set", "g.group_id", "g.group_name",
         *[F.col(f"g.{n}").try_cast(t).alias(n) for n, t in LINEUP_MEASURES],
     )

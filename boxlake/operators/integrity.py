@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -54,23 +54,26 @@ def duplicate_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.dropna(subset=list(spec.key)).groupBy(*spec.key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def row_violations(spec: TableSpec):
-    """Array of the row-local constraints a row breaks, such as ``not_null:game_id``."""
+def row_violations(rows: DataFrame, spec: TableSpec) -> list[Column]:
+    """The row-local constraints a row breaks, such as ``not_null:game_id``, each a text or NULL."""
     broken = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")) for c in spec.not_null]
     broken += [
         F.when(F.char_length(c) > n, F.lit(f"length:{c}")) for c, n in spec.lengths
     ]
-    broken += [
+    # A column that is 32 bits wide already cannot be out of range.
+    narrow = {f.name for f in rows.schema if isinstance(f.dataType, IntegerType)}
+    return broken + [
         F.when(outside_int32(F.col(f.name)), F.lit(f"int32:{f.name}"))
         for f in spec.schema
-        if isinstance(f.dataType, IntegerType)
+        if isinstance(f.dataType, IntegerType) and f.name not in narrow
     ]
-    return F.array_compact(F.array(*broken))
 
 
 def constraint_violations(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """(constraint, violations) over a table: row-local ones and repeated keys."""
-    local = rows.select(F.explode(row_violations(spec)).alias("constraint"))
+    local = rows.select(F.explode(F.array(*row_violations(rows, spec))).alias("constraint")).filter(
+        F.col("constraint").isNotNull()
+    )
     repeated = duplicate_keys(rows, spec).select(
         F.lit("unique:" + ",".join(spec.key)).alias("constraint")
     )

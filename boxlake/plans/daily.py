@@ -199,7 +199,7 @@ class Load:
         wh = self.warehouse
         found = X.extract_lineups(self._landed("lineups"))
         groups = self.working.keep(found, "lineups")
-        rows = X.lineup_rows(groups.filter("reject_reason is null"), "landed_at")
+        rows = X.lineup_rows(groups, "landed_at")
         orphans = I.orphan_values(rows, "team_id", wh.read("dim_teams"))
         rows = rows.join(orphans, "team_id", "left_anti")
         merged = M.merge(wh.read(LINEUPS.name, self.seasons), rows, LINEUPS, ["landed_at", "pos"], self.run_ts)

@@ -529,8 +529,7 @@ def lineup_rejects(spark, d):
 
 def lineup_upsert(spark, d):
     """Landed lineup tables, in landing order, into a table holding one group size."""
-    found = X.extract_lineups(A.lineups_landed(spark, d)).filter("reject_reason is null")
-    rows = X.lineup_rows(found, "landed_at")
+    rows = X.lineup_rows(X.extract_lineups(A.lineups_landed(spark, d)), "landed_at")
     target = _select_as(LINEUPS, A.games(spark, d).filter("game_key % 4 = 1").select(
         "season", F.col("home_team_id").alias("team_id"), F.lit(3).alias("group_quantity"),
         F.lit("-0-").alias("group_id"), F.lit(-1).alias("gp"),

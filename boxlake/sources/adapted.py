@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxlake.sources.files import spread
+
 FIRST_TEAM = 1610612737
 TEAMS = 30
 PLAYERS = 450
@@ -120,6 +122,13 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*columns_sql(GAMES))
 
 
+def document_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games that documents are derived from."""
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")).selectExpr(
+        *columns_sql(GAMES)
+    )
+
+
 def loaded_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the games that stands for an already filled fact table."""
     return games(spark, sf_dir).filter("game_key % 7 <> 0")
@@ -136,7 +145,7 @@ def finder_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("away_team_id").alias("team"), F.lit("L").alias("f"), F.lit("W").alias("o")),
     )
     wl = F.when(F.col("game_status") == "F", F.col("s.f")).when(F.col("game_status") == "O", F.col("s.o"))
-    return games(spark, sf_dir).withColumn("s", F.explode(sides)).select(
+    return document_games(spark, sf_dir).withColumn("s", F.explode(sides)).select(
         F.when(F.col("game_key") % 17 == 0, "10").otherwise("00").alias("league"),
         F.when(F.col("game_key") % 19 == 0, "Playoffs").otherwise("Regular Season").alias("season_type"),
         F.to_json(F.struct(
@@ -256,7 +265,7 @@ def summary_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.when(v == 1, F.lit('{"other":1}')).when(v == 7, F.lit("<html>busy</html>")).otherwise(
         _object(("boxScoreSummary", root))
     )
-    return games(spark, sf_dir).select("game_id", _landed_at(), document.alias("payload"), "season")
+    return document_games(spark, sf_dir).select("game_id", _landed_at(), document.alias("payload"), "season")
 
 
 def _landed_at():
@@ -313,7 +322,7 @@ def traditional_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = _team_box_document(
         ("boxScoreTraditional", "boxScoreTraditionalV3", "boxScoreTraditionalv3"), stats
     )
-    rows = games(spark, sf_dir).filter("game_key % 11 <> 0")
+    rows = document_games(spark, sf_dir).filter("game_key % 11 <> 0")
     return rows.select("game_id", _landed_at(), document.alias("payload"), "season")
 
 
@@ -331,7 +340,7 @@ def advanced_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     document = _team_box_document(("boxScoreAdvanced", "boxScoreAdvancedV3", "boxScoreAdvancedv3"), stats)
-    return games(spark, sf_dir).select("game_id", _landed_at(), document.alias("payload"), "season")
+    return document_games(spark, sf_dir).select("game_id", _landed_at(), document.alias("payload"), "season")
 
 
 def players_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,7 +371,7 @@ def players_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 7, F.lit("{broken"))
         .otherwise(F.concat(F.lit('{"tables":[['), table_rows, F.lit('],[{"other":1}]]}')))
     )
-    rows = games(spark, sf_dir).filter("game_key % 13 <> 0")
+    rows = document_games(spark, sf_dir).filter("game_key % 13 <> 0")
     return rows.select("game_id", _landed_at(), document.alias("payload"), "season")
 
 
@@ -384,7 +393,7 @@ def lineups_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), group), ",")
     document = F.concat(F.lit('{"tables":[['), rows, F.lit("]]}"))
-    return games(spark, sf_dir).select(
+    return document_games(spark, sf_dir).select(
         F.col("home_team_id").alias("team_id"),
         (2 + key % 4).cast("int").alias("group_quantity"),
         F.timestamp_seconds(key).alias("landed_at"),

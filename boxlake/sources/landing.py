@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import parsing as P
-from boxlake.sources.files import exists
+from boxlake.sources.files import exists, spread
 
 # Request parameters of the season finder and its required columns.
 LEAGUE = "00"
@@ -37,7 +37,7 @@ def landed(
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     rows = spark.read.format(fmt).schema(schema).load(path)
-    return rows if seasons is None else rows.filter(F.col("season").isin(list(seasons)))
+    return spread(rows if seasons is None else rows.filter(F.col("season").isin(list(seasons))))
 
 
 def finder_rows(landed_finder: DataFrame, league: str = LEAGUE, season_type: str = SEASON_TYPE) -> DataFrame:
