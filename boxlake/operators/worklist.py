@@ -20,11 +20,15 @@ def missing_games(spine: DataFrame, games: DataFrame, seasons: list[str] | None
 
 
 def missing_boxes(games: DataFrame, boxes: DataFrame, seasons: list[str] | None = None) -> DataFrame:
-    """Games without any box row; one row is enough to count as loaded."""
+    """Games without any box row; one row is enough to count as loaded.
+
+    The box keys are made distinct first: that sends one row per game and map partition
+    through the shuffle the join needs anyway, however many rows a game has.
+    """
     todo = _in_seasons(games, seasons).select(
         "game_id", "season", "game_date", "home_team_id", "away_team_id"
     )
-    return todo.join(boxes.select("game_id"), "game_id", "left_anti")
+    return todo.join(boxes.select("game_id").distinct(), "game_id", "left_anti")
 
 
 def first_n(todo: DataFrame, order: tuple[str, ...], n: int | None) -> DataFrame:

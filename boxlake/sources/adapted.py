@@ -3,6 +3,9 @@
 An order stands for a game, its lines for player entries, the error events for the
 error table. Expressions that are valid in Spark SQL and in DuckDB alike are kept as
 text, so that a query and its twin start from the same rows.
+
+Conditions such as ``game_key % 7 <> 0`` describe what a table already holds; they make
+the difference between a target and its batch and do not shorten any input.
 """
 
 from __future__ import annotations
