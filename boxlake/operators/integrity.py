@@ -24,18 +24,21 @@ def orphan_values(rows: DataFrame, column: str, parent: DataFrame, parent_key: s
 
 
 def orphan_games(rows: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]) -> DataFrame:
-    """(game_id, reference) for every game holding a reference to something unknown."""
+    """(game_id, reference) for every game holding a reference to something unknown.
+
+    Each reference is one pass over two narrow columns. Spark broadcasts a parent that
+    is small by measured size and otherwise splits a team or player that holds a large
+    share of the rows; game ids are made distinct ahead of their shuffle.
+    """
     found = []
     for fk in spec.foreign_keys:
         if fk.table not in parents:
             continue
-        orphans = orphan_values(rows, fk.column, parents[fk.table])
-        pairs = rows.select(*dict.fromkeys(["game_id", fk.column])).distinct()
-        found.append(
-            pairs.join(orphans, fk.column, "left_semi")
-            .select("game_id", F.lit(fk.column).alias("reference"))
-            .distinct()
-        )
+        pairs = rows.select(*dict.fromkeys(["game_id", fk.column])).filter(F.col(fk.column).isNotNull())
+        if fk.column == "game_id":
+            pairs = pairs.distinct()
+        orphans = pairs.join(parents[fk.table].select(fk.column), fk.column, "left_anti")
+        found.append(orphans.select("game_id", F.lit(fk.column).alias("reference")).distinct())
     return reduce(DataFrame.unionByName, found)
 
 

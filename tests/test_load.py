@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from boxlake.operators import errors as E
 from boxlake.plans import daily as D
+from boxlake.plans import upkeep as U
 from boxlake.schemas import TABLES
 from boxlake.sources import ledger
 from boxlake.sources.warehouse import Append, Replace, Warehouse
@@ -303,3 +304,36 @@ def test_ledger_round_trip(spark, tmp_path):
     assert found == sorted([(*r[:3], r[3] or "") for r in rows] + [rows[0]])
     lineup = spark.createDataFrame([("g1\t12\tValueError\tMissing\tcolumn",)], "value string")
     assert tuple(ledger.parse_lines(lineup, ledger.LINEUP_FIELDS).first()) == ("g1", "12", "ValueError", "Missing\tcolumn")
+
+
+def test_upkeep(spark, place):
+    _, warehouse = place
+    assert U.add_game_ids(warehouse, [], SEASON) == (0, 0)
+    assert U.add_game_ids(warehouse, ["g1", "g2", "g2"], "2023-24") == (3, 2)
+    assert U.add_game_ids(warehouse, ["g2", "g3"], SEASON) == (2, 1)
+    assert U.add_game_ids(warehouse, ["g2", "g3"], SEASON) == (2, 0)
+    assert {(r.game_id, r.season) for r in warehouse.read("spine").collect()} == {
+        ("g1", "2023-24"), ("g2", "2023-24"), ("g3", SEASON),
+    }
+    failures = spark.createDataFrame(
+        [("p", "g1", "A", "m"), ("p", "g1", "B", "m"), ("q", "g1", "A", "m")],
+        "process_name string, game_id string, error_type string, error_message string",
+    )
+    U.record_errors(warehouse, failures, run_ts=NOW)
+    assert U.mark_resolved(warehouse, "p", "g1", run_ts=NOW) == 2
+    assert U.mark_resolved(warehouse, "p", "g1", run_ts=NOW) == 0
+    errors = warehouse.read("etl_errors")
+    assert errors.count() == 3 and errors.filter("is_resolved and resolved_at is not null").count() == 2
+
+    def rows(name, values):
+        spec = TABLES[name]
+        frame = spark.createDataFrame(values, "game_id string, season string, team_id int, player_id int")
+        return frame.select(*[
+            (F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.schema
+        ])
+
+    values = [("g1", SEASON, 1, 1), ("g2", SEASON, 1, 1), ("g0", "2023-24", 1, 1)]
+    warehouse.commit({n: Append(rows(n, values)) for n in ("fact_games", "teambox_pergame", "playerbox_pergame")})
+    U.delete_games(warehouse, spark.createDataFrame([("g1",)], "game_id string"), [SEASON])
+    for name in ("fact_games", "teambox_pergame", "playerbox_pergame"):
+        assert {r.game_id for r in warehouse.read(name).collect()} == {"g0", "g2"}
