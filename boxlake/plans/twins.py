@@ -486,4 +486,20 @@ TWINS = {
         WINDOW w AS (PARTITION BY team_id ORDER BY season)"""),
     "empty_team_boxes": _with("games boxdocs boxsides boxrows", """SELECT game_id, team_id, season FROM boxrows
         WHERE s IS NULL"""),
+    "daily_run_idempotent": _with("games completed summaries dims boxdocs playerdocs listed", """,
+        spine AS (SELECT DISTINCT game_id FROM completed),
+        loaded AS (SELECT game_id FROM summaries WHERE reject_reason IS NULL AND game_id IN (SELECT game_id FROM spine)),
+        teams AS (SELECT DISTINCT team_id FROM dims WHERE game_id IN (SELECT game_id FROM loaded)),
+        boxes AS (SELECT * FROM boxdocs WHERE reject_reason IS NULL AND game_id IN (SELECT game_id FROM loaded)
+            AND home_team_id IN (SELECT team_id FROM teams) AND away_team_id IN (SELECT team_id FROM teams)),
+        entries AS (SELECT * FROM listed WHERE game_id IN (SELECT game_id FROM loaded) AND game_id NOT IN
+            (SELECT game_id FROM listed WHERE t NOT IN (SELECT team_id FROM teams))),
+        counts AS (
+            SELECT 'spine' AS table_name, count(*) AS row_count FROM spine
+            UNION ALL SELECT 'fact_games', count(*) FROM loaded
+            UNION ALL SELECT 'dim_teams', count(*) FROM teams
+            UNION ALL SELECT 'dim_players', count(DISTINCT p) FROM entries
+            UNION ALL SELECT 'teambox_pergame', coalesce(CAST(sum(CASE WHEN home_team_id = away_team_id THEN 1 ELSE 2 END) AS BIGINT), 0) FROM boxes
+            UNION ALL SELECT 'playerbox_pergame', count(DISTINCT game_id || '/' || p) FROM entries)
+        SELECT CAST(run AS INT) AS run, table_name, row_count FROM counts, (VALUES (1), (2)) AS r(run)"""),
 }

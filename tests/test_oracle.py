@@ -7,11 +7,8 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import compare
 
-ROWS_ONLY = {"daily_run_idempotent"}
-
-
 def test_all_queries_have_twins():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry(spark):
