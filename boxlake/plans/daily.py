@@ -24,10 +24,13 @@ from boxlake.operators import merge as M
 from boxlake.operators import worklist as W
 from boxlake.operators.reports import stage_report
 from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYERBOX, SPINE, TEAMBOX
+from boxlake.sources import adapted as A
 from boxlake.sources import landing, ledger
 from boxlake.sources.files import Working
 from boxlake.sources.warehouse import Append, Replace, Warehouse
 
+# Tables filled by the four stages.
+LOADED = (SPINE, FACT_GAMES, DIM_TEAMS, DIM_PLAYERS, TEAMBOX, PLAYERBOX)
 REPORT_SCHEMA = "stage string, season string, success long, failed long, attempted long"
 
 # A work list up to this many games is sent to every executor to filter the landed
@@ -50,6 +53,8 @@ class Load:
     zero_as_missing: bool = True
     broadcast_games: int = BROADCAST_GAMES
     retry: bool = False
+    # Only documents landed at or after this time; parquet landings skip older data.
+    landed_since: datetime | None = None
     keep_going: bool = False
 
     def __post_init__(self):
@@ -65,7 +70,7 @@ class Load:
     # --- shared steps ----------------------------------------------------------------
 
     def _landed(self, kind: str, todo: DataFrame | None = None) -> DataFrame:
-        rows = landing.landed(self.spark, self.landing_root, kind, self.seasons, self.fmt)
+        rows = landing.landed(self.spark, self.landing_root, kind, self.seasons, self.fmt, self.landed_since)
         if todo is None or todo.count() > self.broadcast_games:
             return rows
         return rows.join(F.broadcast(todo.select("game_id")), "game_id", "left_semi")
@@ -283,33 +288,27 @@ def backfill(
 
 
 def land_adapted(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the documents derived from the driver's tables as a landing area."""
-    from boxlake.sources import adapted as A
-
+    """Write the game documents derived from the driver's tables as a landing area."""
     for kind, rows in (
         ("finder", A.finder_landed), ("summary", A.summary_landed), ("traditional", A.traditional_landed),
-        ("advanced", A.advanced_landed), ("players", A.players_landed), ("lineups", A.lineups_landed),
+        ("advanced", A.advanced_landed), ("players", A.players_landed),
     ):
         rows(spark, sf_dir).write.partitionBy("season").parquet(f"{root}/{kind}")
 
 
 def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table after each of two loads of the same landing area."""
-    from boxlake.schemas import TABLES
-    from boxlake.sources import adapted as A
-
     place = Working(spark)
-    landing_root = f"{place.root}/landing"
-    land_adapted(spark, sf_dir, landing_root)
-    seasons = [r.season for r in A.games(spark, sf_dir).select("season").distinct().orderBy("season").collect()]
-    warehouse = Warehouse(spark, f"{place.root}/warehouse")
-    warehouse.create_tables()
-    counts = []
-    for number in (1, 2):
-        load = Load(spark, warehouse, landing_root, list(seasons), fmt="parquet")
-        load.run()
-        counts += [
-            (number, name, warehouse.read(name).count()) for name in TABLES if name not in ("etl_errors", LINEUPS.name)
-        ]
-    place.close()
+    try:
+        landing_root = f"{place.root}/landing"
+        land_adapted(spark, sf_dir, landing_root)
+        seasons = [r.season for r in A.games(spark, sf_dir).select("season").distinct().orderBy("season").collect()]
+        warehouse = Warehouse(spark, f"{place.root}/warehouse")
+        warehouse.create_tables()
+        counts = []
+        for number in (1, 2):
+            Load(spark, warehouse, landing_root, list(seasons), fmt="parquet").run()
+            counts += [(number, spec.name, warehouse.read(spec.name).count()) for spec in LOADED]
+    finally:
+        place.close()
     return spark.createDataFrame(counts, "run int, table_name string, row_count long")

@@ -7,6 +7,8 @@ read as its text). Documents keep their JSON types, since their shape drifts.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +32,19 @@ LANDED_SCHEMAS = {
 
 
 def landed(
-    spark: SparkSession, root: str, kind: str, seasons: list[str] | None = None, fmt: str = "json"
+    spark: SparkSession, root: str, kind: str, seasons: list[str] | None = None, fmt: str = "json",
+    since: datetime | None = None,
 ) -> DataFrame:
     """Landed documents of one kind; only the partitions of ``seasons`` are read."""
     schema, path = LANDED_SCHEMAS[kind], f"{root}/{kind}"
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     rows = spark.read.format(fmt).schema(schema).load(path)
-    return spread(rows if seasons is None else rows.filter(F.col("season").isin(list(seasons))))
+    if seasons is not None:
+        rows = rows.filter(F.col("season").isin(list(seasons)))
+    if since is not None and "landed_at" in rows.columns:
+        rows = rows.filter(F.col("landed_at") >= F.lit(since))
+    return spread(rows)
 
 
 def finder_rows(landed_finder: DataFrame, league: str = LEAGUE, season_type: str = SEASON_TYPE) -> DataFrame:

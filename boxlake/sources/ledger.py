@@ -33,3 +33,8 @@ def append(failures: DataFrame, path: str, fields: tuple[str, ...] = GAME_FIELDS
 def read(spark: SparkSession, path: str, fields: tuple[str, ...] = GAME_FIELDS) -> DataFrame:
     lines = spark.read.schema("value string, process string").text(path)
     return parse_lines(lines, fields, keep=("process",))
+
+
+def read_file(spark: SparkSession, path: str, fields: tuple[str, ...] = GAME_FIELDS) -> DataFrame:
+    """A ledger kept as plain text files of one process."""
+    return parse_lines(spark.read.text(path), fields)

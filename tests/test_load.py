@@ -172,6 +172,19 @@ def test_zero_points(spark, place, zero_as_missing, points):
     assert {(r.pts, r.fgm, r.minutes) for r in warehouse.read("teambox_pergame").collect()} == {(points, 0, "240")}
 
 
+def test_only_recent_documents(spark, place):
+    landing, warehouse = place
+    landing.game("0022400001", 10, 11)
+    report = _run(spark, place, landed_since=dt.datetime(2024, 12, 1))
+    assert report[("games", SEASON)] == (0, 1, 1)
+    report = _run(spark, place, landed_since=dt.datetime(2024, 11, 1))
+    assert report[("games", SEASON)] == (1, 0, 1)
+
+
+def test_nothing_landed(spark, place):
+    assert _run(spark, place) == {}
+
+
 def test_limit_takes_the_first_games(spark, place):
     landing, warehouse = place
     for i, day in enumerate(("2024-11-03", "2024-11-01", "2024-11-02")):
@@ -302,8 +315,10 @@ def test_ledger_round_trip(spark, tmp_path):
     ledger.append(failures.limit(1), path)
     found = sorted((r.process, r.game_id, r.error_type, r.message) for r in ledger.read(spark, path).collect())
     assert found == sorted([(*r[:3], r[3] or "") for r in rows] + [rows[0]])
-    lineup = spark.createDataFrame([("g1\t12\tValueError\tMissing\tcolumn",)], "value string")
-    assert tuple(ledger.parse_lines(lineup, ledger.LINEUP_FIELDS).first()) == ("g1", "12", "ValueError", "Missing\tcolumn")
+    lineup = tmp_path / "failed_lineups.txt"
+    lineup.write_text("g1\t12\tValueError\tMissing\tcolumn\n")
+    found = ledger.read_file(spark, str(lineup), ledger.LINEUP_FIELDS).first()
+    assert tuple(found) == ("g1", "12", "ValueError", "Missing\tcolumn")
 
 
 def test_upkeep(spark, place):
