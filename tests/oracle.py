@@ -56,9 +56,8 @@ def rows_of(names: list[str], rows) -> Counter:
     return Counter(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, sf_dir: str, query, sql: str) -> tuple[list[str], int, int, list]:
+def compare(con, df, sql: str) -> tuple[list[str], int, int, list]:
     """Problems found, both row counts and a few differing rows."""
-    df = query(spark, sf_dir)
     left = rows_of(df.columns, [tuple(r) for r in df.collect()])
     found = con.execute(sql)
     names = [c[0] for c in found.description]
@@ -90,7 +89,7 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            problems, n, m, diff = compare(spark, con, sf_dir, query, twins[name])
+            problems, n, m, diff = compare(con, query(spark, sf_dir), twins[name])
         except Exception as e:  # noqa: BLE001
             text = "".join(traceback.format_exception_only(e))
             problems, n, m, diff = [text[:1500]], -1, -1, []
