@@ -126,6 +126,8 @@ class Load:
         if self.refused and len(self.seasons) == 1 and not self.keep_going:
             raise ValueError(f"finder rows of {self.refused[0]} lack one of {landing.FINDER_COLUMNS}")
         self.seasons = [s for s in self.seasons if s not in self.refused]
+        if not self.seasons:
+            return
         found = landing.completed_games(rows.filter(~F.col("season").isin(self.refused)))
         found = self.working.keep(self._with_season_order(found), "spine_found")
         usable = found.filter(F.char_length("game_id") <= 10)
@@ -235,7 +237,8 @@ class Load:
     def _run(self, *stages: Callable[[], None]) -> DataFrame:
         try:
             for stage in stages:
-                stage()
+                if self.seasons:
+                    stage()
             return self.report()
         finally:
             self.working.close()

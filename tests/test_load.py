@@ -222,6 +222,8 @@ def test_backfill(spark, place):
     assert {r.season: r.ok for r in statuses.collect()} == {"2022-23": False, "2023-24": True, SEASON: True}
     assert report.filter("stage = 'playerbox' and success = 1").count() == 2
     assert warehouse.read("fact_games", ["2023-24"]).count() == 1
+    report, statuses = D.backfill(spark, warehouse, str(landing.root), ["2022-23"], run_ts=NOW)
+    assert report.count() == 0 and [r.ok for r in statuses.collect()] == [False]
     with pytest.raises(ValueError, match="GAME_ID"):
         D.daily_run(spark, warehouse, str(landing.root), "2022-23")
 
