@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import quality
+from boxlake.llm import pieces, quality
 from boxlake.llm.common import held_out, table, text_of
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -16,4 +18,17 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
 
 
-QUERIES = {"op8_quality_classifier": op8_quality_classifier}
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+    return found.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.concat("begins", "ends"), 256).alias("spans_sha256"),
+    )
+
+
+QUERIES = {
+    "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
+}
