@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import pieces, quality
+from boxlake.llm import jaccard, pieces, quality
 from boxlake.llm.common import held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -29,6 +29,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
 }
