@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import jaccard, pieces, quality
-from boxlake.llm.common import held_out, table, text_of
+from boxlake.llm import jaccard, line_runs, pieces, quality
+from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -33,7 +33,16 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.deduplicated(table(spark, sf_dir, "documents"), Scratch(spark))
+    return found.select(
+        "doc_id", F.col("_lines").alias("n_lines"), F.size("_deleted").cast("long").alias("n_deleted"),
+        F.col("_runs").alias("n_runs"), F.sha2(text_of().cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
+    "op2_line_dedup": op2_line_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
 }

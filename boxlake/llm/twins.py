@@ -1,3 +1,44 @@
 """DuckDB twins of the text queries that SQL can express."""
 
-TWINS: dict[str, str] = {}
+from __future__ import annotations
+
+
+def line_dedup(docs: str, keep: str) -> str:
+    """Runs of equal lines as islands of pairs of an earlier and a later line."""
+    return f"""
+WITH docs AS (SELECT * FROM {docs}),
+lines AS (
+  SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS n, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM docs)
+),
+pairs AS (
+  SELECT x.doc_id AS d1, y.doc_id AS d2, y.n - x.n AS shift, y.n AS n, length(y.line) AS chars
+  FROM lines x JOIN lines y ON x.line = y.line AND (x.doc_id, x.n) < (y.doc_id, y.n)
+),
+islands AS (
+  SELECT *, n - row_number() OVER (PARTITION BY d1, d2, shift ORDER BY n) AS island FROM pairs
+),
+runs AS (
+  SELECT d2, min(n) AS lo, max(n) AS hi FROM islands GROUP BY d1, d2, shift, island HAVING sum(chars) >= 40
+),
+gone AS (SELECT DISTINCT d2 AS doc_id, unnest(range(lo, hi + 1)) AS n FROM runs),
+spans AS (
+  SELECT doc_id, count(*) AS n_deleted, count(*) FILTER (WHERE fresh) AS n_runs
+  FROM (SELECT doc_id, n, coalesce(lag(n) OVER (PARTITION BY doc_id ORDER BY n) <> n - 1, true) AS fresh FROM gone)
+  GROUP BY doc_id
+),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines,
+    coalesce(string_agg(l.line, chr(10) ORDER BY l.n) FILTER (WHERE g.n IS NULL), '') AS text
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n GROUP BY l.doc_id
+)
+{keep}"""
+
+
+TWINS: dict[str, str] = {
+    "op2_line_dedup": line_dedup(
+        "documents",
+        """SELECT k.doc_id, k.n_lines, coalesce(s.n_deleted, 0) AS n_deleted, coalesce(s.n_runs, 0) AS n_runs,
+  sha256(k.text) AS kept_sha256 FROM kept k LEFT JOIN spans s USING (doc_id)""",
+    ),
+}
