@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import jaccard, line_runs, pieces, quality
+from boxlake.llm import jaccard, line_runs, pieces, quality, templates
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -41,8 +41,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
+    "op6_decontamination": op6_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
 }

@@ -35,10 +35,65 @@ kept AS (
 {keep}"""
 
 
+UNITS = (
+    "mm|cm|m|km|inch|inches|feet|foot|yard|yards|mile|miles|mg|g|kg|ton|tons|ml|l|liter|liters|litre|litres|"
+    "s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|"
+    "dollar|dollars|cent|cents|euro|euros|pound|pounds|percent|degrees"
+)
+
+
+def _tokens(text: str) -> str:
+    text = f"regexp_replace(coalesce({text}, ''), '([\\p{{L}},;:] )(\\p{{Lu}}\\p{{L}}*(?: \\p{{Lu}}\\p{{L}}*)*)', '\\1⟨p \\2⟩', 'g')"
+    text = f"regexp_replace({text}, '[0-9]+(?:[.,:/][0-9]+)*', '⟨n \\0⟩', 'g')"
+    text = f"regexp_replace({text}, '(⟨n [^⟩]*⟩) ?({UNITS})\\b', '\\1⟨u \\2⟩', 'g')"
+    text = f"regexp_replace({text}, '([$€£])(⟨n )', '⟨u \\1⟩\\2', 'g')"
+    return f"regexp_extract_all({text}, '⟨[^⟩]*⟩|[\\p{{L}}\\p{{M}}]+')"
+
+
+def _windows(key: str, table: str) -> str:
+    return f"""
+  SELECT {key}, i AS at, array_to_string(canon[i + 1 : i + 8], ' ') AS h,
+    list_filter(t[i + 1 : i + 8], lambda x: x LIKE '⟨%') AS slots
+  FROM (SELECT {key}, t, canon, unnest(range(len(t) - 7)) AS i FROM (
+    SELECT {key}, t, list_transform(t, lambda x: CASE WHEN x LIKE '⟨%' THEN x[1:2] ELSE lower(x) END) AS canon
+    FROM (SELECT {key}, {_tokens("text")} AS t FROM {table}) WHERE len(t) >= 8))"""
+
+
+def leaks(docs: str, keep: str) -> str:
+    """Template windows compared as texts instead of hashes."""
+    return f"""
+WITH docs AS (SELECT * FROM {docs}),
+d AS ({_windows("doc_id", "docs")}),
+b AS ({_windows("item_id", "benchmark")}),
+hits AS (
+  SELECT d.doc_id, b.item_id, b.at AS item_at, d.at - b.at AS shift, b.slots AS s1, d.slots AS s2
+  FROM d JOIN b ON d.h = b.h
+),
+slots AS (SELECT DISTINCT doc_id, item_id, shift, unnest(s1) AS v1, unnest(s2) AS v2 FROM hits),
+bad AS (SELECT doc_id, item_id, shift FROM slots GROUP BY ALL HAVING count(*) <> count(DISTINCT v1)),
+changed AS (SELECT DISTINCT doc_id, item_id, shift FROM slots WHERE v1 <> v2),
+good AS (
+  SELECT h.doc_id, h.item_id, h.item_at, c.shift IS NULL AS exact FROM hits h
+  LEFT JOIN changed c ON h.doc_id = c.doc_id AND h.item_id = c.item_id AND h.shift = c.shift
+  WHERE NOT EXISTS (SELECT 1 FROM bad x WHERE x.doc_id = h.doc_id AND x.item_id = h.item_id AND x.shift = h.shift)
+),
+found AS (
+  SELECT doc_id, item_id, bool_or(exact) AS exact FROM good GROUP BY doc_id, item_id
+  HAVING count(DISTINCT item_at) >= 0.25 * (SELECT count(*) FROM b WHERE b.item_id = good.item_id)
+)
+{keep}"""
+
+
 TWINS: dict[str, str] = {
     "op2_line_dedup": line_dedup(
         "documents",
         """SELECT k.doc_id, k.n_lines, coalesce(s.n_deleted, 0) AS n_deleted, coalesce(s.n_runs, 0) AS n_runs,
   sha256(k.text) AS kept_sha256 FROM kept k LEFT JOIN spans s USING (doc_id)""",
     ),
+    "op6_decontamination": leaks(
+        "documents",
+        """SELECT d.doc_id, count(f.item_id) AS n_items, count(*) FILTER (WHERE f.exact) AS n_exact,
+  coalesce(string_agg(CAST(f.item_id AS VARCHAR), ',' ORDER BY f.item_id), '') AS items
+FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id GROUP BY d.doc_id""",
+    ),
 }
