@@ -40,6 +40,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not once for each place that names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def held_out(doc_id: str, parts: int, part: int) -> Column:
     """Is ``crc32`` of the id as text in the part that models do not see? Null ids are held out."""
     rest = F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

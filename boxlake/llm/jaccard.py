@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from boxlake.llm.common import Scratch, chunks, mix, text_of, word_hashes, words_of
 from boxlake.llm.graph import components
@@ -99,7 +100,7 @@ def heat_of(summed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, heat: np.ndarray) -> DataFrame:
-    """The shingles of each row that any partner of the likeness must share one of."""
+    """Each row's size, group counts and the shingles that any partner must share one of."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -108,27 +109,27 @@ def prefixes(docs: DataFrame, heat: np.ndarray) -> DataFrame:
                 n = len(tokens)
                 keep = n - (PART * n + WHOLE - 1) // WHOLE + 1 if n else 0
                 order = np.argsort(heat[_cells(tokens)], kind="stable")[:keep]
-                rows.append((ids[i], n, tokens[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
+                vec = np.bincount((tokens & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
+                rows.append((ids[i], n, vec.tobytes(), tokens[order].view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "n", "vec", "tokens"])
 
-    return docs.mapInPandas(run, "node long, n long, tokens array<long>")
+    return docs.mapInPandas(run, "node long, n long, vec binary, tokens array<long>")
 
 
-def points(docs: DataFrame) -> DataFrame:
-    """The whole set of each row, and its group counts."""
+def whole_sets(docs: DataFrame) -> DataFrame:
+    """The whole set of each row, as sorted hashes in a binary."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, rows = pdf["doc_id"].values, []
             for i, tokens in _each_set(pdf):
-                vec = np.bincount((tokens & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-                rows.append((ids[i], len(tokens), vec.tobytes(), tokens.tobytes()))
+                rows.append((ids[i], tokens.tobytes()))
                 if len(rows) >= 1000:
-                    yield pd.DataFrame(rows, columns=["node", "n", "vec", "tokens"])
+                    yield pd.DataFrame(rows, columns=["node", "tokens"])
                     rows = []
-            yield pd.DataFrame(rows, columns=["node", "n", "vec", "tokens"])
+            yield pd.DataFrame(rows, columns=["node", "tokens"])
 
-    return docs.mapInPandas(run, "node long, n long, vec binary, tokens binary")
+    return docs.mapInPandas(run, "node long, tokens binary")
 
 
 def needed(n, m):
@@ -207,32 +208,42 @@ def _survivors(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose whole sets are alike enough."""
+@F.pandas_udf(BooleanType())
+def _may_link(na: pd.Series, va: pd.Series, nb: pd.Series, vb: pd.Series) -> pd.Series:
+    """The bound: do summed minima of group counts reach the overlap that is needed?"""
+    left, right = (np.frombuffer(b"".join(v), "<u4").reshape(-1, GROUPS) for v in (va, vb))
+    return pd.Series(np.minimum(left, right).sum(1) >= needed(na.values, nb.values))
+
 
-    def shared(batches: Iterator[tuple]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            out = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum()) if len(y) else 0
-                out.append(WHOLE * both >= PART * (len(x) + len(y) - both))
-            yield pd.Series(out, dtype=bool)
+@F.pandas_udf(BooleanType())
+def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    out = []
+    for x, y in zip(left, right, strict=True):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        if len(x) > len(y):
+            x, y = y, x
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        both = int((y[at] == x).sum()) if len(y) else 0
+        out.append(WHOLE * both >= PART * (len(x) + len(y) - both))
+    return pd.Series(out, dtype=bool)
 
-    alike = F.pandas_udf("boolean")(_typed(shared))
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    joined = pairs.join(one, "a").join(two, "b").filter(f"{WHOLE} * least(na, nb) >= {PART} * greatest(na, nb)")
-    return joined.filter(alike("ta", "tb")).select("a", "b").distinct()
 
+def _bounded(pairs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` that sizes and group counts leave possible."""
+    for end in ("a", "b"):
+        pairs = pairs.join(listed.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("vec").alias(f"v{end}")), end)
+    fits = pairs.filter(f"{WHOLE} * least(na, nb) >= {PART} * greatest(na, nb)")
+    return fits.filter(_may_link("na", "va", "nb", "vb")).select("a", "b").distinct()
 
-def _typed(function):
-    function.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    return function
+
+def _linked(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose whole sets are alike enough."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = scratch.keep(whole_sets(docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")), "whole")
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("tokens").alias(f"t{end}")), end)
+    return pairs.filter(_alike("ta", "tb")).select("a", "b").distinct()
 
 
 def _labelled(met: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -254,12 +265,10 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     first = own.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
     keys = own.join(first, ["s1", "s2"], "left")
 
-    listed = prefixes(docs, heat).join(first.select("node").distinct(), "node", "left_semi")
-    met = listed.select("node", F.explode("tokens").alias("token")).distinct()
+    listed = scratch.keep(prefixes(docs, heat).join(first.select("node").distinct(), "node", "left_semi"), "prefixes")
+    met = listed.select("node", F.explode("tokens").alias("token"))
     busy = met.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
     met = scratch.keep(met.join(busy, "token"), "met")
-    chosen = met.select("node").distinct()
-    sets = scratch.keep(points(docs.join(chosen, F.col("doc_id") == F.col("node"), "left_semi")), "points")
 
     labels, links, tried = None, None, None
     for _ in range(STAR_ROUNDS):
@@ -269,9 +278,9 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
         pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs, "pairs")
+        pairs = scratch.keep(_bounded(pairs, listed), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = scratch.keep(_linked(pairs, sets), "links")
+        new = scratch.keep(_linked(pairs, docs, scratch), "links")
         links = new if links is None else links.unionByName(new)
         labels = scratch.keep(components(scratch, links), "labels")
 
@@ -281,13 +290,13 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     ).filter("labels > 1").select("token", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(sets.select("node", "n", "vec"), "node").select(
+    rows = rows.join(listed.select("node", "n", "vec"), "node").select(
         "token", "node", "label", "n", "vec", "own", "other",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     pairs = scratch.keep(_survivors(rows).join(tried, ["a", "b"], "left_anti"), "pairs")
-    new = scratch.keep(_linked(pairs, sets), "links")
+    new = scratch.keep(_linked(pairs, docs, scratch), "links")
     labels = scratch.keep(components(scratch, links.unionByName(new)), "labels")
     return keys, labels
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import Scratch, text_of
+from boxlake.llm.common import Scratch, let, text_of
 
 MIN_CHARS = 40
 LAST = (1 << 63) - 1
@@ -126,10 +126,13 @@ def deduplicated(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS)
     doc, tk = _order()
     joined = docs.withColumn("_d", doc).withColumn("_t", tk)
     joined = joined.join(gone, (F.col("_d") == F.col("_doc")) & (F.col("_t") == F.col("_tk")), "left").drop("_d", "_t", "_doc", "_tk")
-    lines = lines_of(text_of())
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_deleted"))
-    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))
+
+    def kept(lines: Column) -> Column:
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_deleted"))
+        return F.array_join(F.transform(numbers, lambda i: lines[i]), "\n")
+
+    text = F.when(F.col("_deleted").isNull(), F.col("text")).otherwise(let(lines_of(text_of()), kept))
     return joined.withColumns({
-        "_lines": F.size(lines).cast("long"), "text": text, "_runs": F.coalesce("_runs", F.lit(0).cast("long")),
+        "_lines": F.size(lines_of(text_of())).cast("long"), "text": text, "_runs": F.coalesce("_runs", F.lit(0).cast("long")),
         "_deleted": F.coalesce("_deleted", F.array().cast("array<int>")),
     })

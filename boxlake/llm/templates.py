@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import text_of
+from boxlake.llm.common import let, text_of
 
 WIDTH = 8
 MIN_COVER = 0.25
@@ -50,11 +50,18 @@ def template_tokens(text: Column) -> Column:
 
 def _windows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Each window's hash ``h``, place ``at`` (from 0) beside the tokens of its text."""
-    rows = rows.withColumn("tokens", template_tokens(F.col("text"))).drop("text")
-    canon = F.transform("tokens", lambda t: F.xxhash64(F.when(t.startswith("⟨"), F.substring(t, 1, 2)).otherwise(F.lower(t))))
-    rows = rows.withColumn("canon", canon).filter(F.size("canon") >= WIDTH)
-    hashes = F.transform(F.sequence(F.lit(1), F.size("canon") - (WIDTH - 1)), lambda i: F.xxhash64(F.slice("canon", i, WIDTH)))
-    return rows.select(*keys, "tokens", hashes.alias("hashes")).select(*keys, "tokens", F.posexplode("hashes").alias("at", "h"))
+
+    def hashed(canon: Column) -> Column:
+        starts = F.when(F.size(canon) >= WIDTH, F.sequence(F.lit(1), F.size(canon) - (WIDTH - 1)))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(canon, i, WIDTH)))
+
+    def both(tokens: Column) -> Column:
+        canon = F.transform(tokens, lambda t: F.xxhash64(F.when(t.startswith("⟨"), F.substring(t, 1, 2)).otherwise(F.lower(t))))
+        return F.struct(tokens.alias("tokens"), let(canon, hashed).alias("hashes"))
+
+    # The generator keeps the arrays from being computed anew by what reads them.
+    rows = rows.select(*keys, F.inline(F.array(let(template_tokens(F.col("text")), both))))
+    return rows.select(*keys, "tokens", F.posexplode("hashes").alias("at", "h"))
 
 
 def _slots(tokens: str, at: Column) -> Column:
