@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import jaccard, line_runs, pieces, quality, templates
+from boxlake.llm import jaccard, line_runs, pieces, pii, quality, templates
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -45,8 +45,26 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = [k.name for k in pii.KINDS if k.base]
+    return found.select(
+        "doc_id", *map(number, base),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
+    "op10_pii": op10_pii,
     "op6_decontamination": op6_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,

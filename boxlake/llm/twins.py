@@ -84,6 +84,57 @@ found AS (
 {keep}"""
 
 
+# Kind, pattern, check of a value ``v``, own score, context words, does it always stay.
+KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", 0.9, "mail|contact|write to", True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+     "list_bool_and(list_transform(string_split(v, '.'), lambda p: length(ltrim(p, '0')) < 3 OR (length(ltrim(p, '0')) = 3 AND ltrim(p, '0') <= '255')))",
+     0.6, "ip|host|server|address", True),
+    ("card", r"[0-9]([\x20-]?[0-9])+",
+     """length(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 13 AND 19 AND list_sum(list_transform(
+        string_split(reverse(regexp_replace(v, '[^0-9]', '', 'g')), ''),
+        lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INT) WHEN c > '4' THEN 2 * CAST(c AS INT) - 9 ELSE 2 * CAST(c AS INT) END)) % 10 = 0""",
+     0.7, "card|visa|credit|payment", True),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 9 AND 15", 0.6, "phone|tel|call|mobile|fax", True),
+    ("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+     """list_reduce(list_prepend(0, list_transform(
+        string_split(replace(v, ' ', '')[5:] || replace(v, ' ', '')[1:4], ''),
+        lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT))),
+        lambda a, x: (a * (CASE WHEN x > 9 THEN 100 ELSE 10 END) + x) % 97) = 1""",
+     0.7, "iban|account|bank", False),
+    ("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(v, '^(?:000|666|9)')", 0.3, "ssn|social security|tax id|national id", False),
+]
+
+
+def personal() -> str:
+    """Matches by splitting, starts by running sums of lengths."""
+    parts = []
+    for n, (kind, pattern, check, score, context, base) in enumerate(KINDS):
+        alone = "true" if base else "NOT regexp_matches(before || after, '[A-Za-z0-9]')"
+        keep = "true" if base else f"CASE WHEN regexp_matches(lead, '{context}') THEN {score} + 0.4 ELSE {score} END >= 0.5"
+        parts.append(f"""
+SELECT doc_id, {n} AS rank, '{kind}' AS kind, s AS start, s + length(v) AS stop, {str(base).lower()} AS base FROM (
+  SELECT doc_id, v, s, CASE WHEN s > 0 THEN substring(t, s, 1) ELSE '' END AS before, substring(t, s + length(v) + 1, 1) AS after,
+    lower(substring(t, greatest(s - 40, 0) + 1, least(s, 40))) AS lead
+  FROM (
+    SELECT doc_id, t, m[i] AS v, CAST(coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS INT) AS s
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM docs)))
+  WHERE {check})
+WHERE {alone} AND {keep}""")
+    label = "kind || ':' || start || ':' || stop"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(parts)})
+SELECT d.doc_id,
+  count(*) FILTER (WHERE kind = 'email') AS n_email, count(*) FILTER (WHERE kind = 'ip') AS n_ip,
+  count(*) FILTER (WHERE kind = 'card') AS n_card, count(*) FILTER (WHERE kind = 'phone') AS n_phone,
+  sha256(coalesce(string_agg({label}, ',' ORDER BY rank, start) FILTER (WHERE base), '')) AS base_sha256,
+  coalesce(string_agg({label}, ',' ORDER BY rank, start), '') AS spans
+FROM docs d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id"""
+
+
 TWINS: dict[str, str] = {
     "op2_line_dedup": line_dedup(
         "documents",
@@ -96,4 +147,5 @@ TWINS: dict[str, str] = {
   coalesce(string_agg(CAST(f.item_id AS VARCHAR), ',' ORDER BY f.item_id), '') AS items
 FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id GROUP BY d.doc_id""",
     ),
+    "op10_pii": personal(),
 }
