@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import jaccard, line_runs, pieces, pii, quality, templates
+from boxlake.llm import jaccard, line_runs, pieces, pii, quality, syncmers, templates
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -62,7 +62,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.neighbours(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 QUERIES = {
+    "op1_syncmers": op1_syncmers,
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
     "op10_pii": op10_pii,
     "op6_decontamination": op6_decontamination,
