@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import jaccard, line_runs, pieces, pii, quality, syncmers, templates
+from boxlake.llm import ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -66,7 +66,16 @@ def op1_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.neighbours(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ctw.scored(docs, ~held_out("doc_id", 7, 2), Scratch(spark))
+    return found.withColumn("held_out", ~F.col("training")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
+    "op9_ctw": op9_ctw,
     "op1_syncmers": op1_syncmers,
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
     "op10_pii": op10_pii,
