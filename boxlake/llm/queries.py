@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates
+from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -74,7 +74,13 @@ def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt.deduplicated(table(spark, sf_dir, "documents"), Scratch(spark))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op5_bwt_dedup": op5_bwt_dedup,
     "op9_ctw": op9_ctw,
     "op1_syncmers": op1_syncmers,
     "op4_sentencepiece": op4_sentencepiece, "op8_quality_classifier": op8_quality_classifier,
