@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates
+from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates, url_lists
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -79,7 +79,33 @@ def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _dated(keys: DataFrame, name: str) -> DataFrame:
+    """List entries of keys on days that a digest of the key gives: on, off and maybe on again."""
+
+    def day(at: int):
+        number = F.conv(F.substring(F.md5(F.col("key").cast("binary")), at, 4), 16, 10).cast("int") % 366
+        return F.date_add(F.lit("2024-01-01").cast("date"), number)
+
+    turns = F.array(*[F.struct(day(at).alias("at"), F.lit(action).alias("action")) for at, action in ((1, "add"), (5, "remove"), (9, "add"))])
+    return keys.select(F.lit(name).alias("list"), "key", F.inline(turns))
+
+
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures, one list of their domains and one of their first folders."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 366).cast("int"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched"))
+    keys = pages.select(F.explode(url_lists.keys_of(F.col("url"), 1)).alias("key")).distinct()
+    domains = keys.filter(r"key rlike '^d:[^.]+\\.[^.]+\\.[^.]+$'")
+    folders = keys.filter("key rlike '^p:[^/]+/[^/]+/$'")
+    found = url_lists.judged(pages, _dated(domains, "domains").unionByName(_dated(folders, "folders")))
+    return found.select(
+        "page_id", "url", F.col("fetched").cast("string").alias("fetched"), F.array_join("lists", ",").alias("lists"),
+        (F.size("lists") > 0).alias("blocked"),
+    )
+
+
 QUERIES = {
+    "op3_url_lists": op3_url_lists,
     "op5_bwt_dedup": op5_bwt_dedup,
     "op9_ctw": op9_ctw,
     "op1_syncmers": op1_syncmers,

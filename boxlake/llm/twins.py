@@ -148,4 +148,29 @@ TWINS: dict[str, str] = {
 FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id GROUP BY d.doc_id""",
     ),
     "op10_pii": personal(),
+    "op3_url_lists": """
+WITH p AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 366 AS INT) AS fetched,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#@]+)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/:?#@]+(?::[0-9]*)?(/[^/?#]+/)', 1) AS folder
+  FROM pages
+),
+keys AS (
+  SELECT DISTINCT 'domains' AS list, 'd:' || regexp_extract(host, '[^.]+[.][^.]+[.][^.]+$') AS key FROM p
+  WHERE regexp_matches(host, '[^.]+[.][^.]+[.][^.]+$')
+  UNION ALL SELECT DISTINCT 'folders', 'p:' || host || folder FROM p WHERE folder <> ''
+),
+entries AS (
+  SELECT list, key, DATE '2024-01-01' + CAST(('0x' || md5(key)[i:i + 3])::INT % 366 AS INT) AS day, action
+  FROM keys, (VALUES (1, 'add'), (5, 'remove'), (9, 'add')) t(i, action)
+),
+states AS (SELECT list, key, day, max(action) AS action FROM entries GROUP BY ALL),
+state AS (
+  SELECT p.page_id, s.list, s.key, arg_max(s.action, s.day) AS action FROM p JOIN states s ON s.day <= p.fetched
+    AND (s.key = 'p:' || p.host || p.folder OR 'd:' || p.host = s.key OR ends_with(p.host, '.' || s.key[3:]))
+  GROUP BY ALL
+),
+hits AS (SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM state WHERE action = 'add' GROUP BY page_id)
+SELECT p.page_id, p.url, CAST(p.fetched AS VARCHAR) AS fetched, coalesce(h.lists, '') AS lists, h.lists IS NOT NULL AS blocked
+FROM p LEFT JOIN hits h ON p.page_id = h.page_id""",
 }
