@@ -44,14 +44,15 @@ COMMON = {
         CAST(pts - fga + 10 AS DOUBLE) AS net_rating, CAST(tov * 10 AS DOUBLE) AS pace,
         CAST(0.5 AS DOUBLE) AS ts_pct
         FROM sides JOIN games USING (game_key)""",
-    "cbox": "SELECT * FROM tbox WHERE team_id <> opponent_team_id",
-    "scored": """SELECT b.*, o.pts AS opponent_pts, CAST(b.pts > o.pts AS INT) AS win FROM cbox b
-        LEFT JOIN cbox o ON o.game_id = b.game_id AND o.team_id = b.opponent_team_id""",
+    "scored": """SELECT b.*, o.pts AS opponent_pts, CAST(b.pts > o.pts AS INT) AS win FROM tbox b
+        LEFT JOIN tbox o ON o.game_id = b.game_id AND o.team_id = b.opponent_team_id""",
     "pbox": f"""SELECT game_key, game_id, season, game_date, home_team_id, away_team_id,
         {_columns(A.PLAYER_ENTRIES)}, {_columns(A.ENTRY_ORDER)}
         FROM lineitem JOIN games ON l_orderkey = game_key""",
+    "dtbox": f"SELECT * REPLACE ({_columns(A.DIRTY_TEAMBOX)}) FROM tbox",
+    "dpbox": f"SELECT * REPLACE ({_columns(A.DIRTY_PLAYERBOX)}) FROM pbox",
     "errs": """SELECT event_id AS id, 'load_' || (user_id % 4) AS process_name,
-        CASE WHEN user_id % 10 <> 0 THEN lpad(CAST(event_id % 500 AS VARCHAR), 10, '0') END AS game_id,
+        CASE WHEN user_id % 10 <> 0 THEN lpad(CAST(event_id - event_id % 3 AS VARCHAR), 10, '0') END AS game_id,
         CASE k % 3 WHEN 0 THEN 'ReadTimeout' WHEN 1 THEN 'ConnectionError' ELSE 'ValueError' END AS error_type,
         'event ' || event_id AS error_message, k % 5 = 0 AS is_resolved, ts AS created_at
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE event_type = 'error')""",
@@ -305,7 +306,7 @@ TWINS = {
         CASE WHEN n.game_id IS NULL THEN 'Old Arena' END AS arena_name,
         CASE WHEN n.game_id IS NOT NULL THEN 'City' END AS arena_city, {_ACTION.format(k='game_id')}
         FROM (SELECT * FROM games WHERE game_key % 7 <> 0) o
-        FULL JOIN (SELECT * FROM games WHERE game_key % 3 = 0) n ON n.game_id = o.game_id"""),
+        FULL JOIN (SELECT * FROM games WHERE game_key % 3 = 0 OR game_key % 7 = 0) n ON n.game_id = o.game_id"""),
     "side_unpivot": _with("games", """
         SELECT game_id, CAST(home_team_id AS BIGINT) AS team_id,
             (game_key + CASE WHEN game_key % 8 = 4 THEN 2 ELSE 0 END) % 5 AS fgm FROM games
@@ -324,7 +325,7 @@ TWINS = {
         {_keep_or_new(("season", "is_home", "opponent_team_id", "minutes", *TEAM_STATS, *TEAM_RATINGS), "game_id")},
         {_ACTION.format(k="game_id")}
         FROM (SELECT * REPLACE (CAST(1 AS INT) AS pts) FROM tbox
-              WHERE game_key % 4 <> 0 AND team_id <> opponent_team_id) o
+              WHERE game_key % 4 <> 0) o
         FULL JOIN (SELECT * REPLACE (pts + 2 AS pts, CAST(NULL AS VARCHAR) AS minutes) FROM tbox
                    WHERE game_key % 2 = 0
                    QUALIFY row_number() OVER (PARTITION BY game_id, team_id ORDER BY side DESC) = 1) n
@@ -364,7 +365,7 @@ TWINS = {
         coalesce(n.player_id, o.player_id) AS player_id,
         {_keep_or_new(("team_id", "season", "starter_flag", "minutes", "pts", "reb", "fgm", "plus_minus"), "game_id")},
         {_ACTION.format(k="game_id")}
-        FROM (SELECT *, true AS starter_flag FROM pbox WHERE game_key % 3 = 0
+        FROM (SELECT *, true AS starter_flag FROM pbox WHERE game_key % 3 = 0 OR game_key % 5 = 0
               QUALIFY row_number() OVER (PARTITION BY game_id, player_id ORDER BY {_ENTRY_KEYS}) = 1) o
         FULL JOIN (SELECT *, CAST(NULL AS BOOLEAN) AS starter_flag FROM pbox WHERE game_key % 5 <> 0
               QUALIFY row_number() OVER (PARTITION BY game_id, player_id ORDER BY {_ENTRY_LAST}) = 1) n
@@ -376,13 +377,13 @@ TWINS = {
     "season_format_a": f"SELECT *, {_season_ok(1000, 9999)} AS valid FROM ({_SEASON_TEXTS})",
     "season_format_b": f"SELECT *, {_season_ok(1946, 2100)} AS valid FROM ({_SEASON_TEXTS})",
     "validate_games": _with("dirty", _violations("dirty", "game_key", GAME_RULES)),
-    "validate_teambox": _with("games sides tbox", _violations("tbox", "game_id, side", TEAMBOX_RULES)),
-    "validate_playerbox": _with("games pbox", _violations("pbox", "game_id, player_id", PLAYERBOX_RULES)),
-    "violation_summary": _with("games dirty sides tbox pbox", "SELECT entity, field, rule, count(*) AS violations FROM ("
+    "validate_teambox": _with("games sides tbox dtbox", _violations("dtbox", "game_key, side", TEAMBOX_RULES)),
+    "validate_playerbox": _with("games pbox dpbox", _violations("dpbox", "game_key, player_id", PLAYERBOX_RULES)),
+    "violation_summary": _with("games dirty sides tbox dtbox pbox dpbox", "SELECT entity, field, rule, count(*) AS violations FROM ("
         + "\nUNION ALL ".join(
             f"SELECT '{e}' AS entity, field, rule FROM ({_violations(src, '', rules)})"
             for e, src, rules in (
-                ("game", "dirty", GAME_RULES), ("teambox", "tbox", TEAMBOX_RULES), ("playerbox", "pbox", PLAYERBOX_RULES),
+                ("game", "dirty", GAME_RULES), ("teambox", "dtbox", TEAMBOX_RULES), ("playerbox", "dpbox", PLAYERBOX_RULES),
             )
         ) + ") GROUP BY ALL"),
     "quality_passing": _with("games sides tbox", """SELECT game_id, side, pts FROM tbox WHERE fgm <= fga
@@ -461,11 +462,11 @@ TWINS = {
             {_keep_or_new(("group_name", "gp", "w", "min", "pts", "plus_minus"), "season")},
             {_ACTION.format(k="season")}
         FROM o FULL JOIN n USING ({", ".join(LINEUP_KEY)})"""),
-    "team_record": _with("games sides tbox cbox scored", """SELECT season, team_id, count(*) AS games,
+    "team_record": _with("games sides tbox scored", """SELECT season, team_id, count(*) AS games,
         count(*) FILTER (win = 1) AS wins, count(*) FILTER (pts < opponent_pts) AS losses,
         avg(off_rating) AS avg_off_rating, avg(def_rating) AS avg_def_rating, avg(net_rating) AS avg_net_rating
         FROM scored GROUP BY season, team_id"""),
-    "win_trend": _with("games sides tbox cbox scored", """SELECT season, team_id, CAST(game_date AS VARCHAR) AS game_date,
+    "win_trend": _with("games sides tbox scored", """SELECT season, team_id, CAST(game_date AS VARCHAR) AS game_date,
         game_id, coalesce(win, 0) AS win,
         CAST(sum(coalesce(win, 0)) OVER w AS BIGINT) AS running_wins, count(*) OVER w AS running_games FROM scored
         WINDOW w AS (PARTITION BY season, team_id ORDER BY scored.game_date, game_id
@@ -478,11 +479,11 @@ TWINS = {
         FROM pbox GROUP BY season, player_id"""),
     "game_box": _with("games pbox", """SELECT game_id, season, CAST(game_date AS VARCHAR) AS game_date, team_id,
         'Team ' || team_id AS team, player_id, p_name AS player, team_id = home_team_id AS is_home, minutes, pts, reb, ast
-        FROM pbox JOIN part ON p_partkey < 450 AND 1 + p_partkey % 450 = player_id
+        FROM pbox JOIN (SELECT 1 + p_partkey % 450 AS p, arg_min(p_name, p_partkey) AS p_name FROM part GROUP BY 1) ON p = player_id
         WHERE team_id IN (SELECT home_team_id FROM games)"""),
-    "season_change": _with("games sides tbox cbox", """SELECT team_id, season, pts,
+    "season_change": _with("games sides tbox", """SELECT team_id, season, pts,
         pts - lag(pts) OVER w AS pts_change, net - lag(net) OVER w AS net_change
-        FROM (SELECT team_id, season, CAST(sum(pts) AS BIGINT) AS pts, avg(net_rating) AS net FROM cbox GROUP BY 1, 2)
+        FROM (SELECT team_id, season, CAST(sum(pts) AS BIGINT) AS pts, avg(net_rating) AS net FROM tbox GROUP BY 1, 2)
         WINDOW w AS (PARTITION BY team_id ORDER BY season)"""),
     "empty_team_boxes": _with("games boxdocs boxsides boxrows", """SELECT game_id, team_id, season FROM boxrows
         WHERE s IS NULL"""),

@@ -5,7 +5,7 @@ error table. Expressions that are valid in Spark SQL and in DuckDB alike are kep
 text, so that a query and its twin start from the same rows.
 
 Conditions such as ``game_key % 7 <> 0`` describe what a table already holds; they make
-the difference between a target and its batch and do not shorten any input.
+the difference between a target and its batch; together these hold every source row.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ GAMES = {
     "season": season_sql("o_orderdate"),
     "game_date": "cast(o_orderdate as date)",
     "home_team_id": f"cast({FIRST_TEAM} + o_custkey % {TEAMS} as int)",
-    "away_team_id": f"cast({FIRST_TEAM} + (o_custkey * 7 + o_orderkey) % {TEAMS} as int)",
+    # Never the home team: one of the other teams, counted on from it.
+    "away_team_id": f"cast({FIRST_TEAM} + (o_custkey % {TEAMS} + 1 + (o_custkey * 7 + o_orderkey) % {TEAMS - 1}) % {TEAMS} as int)",
     "game_status": "o_orderstatus",
     "cust": "o_custkey",
 }
@@ -113,6 +114,21 @@ ENTRY_ORDER = {
 ENTRY_SEQUENCE = ["game_date", "game_id", *ENTRY_ORDER]
 
 
+# What the quality rules of box rows look for and clean rows never have.
+DIRTY_TEAMBOX = {
+    "game_id": "case when game_key % 101 = 0 then null when game_key % 103 = 0 then '' else game_id end",
+    "team_id": "cast(case when game_key % 107 = 0 then 0 when game_key % 109 = 0 then null else team_id end as int)",
+}
+DIRTY_PLAYERBOX = {
+    **DIRTY_TEAMBOX,
+    "player_id": "cast(case when s2 % 113 = 0 then 0 when s2 % 127 = 0 then null else player_id end as int)",
+    "ast": "cast(case when s2 % 83 = 0 then -3 else ast end as int)",
+    "stl": "cast(case when s2 % 79 = 0 then -1 else stl end as int)",
+    "blk": "cast(case when s3 % 73 = 0 then -4 else blk end as int)",
+    "pf": "cast(case when s2 % 71 = 0 then -1 else pf end as int)",
+}
+
+
 def columns_sql(expressions: dict[str, str]) -> list[str]:
     return [f"{e} as {n}" for n, e in expressions.items()]
 
@@ -190,13 +206,25 @@ def playerbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_defects(rows: DataFrame, defects: dict[str, str]) -> DataFrame:
+    return rows.withColumns({name: F.expr(e) for name, e in defects.items()})
+
+
+def dirty_teambox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_defects(teambox(spark, sf_dir), DIRTY_TEAMBOX)
+
+
+def dirty_playerbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_defects(playerbox(spark, sf_dir), DIRTY_PLAYERBOX)
+
+
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error table from the error events."""
     k = F.get_json_object("props", "$.k").try_cast("int")
     return table(spark, sf_dir, "events").filter("event_type = 'error'").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("load_"), (F.col("user_id") % 4).cast("string")).alias("process_name"),
-        F.when(F.col("user_id") % 10 != 0, F.lpad((F.col("event_id") % 500).cast("string"), 10, "0")).alias("game_id"),
+        F.when(F.col("user_id") % 10 != 0, F.lpad((F.col("event_id") - F.col("event_id") % 3).cast("string"), 10, "0")).alias("game_id"),
         F.element_at(F.array(F.lit("ReadTimeout"), F.lit("ConnectionError"), F.lit("ValueError")), k % 3 + 1).alias("error_type"),
         F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("error_message"),
         F.lit(None).cast("string").alias("stack_trace"),
