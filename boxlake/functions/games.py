@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boxlake.functions.parsing import strip
+
 
 def iso_date(text: Column) -> Column:
     """Date from the first ten characters of an ISO text, NULL when unreadable."""
@@ -27,4 +29,4 @@ def opponent(team: Column, home: Column, away: Column) -> Column:
 
 def full_name(first: Column, last: Column) -> Column:
     joined = F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))
-    return F.nullif(F.trim(joined), F.lit(""))
+    return F.nullif(strip(joined), F.lit(""))

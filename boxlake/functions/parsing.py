@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from boxlake.schemas import INT32_MAX, INT32_MIN
 
+INT64_MAX, INT64_MIN = (1 << 63) - 1, -(1 << 63)
+
 # Characters stripped from both ends of a text, and the accepted
 # spellings of the two truth values.
 BLANK_CODES = (
@@ -79,8 +81,14 @@ def strip(text: Column) -> Column:
 
 
 def to_long(value: Column) -> Column:
-    """Integer value: numbers cut toward zero, texts only if they spell an integer."""
-    return get(value, "$", "bigint")
+    """Integer value: numbers cut toward zero, texts only if they spell an integer.
+
+    A value past 64 bits is the nearest 64-bit integer, which fits no 32-bit column either.
+    """
+    size = to_double(value)
+    spelled = (kind(value) != "STRING") | get(value, "$", "string").rlike(r"^\s*[+-]?[0-9]+\s*$")
+    past = F.when((size > INT32_MAX) & spelled, F.lit(INT64_MAX)).when((size < INT32_MIN) & spelled, F.lit(INT64_MIN))
+    return F.coalesce(get(value, "$", "bigint"), past)
 
 
 def to_double(value: Column) -> Column:

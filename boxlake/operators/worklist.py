@@ -43,15 +43,26 @@ def first_n(todo: DataFrame, order: tuple[str, ...], n: int | None) -> DataFrame
 def first_n_per_season(todo: DataFrame, order: tuple[str, ...], n: int | None) -> DataFrame:
     """The first ``n`` entries of every season.
 
-    Spark prunes each map partition to ``n`` rows per season ahead of the shuffle as
-    long as ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``.
+    Entries are counted by blocks that follow the order (days, or leading characters of the
+    id). Blocks before the place where ``n`` is reached are taken whole, and only the block
+    at that place is sorted: a season of very many games is never ordered in one task.
     """
     if n is None:
         return todo
     if n < 0:
         raise ValueError("a work list limit cannot be negative")
-    place = F.row_number().over(Window.partitionBy("season").orderBy(*order))
-    return todo.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    block = F.col(order[0]) if len(order) > 1 else F.substring(order[0], 1, 8)
+    todo = todo.withColumn("_block", block)
+    before = Window.partitionBy("season").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = todo.groupBy("season", "_block").agg(F.count("*").alias("_size"))
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).filter(F.col("_before") < n)
+    blocks = blocks.withColumnsRenamed({"season": "_season", "_block": "_at"})
+    taken = todo.join(blocks, F.col("season").eqNullSafe(F.col("_season")) & F.col("_block").eqNullSafe(F.col("_at")))
+    whole = taken.filter(F.col("_before") + F.col("_size") <= n)
+    place = F.row_number().over(Window.partitionBy("season", "_block").orderBy(*order))
+    cut = taken.filter(F.col("_before") + F.col("_size") > n).withColumn("_place", place)
+    cut = cut.filter(F.col("_before") + F.col("_place") <= n).drop("_place")
+    return whole.unionByName(cut).drop("_block", "_season", "_at", "_size", "_before")
 
 
 def only_failed(todo: DataFrame, failed: DataFrame) -> DataFrame:

@@ -33,10 +33,6 @@ from boxlake.sources.warehouse import Append, Replace, Warehouse
 LOADED = (SPINE, FACT_GAMES, DIM_TEAMS, DIM_PLAYERS, TEAMBOX, PLAYERBOX)
 REPORT_SCHEMA = "stage string, season string, success long, failed long, attempted long"
 
-# A work list up to this many games is sent to every executor to filter the landed
-# documents before they are parsed (ten-character ids: some tens of megabytes). A longer
-# list leaves all documents of the season to be parsed and joins the extracted rows.
-BROADCAST_GAMES = 1_000_000
 
 
 @dataclass
@@ -51,7 +47,6 @@ class Load:
     limit: int | None = None
     fmt: str = "json"
     zero_as_missing: bool = True
-    broadcast_games: int = BROADCAST_GAMES
     retry: bool = False
     # Only documents landed at or after this time; parquet landings skip older data.
     landed_since: datetime | None = None
@@ -61,6 +56,7 @@ class Load:
         self.working = Working(self.spark)
         self.outcomes: dict[str, DataFrame] = {}
         self.refused: list[str] = []
+        self.listed: list[str] = []
         # One fixed time for everything the run writes.
         if self.run_ts is None:
             self.run_ts = datetime.now(timezone.utc)
@@ -71,9 +67,10 @@ class Load:
 
     def _landed(self, kind: str, todo: DataFrame | None = None) -> DataFrame:
         rows = landing.landed(self.spark, self.landing_root, kind, self.seasons, self.fmt, self.landed_since)
-        if todo is None or todo.count() > self.broadcast_games:
+        if todo is None:
             return rows
-        return rows.join(F.broadcast(todo.select("game_id")), "game_id", "left_semi")
+        # Spark sends a short list to every executor and deals both sides out for a long one.
+        return rows.join(todo.select("game_id"), "game_id", "left_semi")
 
     def _with_season_order(self, df: DataFrame) -> DataFrame:
         order = F.array_position(F.array(*map(F.lit, self.seasons)), F.col("season"))
@@ -122,9 +119,11 @@ class Load:
     def load_spine(self) -> None:
         """New game ids; a season whose finder rows lack a column is refused as a whole."""
         rows = landing.finder_rows(self._landed("finder"))
-        self.refused = [r.season for r in landing.finder_status(rows).filter("not ok").select("season").collect()]
+        status = {r.season: r.ok for r in landing.finder_status(rows).collect()}
+        self.refused = [s for s, ok in status.items() if not ok]
+        self.listed = [s for s, ok in status.items() if ok]
         if self.refused and len(self.seasons) == 1 and not self.keep_going:
-            raise ValueError(f"finder rows of {self.refused[0]} lack one of {landing.FINDER_COLUMNS}")
+            raise ValueError(f"finder rows of {self.refused[0]} cannot be read or lack one of {landing.FINDER_COLUMNS}")
         self.seasons = [s for s in self.seasons if s not in self.refused]
         if not self.seasons:
             return
@@ -138,7 +137,7 @@ class Load:
     def load_games(self) -> None:
         wh = self.warehouse
         todo = self._todo(
-            W.missing_games(wh.read("spine"), wh.read("fact_games"), self.seasons), W.SPINE_ORDER, "games"
+            W.missing_games(wh.read("spine", self.seasons), wh.read("fact_games", self.seasons), self.seasons), W.SPINE_ORDER, "games"
         )
         if todo is None:
             return
@@ -156,7 +155,7 @@ class Load:
     def load_teambox(self) -> None:
         wh = self.warehouse
         todo = self._todo(
-            W.missing_boxes(wh.read("fact_games"), wh.read(TEAMBOX.name), self.seasons), W.GAME_ORDER, "teambox"
+            W.missing_boxes(wh.read("fact_games", self.seasons), wh.read(TEAMBOX.name, self.seasons), self.seasons), W.GAME_ORDER, "teambox"
         )
         if todo is None:
             return
@@ -174,7 +173,7 @@ class Load:
     def load_players(self) -> None:
         wh = self.warehouse
         todo = self._todo(
-            W.missing_boxes(wh.read("fact_games"), wh.read(PLAYERBOX.name), self.seasons), W.GAME_ORDER, "playerbox"
+            W.missing_boxes(wh.read("fact_games", self.seasons), wh.read(PLAYERBOX.name, self.seasons), self.seasons), W.GAME_ORDER, "playerbox"
         )
         if todo is None:
             return
@@ -279,7 +278,7 @@ def backfill(
     """Load several seasons; returns the stage report and (season, ok).
 
     A malformed season text refuses the whole run. A season that cannot be listed is
-    reported as failed while the others are loaded.
+    reported as failed while the others are loaded; so is one that has not landed.
     """
     texts = spark.createDataFrame([(s,) for s in seasons], "season string")
     invalid = [r.season for r in texts.filter(~is_season_text(F.col("season"), LEAGUE_YEARS)).collect()]
@@ -287,7 +286,7 @@ def backfill(
         raise ValueError(f"seasons must look like 2023-24: {invalid}")
     load = Load(spark, warehouse, landing_root, list(seasons), keep_going=True, **options)
     report = load.run()
-    return report, texts.withColumn("ok", ~F.col("season").isin(load.refused))
+    return report, texts.withColumn("ok", F.col("season").isin(load.listed))
 
 
 def land_adapted(spark: SparkSession, sf_dir: str, root: str) -> None:

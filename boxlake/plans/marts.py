@@ -13,10 +13,13 @@ def _share(made: str, tried: str) -> Column:
 def scored_games(box: DataFrame) -> DataFrame:
     """Team rows with the opponent's points; ``win`` is NULL when either score is.
 
-    The join key is the primary key of the table on both sides, so no key is hot.
+    A game has one row per team, so the opponent's points are what the game's other row
+    has: one window over a game instead of a join of the table with itself.
     """
-    other = box.select("game_id", F.col("team_id").alias("opponent_team_id"), F.col("pts").alias("opponent_pts"))
-    return box.join(other, ["game_id", "opponent_team_id"], "left").withColumn(
+    game = Window.partitionBy("game_id")
+    others = F.count("pts").over(game) - F.col("pts").isNotNull().cast("int")
+    rest = F.sum("pts").over(game) - F.coalesce("pts", F.lit(0))
+    return box.withColumn("opponent_pts", F.when(others == 1, rest).cast("int")).withColumn(
         "win", (F.col("pts") > F.col("opponent_pts")).cast("int")
     )
 

@@ -488,10 +488,10 @@ def stage_report(spark, d):
 
 
 def backfill_summary(spark, d):
-    """Seasons whose finder rows carry the required columns; one season is stripped of them."""
-    landed = A.finder_landed(spark, d).withColumn(
-        "payload", F.when(F.col("season") == "1996-97", F.lit('{"TEAM_ID":1}')).otherwise(F.col("payload"))
-    )
+    """Seasons that can be listed; one lacks the required columns, one has unreadable rows."""
+    payload = F.when(F.col("season") == "1996-97", F.lit('{"TEAM_ID":1}'))
+    payload = payload.when((F.col("season") == "1995-96") & (F.crc32(F.col("payload").cast("binary")) % 2 == 0), F.lit("<html>busy</html>"))
+    landed = A.finder_landed(spark, d).withColumn("payload", payload.otherwise(F.col("payload")))
     return R.backfill_summary(landing.finder_status(landing.finder_rows(landed)))
 
 

@@ -58,8 +58,8 @@ COMMON = {
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE event_type = 'error')""",
     "recent_errs": "SELECT * FROM errs WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY",
     # The outcome of each landed document kind.
-    "summaries": """SELECT *, CASE game_key % 8 WHEN 1 THEN 'no_summary' WHEN 3 THEN 'missing_team_ids'
-        WHEN 4 THEN 'missing_game_time' WHEN 5 THEN 'unreadable_time' WHEN 7 THEN 'malformed_payload' END
+    "summaries": """SELECT *, CASE WHEN game_key % 8 = 0 AND game_key % 23 = 0 THEN 'out_of_range' ELSE CASE game_key % 8 WHEN 1 THEN 'no_summary' WHEN 3 THEN 'missing_team_ids'
+        WHEN 4 THEN 'missing_game_time' WHEN 5 THEN 'unreadable_time' WHEN 7 THEN 'malformed_payload' END END
         AS reject_reason FROM games""",
     "dims": f"""SELECT game_id, pos,
         CASE WHEN none OR w <> 2 THEN tid ELSE tid + 100 END AS team_id,
@@ -76,7 +76,8 @@ COMMON = {
                     WHERE reject_reason IS NULL))""",
     # s: which statistics object a team gets, NULL for none.
     "boxdocs": """SELECT *, CASE WHEN game_key % 11 = 0 THEN 'not_landed'
-        WHEN game_key % 8 = 7 THEN 'malformed_payload' END AS reject_reason FROM games""",
+        WHEN game_key % 8 = 7 THEN 'malformed_payload'
+        WHEN game_key % 8 = 0 AND game_key % 23 = 0 THEN 'out_of_range' END AS reject_reason FROM games""",
     "boxsides": """
         SELECT *, CAST(0 AS INT) AS pos, home_team_id AS team_id, true AS is_home, away_team_id AS opponent_team_id,
             CASE WHEN game_key % 8 = 4 THEN 2 WHEN game_key % 8 <= 3 AND home_team_id = away_team_id THEN 1 ELSE 0 END AS s
@@ -98,7 +99,8 @@ COMMON = {
         CASE WHEN game_key % 3 = 0 THEN CAST(r AS DOUBLE) ELSE CAST('9' || CAST(r AS VARCHAR) || '.25' AS DOUBLE) END AS pace,
         CASE WHEN s IS NOT NULL THEN 0.625::DOUBLE END AS ts_pct
         FROM (SELECT *, (cust + s) % 7 AS p, (game_key + s) % 5 AS m, (cust + s) % 4 AS r FROM boxsides)""",
-    "playerdocs": """SELECT *, CASE WHEN game_key % 13 = 0 THEN 'not_landed' ELSE CASE game_key % 8
+    "playerdocs": """SELECT *, CASE WHEN game_key % 13 = 0 THEN 'not_landed'
+        WHEN game_key % 8 = 0 AND game_key % 23 = 0 THEN 'out_of_range' ELSE CASE game_key % 8
         WHEN 1 THEN 'no_player_table' WHEN 2 THEN 'no_player_table' WHEN 5 THEN 'missing_player_columns'
         WHEN 6 THEN 'no_player_rows' WHEN 7 THEN 'malformed_payload' END END AS reject_reason FROM games""",
     "listed": """SELECT *, (cust * 3 + i * i) % 450 + 1 AS p,
@@ -435,7 +437,7 @@ TWINS = {
         UNION ALL SELECT 'teambox', season, reject_reason FROM boxdocs
         UNION ALL SELECT 'playerbox', season, reject_reason FROM playerdocs) GROUP BY stage, season"""),
     "backfill_summary": _with("games", """SELECT ok, count(*) AS seasons, string_agg(season, ', ' ORDER BY season) AS season_list
-        FROM (SELECT DISTINCT season, season <> '1996-97' AS ok FROM games
+        FROM (SELECT DISTINCT season, season NOT IN ('1996-97', '1995-96') AS ok FROM games
               WHERE game_key % 17 <> 0 AND game_key % 19 <> 0) GROUP BY ok"""),
     "retry_worklist": _with("games errs", f"""SELECT game_id, season {_MISSING_TEAMBOX} AND game_id IN
         (SELECT game_id FROM errs WHERE process_name = 'load_2' AND NOT is_resolved AND game_id IS NOT NULL)"""),
@@ -444,9 +446,10 @@ TWINS = {
         FROM errs WHERE game_id IS NOT NULL"""),
     "lineup_failure_ledger": _with("errs", """SELECT game_id, CAST(id % 30 AS VARCHAR) AS team_id, error_type,
         error_message AS message FROM errs WHERE game_id IS NOT NULL"""),
-    "lineup_rejects": _with("games", """SELECT season, 'missing_lineup_columns' AS reject_reason, count(*) AS documents
-        FROM games WHERE game_key % 9 = 0 GROUP BY season"""),
-    "lineup_upsert": _with("games", f""", g AS (SELECT *, unnest(range(0, 3)) AS i FROM games WHERE game_key % 9 <> 0),
+    "lineup_rejects": _with("games", """SELECT season, CASE WHEN game_key % 9 = 0 THEN 'missing_lineup_columns' ELSE 'out_of_range' END AS reject_reason,
+        count(*) AS documents FROM games WHERE game_key % 9 = 0 OR (game_key % 8 = 0 AND game_key % 23 = 0) GROUP BY ALL"""),
+    "lineup_upsert": _with("games", f""", g AS (SELECT *, unnest(range(0, 3)) AS i FROM games
+            WHERE game_key % 9 <> 0 AND NOT (game_key % 8 = 0 AND game_key % 23 = 0)),
         n AS (SELECT season, home_team_id AS team_id, CAST(2 + game_key % 4 AS INT) AS group_quantity,
             '-' || ((cust + i) % 40) || '-' AS group_id, 'Group ' || ((cust + i) % 40) AS group_name,
             CAST(1 + (cust + i) % 82 AS INT) AS gp, CAST((cust + i) % 41 AS INT) AS w,

@@ -18,15 +18,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for the costly work behind a scan of few splits.
-
-    A scan that already has enough splits, as any large one does, is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def working_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)

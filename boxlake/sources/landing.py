@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import parsing as P
-from boxlake.sources.files import exists, spread
+from boxlake.sources.files import exists
 
 # Request parameters of the season finder and its required columns.
 LEAGUE = "00"
@@ -44,17 +44,17 @@ def landed(
         rows = rows.filter(F.col("season").isin(list(seasons)))
     if since is not None and "landed_at" in rows.columns:
         rows = rows.filter(F.col("landed_at") >= F.lit(since))
-    return spread(rows)
+    return rows
 
 
 def finder_rows(landed_finder: DataFrame, league: str = LEAGUE, season_type: str = SEASON_TYPE) -> DataFrame:
     """Finder rows of the wanted competition, with column presence kept for checking."""
     docs = landed_finder.filter((F.col("league") == league) & (F.col("season_type") == season_type)).select(
         "season", P.parse_document(F.col("payload")).alias("doc")
-    )
+    ).withColumn("readable", F.col("doc").isNotNull())
     fields = {name: P.get(F.col("doc"), f"$.{name}") for name in FINDER_COLUMNS}
     return docs.select(
-        "season",
+        "season", "readable",
         *[v.isNotNull().alias(f"has_{n.lower()}") for n, v in fields.items()],
         P.to_text(fields["GAME_ID"]).alias("game_id"),
         P.to_text(fields["WL"]).alias("wl"),
@@ -62,9 +62,12 @@ def finder_rows(landed_finder: DataFrame, league: str = LEAGUE, season_type: str
 
 
 def finder_status(rows: DataFrame) -> DataFrame:
-    """(season, ok): a season is refused when a required column is in none of its rows."""
+    """(season, ok): a season is refused when a required column is in none of its rows.
+
+    So is one with a payload that cannot be read: which games it named is not known.
+    """
     present = [F.bool_or(f"has_{n.lower()}") for n in FINDER_COLUMNS]
-    return rows.groupBy("season").agg(F.least(*present).alias("ok"))
+    return rows.groupBy("season").agg(F.least(*present, F.bool_and("readable")).alias("ok"))
 
 
 def completed_games(rows: DataFrame) -> DataFrame:

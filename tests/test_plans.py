@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from boxlake.operators import worklist as W
 from boxlake.plans.queries import QUERIES
 
 
@@ -13,7 +17,22 @@ def test_worklists_are_anti_joins(spark, sf_dir):
     for name in ("missing_games", "missing_teambox", "missing_playerbox"):
         assert "LeftAnti" in _plan(spark, sf_dir, name)
     assert "TakeOrderedAndProject" in _plan(spark, sf_dir, "worklist_one_season")
-    assert "WindowGroupLimit" in _plan(spark, sf_dir, "worklist_first_n")
+
+
+def test_limits_sort_blocks_and_not_seasons(spark):
+    todo = spark.range(5000).selectExpr(
+        "lpad(cast(id as string), 10, '0') as game_id", "if(id % 5 = 0, 'b', 'a') as season",
+        "date_add(date'2024-01-01', cast(id % 90 as int)) as game_date",
+    )
+    for order in (W.SPINE_ORDER, W.GAME_ORDER):
+        for n in (0, 7, 2500):
+            taken = W.first_n_per_season(todo, order, n)
+            place = F.row_number().over(Window.partitionBy("season").orderBy(*order))
+            want = todo.withColumn("place", place).filter(F.col("place") <= n)
+            assert sorted(r.game_id for r in taken.collect()) == sorted(r.game_id for r in want.collect())
+        plan = taken._jdf.queryExecution().executedPlan().toString()
+        ranks = [line for line in plan.splitlines() if "Window [row_number" in line]
+        assert ranks and all("_block" in line for line in ranks)
 
 
 def test_scans_are_pruned(spark, sf_dir):
