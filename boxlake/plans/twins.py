@@ -264,9 +264,9 @@ TWINS = {
     "parse_bool": """SELECT o_orderkey, CASE
         WHEN o_orderkey % 26 IN (0, 2, 3, 4, 5, 6, 7, 14, 15, 16, 17, 24) THEN true
         WHEN o_orderkey % 26 IN (20, 21, 22, 23) THEN NULL ELSE false END AS parsed FROM orders""",
-    "parse_string": """SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 'hello'
-        WHEN 1 THEN 'Hello World ' || o_custkey WHEN 2 THEN CAST(o_custkey AS VARCHAR) WHEN 3 THEN o_custkey || '.5'
-        WHEN 7 THEN 'hello' WHEN 8 THEN 'True' WHEN 9 THEN 'False' END AS parsed FROM orders""",
+    "parse_string": """SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 'ball'
+        WHEN 1 THEN 'Two Words ' || o_custkey WHEN 2 THEN CAST(o_custkey AS VARCHAR) WHEN 3 THEN o_custkey || '.5'
+        WHEN 7 THEN 'ball' WHEN 8 THEN 'True' WHEN 9 THEN 'False' END AS parsed FROM orders""",
     "nested_get": _with("games", """SELECT game_id,
         CASE WHEN game_key % 8 IN (1, 6, 7) THEN 'none' ELSE 'Arena ' || (cust % 50) END AS arena_name,
         CASE WHEN game_key % 8 IN (1, 6, 7) THEN 'none' END AS arena_state FROM games"""),

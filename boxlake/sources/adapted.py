@@ -444,15 +444,15 @@ def lineups_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # JSON snippets by position; ``%`` is replaced by the customer number.
 NUMBER_SNIPPETS = (
-    "%", '"%"', "%.7", '"%.7"', '"invalid"', '""', "null", "[%]", '{"value":%}', "true",
+    "%", '"%"', "%.7", '"%.7"', '"none"', '""', "null", "[%]", '{"n":%}', "true",
     '"  %  "', "-%.7", "1e3", '"-%"',
 )
 BOOL_SNIPPETS = (
     "true", "false", '"true"', '"TRUE"', '"t"', '"yes"', '"y"', '"1"', '"false"', '"FALSE"', '"f"',
-    '"no"', '"n"', '"0"', "1", "42", "-1", "1.0", "0", "0.0", '"maybe"', "null", '""', "[true]",
+    '"no"', '"n"', '"0"', "1", "42", "-1", "1.0", "0", "0.0", '"perhaps"', "null", '""', "[true]",
     '"  true  "', '"  false  "',
 )
-TEXT_SNIPPETS = ('"hello"', '"Hello World %"', "%", "%.5", "null", '""', '"   "', '"  hello  "', "true", "false")
+TEXT_SNIPPETS = ('"ball"', '"Two Words %"', "%", "%.5", "null", '""', '"   "', '"  ball  "', "true", "false")
 OPERAND_SNIPPETS = ("%", "0", "0.0", '"0"', '""', "false", "[]", "{}", "null", '"word"')
 
 
