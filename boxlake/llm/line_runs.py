@@ -122,10 +122,10 @@ def deduplicated(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS)
     runs = repeated_runs(docs, scratch, min_chars)
     gone = runs.groupBy("doc", "tk").agg(
         F.sort_array(F.flatten(F.collect_list(F.sequence("start", "stop")))).alias("_deleted"), F.count("*").alias("_runs")
-    ).withColumnsRenamed({"doc": "_doc", "tk": "_tk"})
+    ).withColumnsRenamed({"doc": "__doc", "tk": "__tk"})
     doc, tk = _order()
-    joined = docs.withColumn("_d", doc).withColumn("_t", tk)
-    joined = joined.join(gone, (F.col("_d") == F.col("_doc")) & (F.col("_t") == F.col("_tk")), "left").drop("_d", "_t", "_doc", "_tk")
+    joined = docs.withColumn("__d", doc).withColumn("__t", tk)
+    joined = joined.join(gone, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left").drop("__d", "__t", "__doc", "__tk")
 
     def kept(lines: Column) -> Column:
         numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_deleted"))

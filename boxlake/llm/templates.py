@@ -123,7 +123,7 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item leaked into, as they are."""
-    found = leaked(docs, benchmark).select(F.col("doc").alias("_doc"), F.col("tk").alias("_tk"))
+    found = leaked(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
     doc, tk = _order()
-    marked = docs.withColumn("_d", doc).withColumn("_t", tk)
-    return marked.join(found, F.col("_d").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_tk")), "left_anti").drop("_d", "_t")
+    marked = docs.withColumn("__d", doc).withColumn("__t", tk)
+    return marked.join(found, F.col("__d").eqNullSafe(F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left_anti").drop("__d", "__t")
