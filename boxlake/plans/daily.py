@@ -53,7 +53,8 @@ class Load:
     keep_going: bool = False
 
     def __post_init__(self):
-        self.working = Working(self.spark)
+        # Beside the tables: a place that every executor reaches.
+        self.working = Working(self.spark, f"{self.warehouse.root}/_working")
         self.outcomes: dict[str, DataFrame] = {}
         self.refused: list[str] = []
         self.listed: list[str] = []
@@ -219,6 +220,15 @@ class Load:
             LINEUPS.name: Replace(merged.drop(M.ACTION), tuple(self.seasons)),
             "etl_errors": Append(E.error_rows(rejects, self.run_ts)),
         })
+        reason = F.coalesce("reject_reason", F.when(F.col("_bad"), "unknown_reference"))
+        outcome = groups.join(orphans.withColumn("_bad", F.lit(True)), "team_id", "left").withColumn("reject_reason", reason)
+        outcome = self.working.keep(outcome.select("season", "team_id", "reject_reason"), "lineups_outcome")
+        self.outcomes["lineups"] = outcome
+        failed = outcome.filter("reject_reason is not null").select(
+            F.lit("lineups").alias("process"), F.lit(None).cast("string").alias("game_id"), "team_id",
+            F.col("reject_reason").alias("error_type"), X.reject_message(F.col("reject_reason")).alias("message"),
+        )
+        ledger.append(failed, f"{wh.root}/_lineup_failures", ledger.LINEUP_FIELDS)
 
     # --- whole run -------------------------------------------------------------------
 

@@ -19,6 +19,7 @@ from boxlake.plans import marts
 from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYERBOX, SPINE, TEAMBOX, TEAM_RATINGS, TEAM_STATS
 from boxlake.sources import adapted as A
 from boxlake.sources import landing, ledger
+from boxlake.sources.files import Working
 
 # One time for everything that would be "now".
 RUN_TS = "2024-01-31 00:00:00"
@@ -507,14 +508,19 @@ def failure_ledger(spark, d):
         "game_id", "error_type",
         F.when(F.col("id") % 3 == 0, F.concat("error_message", F.lit("\tretry\tlater"))).otherwise(F.col("error_message")).alias("message"),
     )
-    return ledger.parse_lines(ledger.format_lines(failures)).withColumn("message", F.replace("message", F.lit("\t"), F.lit("|")))
+    path = f"{Working(spark).root}/ledger"
+    ledger.append(failures.withColumn("process", F.lit("games")), path)
+    found = ledger.read(spark, path).drop("process")
+    return found.withColumn("message", F.replace("message", F.lit("\t"), F.lit("|")))
 
 
 def lineup_failure_ledger(spark, d):
     failures = A.errors(spark, d).filter("game_id is not null").select(
         "game_id", (F.col("id") % 30).cast("string").alias("team_id"), "error_type", F.col("error_message").alias("message")
     )
-    return ledger.parse_lines(ledger.format_lines(failures, ledger.LINEUP_FIELDS), ledger.LINEUP_FIELDS)
+    path = f"{Working(spark).root}/ledger"
+    ledger.append(failures.withColumn("process", F.lit("lineups")), path, ledger.LINEUP_FIELDS)
+    return ledger.read(spark, path, ledger.LINEUP_FIELDS).drop("process")
 
 
 # --- lineups -------------------------------------------------------------------------

@@ -55,6 +55,12 @@ def mark_resolved(
     return open_ones
 
 
+def compact(warehouse: Warehouse, names: list[str], seasons: list[str]) -> None:
+    """Rewrite the seasons of some tables as one folder each: every load appends another."""
+    for season in seasons:
+        warehouse.commit({name: Replace(warehouse.read(name, [season]), (season,)) for name in names})
+
+
 def delete_games(warehouse: Warehouse, games: DataFrame, seasons: list[str]) -> None:
     """Delete games of some seasons together with their box rows."""
     surviving = warehouse.read("fact_games", seasons).join(games.select("game_id").distinct(), "game_id", "left_anti")

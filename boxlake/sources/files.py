@@ -35,9 +35,9 @@ class Working:
     for every output derived from it.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = f"{working_root(spark)}/boxlake-{uuid.uuid4().hex}"
+        self.root = f"{root or working_root(spark)}/boxlake-{uuid.uuid4().hex}"
         self.kept = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:

@@ -226,6 +226,11 @@ def test_backfill(spark, place):
     assert {r.season: r.ok for r in statuses.collect()} == {"2022-23": False, "2023-24": True, SEASON: True}
     assert report.filter("stage = 'playerbox' and success = 1").count() == 2
     assert warehouse.read("fact_games", ["2023-24"]).count() == 1
+    landing.game("0022100001", 10, 11, day="2021-11-15", season="2021-22")
+    landing.finder(["<html>busy</html>"], season="2021-22")
+    report, statuses = D.backfill(spark, warehouse, str(landing.root), ["2020-21", "2021-22", SEASON], run_ts=NOW)
+    assert {r.season: r.ok for r in statuses.collect()} == {"2020-21": False, "2021-22": False, SEASON: True}
+    assert warehouse.read("fact_games", ["2021-22"]).count() == 0
     report, statuses = D.backfill(spark, warehouse, str(landing.root), ["2022-23"], run_ts=NOW)
     assert report.count() == 0 and [r.ok for r in statuses.collect()] == [False]
     with pytest.raises(ValueError, match="GAME_ID"):
@@ -249,6 +254,8 @@ def test_lineups(spark, place):
     rows = {(r.team_id, r.group_id, r.gp, r["min"]) for r in warehouse.read("lineupbox_season").collect()}
     assert rows == {(10, "-1-2-", 6, None), (10, "-1-3-", 1, None)}
     assert {r.error_type for r in warehouse.read("etl_errors").collect()} == {"missing_lineup_columns", "unknown_reference"}
+    failed = ledger.read(spark, f"{warehouse.root}/_lineup_failures", ledger.LINEUP_FIELDS).collect()
+    assert {(r.team_id, r.error_type) for r in failed} == {("11", "missing_lineup_columns"), ("99", "unknown_reference")}
 
 
 def test_stream_drives_the_load(spark, place, tmp_path):
@@ -264,6 +271,10 @@ def test_stream_drives_the_load(spark, place, tmp_path):
     assert drain() == 1
     landing.game("0022300001", 10, 11, season="2023-24")
     assert drain() == 2
+    landing.write("lineups", [{"team_id": 10, "group_quantity": 2, "landed_at": "2024-11-01T00:00:00Z", "payload": {"tables": [[{"GROUP_ID": "-1-2-", "GP": 5}]]}}])
+    assert drain() == 2
+    assert warehouse.read("lineupbox_season").count() == 1
+    U.compact(warehouse, ["playerbox_pergame"], [SEASON, "2023-24"])
     assert drain() == 2
 
 
