@@ -234,6 +234,10 @@ def _truthy(i: str) -> str:
     return _TRUTHY.format(i=i)
 
 
+def _row_text(*columns: str) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+
+
 TWINS = {
     "spine_extract": _with("games completed", "SELECT DISTINCT game_id, season FROM completed"),
     "spine_insert_ignore": _with("games completed", """
@@ -490,7 +494,7 @@ TWINS = {
         WINDOW w AS (PARTITION BY team_id ORDER BY season)"""),
     "empty_team_boxes": _with("games boxdocs boxsides boxrows", """SELECT game_id, team_id, season FROM boxrows
         WHERE s IS NULL"""),
-    "daily_run_idempotent": _with("games completed summaries dims boxdocs playerdocs listed", """,
+    "daily_run_idempotent": _with("games completed summaries dims boxdocs boxsides boxrows playerdocs listed", """,
         spine AS (SELECT DISTINCT game_id FROM completed),
         loaded AS (SELECT game_id FROM summaries WHERE reject_reason IS NULL AND game_id IN (SELECT game_id FROM spine)),
         teams AS (SELECT DISTINCT team_id FROM dims WHERE game_id IN (SELECT game_id FROM loaded)),
@@ -498,12 +502,23 @@ TWINS = {
             AND home_team_id IN (SELECT team_id FROM teams) AND away_team_id IN (SELECT team_id FROM teams)),
         entries AS (SELECT * FROM listed WHERE game_id IN (SELECT game_id FROM loaded) AND game_id NOT IN
             (SELECT game_id FROM listed WHERE t NOT IN (SELECT team_id FROM teams))),
-        counts AS (
-            SELECT 'spine' AS table_name, count(*) AS row_count FROM spine
-            UNION ALL SELECT 'fact_games', count(*) FROM loaded
-            UNION ALL SELECT 'dim_teams', count(*) FROM teams
-            UNION ALL SELECT 'dim_players', count(DISTINCT p) FROM entries
-            UNION ALL SELECT 'teambox_pergame', coalesce(CAST(sum(CASE WHEN home_team_id = away_team_id THEN 1 ELSE 2 END) AS BIGINT), 0) FROM boxes
-            UNION ALL SELECT 'playerbox_pergame', count(DISTINCT game_id || '/' || p) FROM entries)
-        SELECT CAST(run AS INT) AS run, table_name, row_count FROM counts, (VALUES (1), (2)) AS r(run)"""),
+        facts AS (SELECT *, CASE WHEN game_key % 8 <> 6 THEN 'Arena ' || (cust % 50) END AS arena_name,
+            CASE WHEN game_key % 8 <> 6 AND cust % 3 <> 0 THEN 'City' || (cust % 50) END AS arena_city
+            FROM summaries WHERE game_id IN (SELECT game_id FROM loaded)),
+        dim AS (SELECT team_id, """
+        + ", ".join(f"arg_max({c}, season || game_id || pos) FILTER ({c} IS NOT NULL) AS {c}" for c in ("abbreviation", "team_name", "city", "full_name"))
+        + """ FROM dims JOIN (SELECT game_id, season FROM loaded JOIN games USING (game_id)) USING (game_id) GROUP BY team_id),
+        people AS (SELECT p, arg_max(full_name, season || CAST(game_date AS VARCHAR) || game_id) FILTER (full_name IS NOT NULL) AS full_name
+            FROM (SELECT *, nullif(trim(CASE WHEN (p + i) % 3 <> 0 THEN 'First' || p ELSE '' END || ' ' ||
+                      CASE WHEN p % 4 <> 0 THEN 'Last' || (p + i) ELSE '' END), '') AS full_name FROM entries
+                  QUALIFY row_number() OVER (PARTITION BY game_id, p ORDER BY i) = 1) GROUP BY p),
+        boxed AS (SELECT * FROM boxrows WHERE game_id IN (SELECT game_id FROM boxes)),
+        played AS (SELECT *, CASE WHEN t = home_team_id THEN true WHEN t = away_team_id THEN false END AS is_home FROM entries
+            QUALIFY row_number() OVER (PARTITION BY game_id, p ORDER BY i DESC) = 1)
+        SELECT 'spine' AS table_name, """ + _row_text("game_id", "season") + """ AS row_text FROM (SELECT DISTINCT game_id, season FROM completed)
+        UNION ALL SELECT 'fact_games', """ + _row_text("game_id", "season", "game_date", "home_team_id", "away_team_id", "game_status", "arena_name", "arena_city") + """ FROM facts
+        UNION ALL SELECT 'dim_teams', """ + _row_text("team_id", "abbreviation", "team_name", "city", "full_name") + """ FROM dim
+        UNION ALL SELECT 'dim_players', """ + _row_text("p", "full_name") + """ FROM people
+        UNION ALL SELECT 'teambox_pergame', """ + _row_text("game_id", "team_id", "season", "is_home", "opponent_team_id", "minutes", "pts", "fgm", "fga", "ast", "stl") + """ FROM boxed
+        UNION ALL SELECT 'playerbox_pergame', """ + _row_text("game_id", "p", "t", "season", "is_home", "(i + 10) || ':30'", "(cust + i) % 3", "i", "i - 3") + """ FROM played"""),
 }
