@@ -1,14 +1,17 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are alike by 0.8 or more.
 
 Texts of equal sets are one class. Classes meet where they share a shingle in the part of
-their set that any pair of this likeness must share (the first fifth in one global order,
-in which shingles that many documents have come last). Where classes meet, their shingles,
-hashed into groups and counted, are points; an R-tree over these points bounds the overlap
-of two sets by the sum of coordinate minima, and surviving pairs are verified on the whole
-sets. Rounds of links to one representative join most of a group of near copies first, so
-that only pairs of different components are left to the tree; a place where very many
+their set that any pair of this likeness must share: the first fifth in one global order,
+by hash, with shingles that ``HEAVY`` or more classes list last. Where classes meet, their
+shingles, hashed into groups and counted, are points; an R-tree over these points bounds the
+overlap of two sets by the sum of coordinate minima, and surviving pairs are verified on the
+whole sets. Rounds of links to one representative join most of a group of near copies first,
+so that only pairs of different components are left to the tree; a place where very many
 meet is cut into blocks, and every pair of blocks is searched.
 
+Each class lists its first shingles by hash, some more than a fifth. If so many of these are
+heavy that the list may not reach to the end of its part, the whole set is ranked instead.
+
 A null or empty text, or one without words, has an empty set and is linked with nothing;
 fewer words than five are one shingle. Rows that share an id count as one document, rows
 without an id get no component. Repeated rows get equal results.
@@ -20,7 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -30,8 +34,10 @@ from boxlake.llm.graph import components
 WORDS = 5
 #: Likeness as a fraction; links need ``TENTHS[1] * shared >= TENTHS[0] * together``.
 PART, WHOLE = 4, 5
-GROUPS = 32
-CELLS = 1 << 16
+#: Groups of the tree's points, and of the finer counts that its pairs must pass too.
+GROUPS = 64
+FINE = 512
+HEAVY = 64
 LEAF = 32
 BLOCK = 2_000
 STAR_ROUNDS = 2
@@ -66,70 +72,70 @@ def _each_set(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
             yield from zip(range(a, b), shingle_sets(texts[a:b]), strict=True)
 
 
-def _cells(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(48)).astype(np.int64)
-
-
 def summaries(docs: DataFrame) -> DataFrame:
-    """Set size and 128-bit identity of every row; each task adds one row of shingle counts."""
+    """Set size and 128-bit identity of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(CELLS, np.int64)
         for pdf in batches:
             rows = []
             for _, tokens in _each_set(pdf):
-                counts += np.bincount(_cells(tokens), minlength=CELLS)
                 s1, s2 = int(mix(tokens ^ _STEP).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(tokens + _STEP), initial=0))
-                rows.append((len(tokens), s1 - (1 << 63), s2 - (1 << 63), None))
-            out = pd.DataFrame(rows, columns=["n", "s1", "s2", "counts"])
+                rows.append((len(tokens), s1 - (1 << 63), s2 - (1 << 63)))
+            out = pd.DataFrame(rows, columns=["n", "s1", "s2"])
             out.insert(0, "doc_id", pdf["doc_id"].values)
             yield out
-        yield pd.DataFrame([(None, -1, 0, 0, counts)], columns=["doc_id", "n", "s1", "s2", "counts"]).astype({"doc_id": "Int64"})
 
-    return docs.mapInPandas(run, "doc_id long, n long, s1 long, s2 long, counts array<long>")
+    return docs.mapInPandas(run, "doc_id long, n long, s1 long, s2 long")
 
 
-def heat_of(summed: DataFrame) -> np.ndarray:
-    """For each of a fixed number of cells, how many doublings above the mean its count is."""
-    cells = summed.filter("n = -1").select(F.posexplode("counts").alias("cell", "k")).filter("k > 0")
-    rows = cells.groupBy("cell").agg(F.sum("k").alias("k")).collect()
-    counts = np.zeros(CELLS)
-    for r in rows:
-        counts[r["cell"]] = r["k"]
-    return np.floor(np.log2(np.maximum(counts / max(counts.mean(), 1e-9), 1))).astype(np.uint8)
+def _needed_part(n):
+    """Number of shingles in one order of which any partner shares one."""
+    return n - (PART * n + WHOLE - 1) // WHOLE + 1
 
 
-def prefixes(docs: DataFrame, heat: np.ndarray) -> DataFrame:
-    """Each row's size, group counts and the shingles that any partner must share one of."""
+def lists(docs: DataFrame) -> DataFrame:
+    """Each row's size, group counts and its first shingles by hash, ``spare`` more than needed."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, rows = pdf["doc_id"].values, []
             for i, tokens in _each_set(pdf):
                 n = len(tokens)
-                keep = n - (PART * n + WHOLE - 1) // WHOLE + 1 if n else 0
-                order = np.argsort(heat[_cells(tokens)], kind="stable")[:keep]
-                vec = np.bincount((tokens & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-                rows.append((ids[i], n, vec.tobytes(), tokens[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "vec", "tokens"])
+                spare = min(n // 16 + 4, n - _needed_part(n)) if n else 0
+                fine = np.bincount((tokens & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+                vec = np.minimum(fine.reshape(-1, GROUPS).sum(0), np.iinfo("u2").max).astype("<u2")
+                fine = np.minimum(fine, np.iinfo("u1").max).astype("u1")
+                first = tokens[: _needed_part(n) + spare] if n else tokens
+                rows.append((ids[i], n, spare, vec.tobytes(), fine.tobytes(), first.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "n", "spare", "vec", "fine", "tokens"])
+
+    return docs.mapInPandas(run, "node long, n long, spare long, vec binary, fine binary, tokens array<long>")
+
 
-    return docs.mapInPandas(run, "node long, n long, vec binary, tokens array<long>")
+def _needed_sql(n: str) -> Column:
+    return F.col(n) - F.floor((PART * F.col(n) + WHOLE - 1) / WHOLE) + 1
 
 
-def whole_sets(docs: DataFrame) -> DataFrame:
-    """The whole set of each row, as sorted hashes in a binary."""
+def whole_sets(docs: DataFrame, kind: str = "binary") -> DataFrame:
+    """The whole set of each row as sorted hashes, in a binary or an array."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, rows = pdf["doc_id"].values, []
             for i, tokens in _each_set(pdf):
-                rows.append((ids[i], tokens.tobytes()))
+                rows.append((ids[i], tokens.tobytes() if kind == "binary" else tokens.view(np.int64)))
                 if len(rows) >= 1000:
                     yield pd.DataFrame(rows, columns=["node", "tokens"])
                     rows = []
             yield pd.DataFrame(rows, columns=["node", "tokens"])
 
-    return docs.mapInPandas(run, "node long, tokens binary")
+    return docs.mapInPandas(run, f"node long, tokens {kind}")
+
+
+def overlaps(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima; a count at the end of its range may stand for any number."""
+    least = np.minimum(left, right)
+    return np.where(least == np.iinfo(least.dtype).max, 1 << 40, least.astype(np.int64)).sum(-1)
 
 
 def needed(n, m):
@@ -158,13 +164,13 @@ class CountTree:
             top, low, high = self.levels[depth]
             fits = (WHOLE * high[at] >= PART * size) & (PART * low[at] <= WHOLE * size)
             at = at[fits]
-            at = at[np.minimum(top[at], vec).sum(1) >= needed(size, np.maximum(low[at], PART * size // WHOLE))]
+            at = at[overlaps(top[at], vec) >= needed(size, np.maximum(low[at], PART * size // WHOLE))]
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
             at = at[at < (len(self.levels[depth - 1][1]) if depth else len(self.sizes))]
         sizes = self.sizes[at]
         fits = (WHOLE * np.minimum(sizes, size) >= PART * np.maximum(sizes, size))
         at, sizes = at[fits], sizes[fits]
-        return self.order[at[np.minimum(self.vecs[at], vec).sum(1) >= needed(size, sizes)]]
+        return self.order[at[overlaps(self.vecs[at], vec) >= needed(size, sizes)]]
 
 
 def _survivors(rows: DataFrame) -> DataFrame:
@@ -173,22 +179,42 @@ def _survivors(rows: DataFrame) -> DataFrame:
     ``rows`` are sorted by place within partitions; a place may continue in the next batch.
     """
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        vecs = np.frombuffer(b"".join(pdf["vec"]), "<u4").reshape(-1, GROUPS).astype(np.int64)
-        sizes, labels, nodes = pdf["n"].values, pdf["label"].values, pdf["node"].values
-        a, b = pdf["own"].values, pdf["other"].values
+    def small(group, vecs, sizes, labels, nodes) -> list[np.ndarray]:
+        """All pairs of groups that a block of the tree would hold, one distance at a time."""
         found = []
-        if len(pdf) == 2:
-            if labels[0] != labels[1] and np.minimum(vecs[0], vecs[1]).sum() >= needed(sizes[0], sizes[1]):
-                found.append((min(nodes), max(nodes)))
-        else:
-            tree = CountTree(vecs, sizes)
-            for i in range(len(pdf)):
-                hits = tree.near(vecs[i], sizes[i])
-                # Within a block each pair once; of two blocks, pairs across only.
-                hits = hits[(nodes[hits] > nodes[i]) & (labels[hits] != labels[i]) & ((a[hits] != a[i]) | (a[i] == b[i]))]
-                found += [(nodes[i], nodes[j]) for j in hits]
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+        for d in range(1, len(group)):
+            at = np.flatnonzero(group[d:] == group[:-d])
+            if not len(at):
+                break
+            x, y = at, at + d
+            fits = (labels[x] != labels[y]) & (WHOLE * np.minimum(sizes[x], sizes[y]) >= PART * np.maximum(sizes[x], sizes[y]))
+            x, y = x[fits], y[fits]
+            fits = overlaps(vecs[x], vecs[y]) >= needed(sizes[x], sizes[y])
+            x, y = nodes[x[fits]], nodes[y[fits]]
+            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+        return found
+
+    def large(vecs, sizes, labels, nodes, own, across) -> list[np.ndarray]:
+        tree, found = CountTree(vecs, sizes), []
+        for i in range(len(sizes)):
+            hits = tree.near(vecs[i], sizes[i])
+            # Within a block each pair once; of two blocks, pairs across only.
+            hits = hits[(nodes[hits] > nodes[i]) & (labels[hits] != labels[i]) & ((own[hits] != own[i]) | (not across))]
+            found.append(np.stack([np.full(len(hits), nodes[i]), nodes[hits]], 1))
+        return found
+
+    def search(pdf: pd.DataFrame, cut: np.ndarray) -> pd.DataFrame:
+        vecs = np.frombuffer(b"".join(pdf["vec"]), "<u2").reshape(-1, GROUPS)
+        sizes, labels, nodes, own = (pdf[c].values for c in ("n", "label", "node", "own"))
+        across = (pdf["low"] != pdf["high"]).values
+        lengths = np.diff(np.append(cut, len(pdf)))
+        group = np.repeat(np.arange(len(cut)), lengths)
+        few = np.repeat(lengths <= 2 * LEAF, lengths) & ~across
+        found = small(group[few], vecs[few], sizes[few], labels[few], nodes[few])
+        for x, y in zip(cut, cut + lengths, strict=True):
+            if not few[x]:
+                found += large(vecs[x:y], sizes[x:y], labels[x:y], nodes[x:y], own[x:y], across[x])
+        return pd.DataFrame(np.concatenate([np.zeros((0, 2), np.int64), *found]), columns=["a", "b"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -198,12 +224,11 @@ def _survivors(rows: DataFrame) -> DataFrame:
                 continue
             place = pdf[["token", "low", "high"]].values
             cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(1)]))
-            parts = [search(pdf.iloc[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
             rest = pdf.iloc[cut[-1] :]
-            if parts:
-                yield pd.concat(parts)
-        if rest is not None:
-            yield search(rest)
+            if len(cut) > 1:
+                yield search(pdf.iloc[: cut[-1]], cut[:-1])
+        if rest is not None and len(rest):
+            yield search(rest, np.zeros(1, np.int64))
 
     return rows.mapInPandas(run, "a long, b long").distinct()
 
@@ -211,8 +236,8 @@ def _survivors(rows: DataFrame) -> DataFrame:
 @F.pandas_udf(BooleanType())
 def _may_link(na: pd.Series, va: pd.Series, nb: pd.Series, vb: pd.Series) -> pd.Series:
     """The bound: do summed minima of group counts reach the overlap that is needed?"""
-    left, right = (np.frombuffer(b"".join(v), "<u4").reshape(-1, GROUPS) for v in (va, vb))
-    return pd.Series(np.minimum(left, right).sum(1) >= needed(na.values, nb.values))
+    left, right = (np.frombuffer(b"".join(v), "u1").reshape(-1, FINE) for v in (va, vb))
+    return pd.Series(overlaps(left, right) >= needed(na.values, nb.values))
 
 
 @F.pandas_udf(BooleanType())
@@ -232,7 +257,7 @@ def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
 def _bounded(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` that sizes and group counts leave possible."""
     for end in ("a", "b"):
-        pairs = pairs.join(listed.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("vec").alias(f"v{end}")), end)
+        pairs = pairs.join(listed.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("fine").alias(f"v{end}")), end)
     fits = pairs.filter(f"{WHOLE} * least(na, nb) >= {PART} * greatest(na, nb)")
     return fits.filter(_may_link("na", "va", "nb", "vb")).select("a", "b").distinct()
 
@@ -260,15 +285,24 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     summed = scratch.keep(summaries(docs), "sets")
-    heat = heat_of(summed)
-    own = summed.filter("n >= 0").drop("counts")
-    first = own.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
-    keys = own.join(first, ["s1", "s2"], "left")
-
-    listed = scratch.keep(prefixes(docs, heat).join(first.select("node").distinct(), "node", "left_semi"), "prefixes")
-    met = listed.select("node", F.explode("tokens").alias("token"))
-    busy = met.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    met = scratch.keep(met.join(busy, "token"), "met")
+    first = summed.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
+    keys = summed.join(first, ["s1", "s2"], "left")
+
+    listed = scratch.keep(lists(docs).join(first.select("node").distinct(), "node", "left_semi"), "lists")
+    shown = listed.select("node", "spare", F.explode("tokens").alias("token"))
+    busy = shown.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token", (F.col("k") >= HEAVY).alias("heavy"))
+    shared = scratch.keep(shown.join(busy, "token"), "shared")
+    crowded = shared.filter("heavy").groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare")).filter("k > spare")
+    crowded = scratch.keep(crowded.select("node"), "crowded")
+    # Of a crowded class every shingle is ranked; heavy is what lists have shown to be so.
+    whole = whole_sets(docs.join(crowded, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text"), "array<long>")
+    whole = whole.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    heavy = shared.filter("heavy").select("token").distinct().withColumn("heavy", F.lit(1))
+    order = W.partitionBy("node").orderBy(F.coalesce("heavy", F.lit(0)), "place")
+    ranked = whole.join(heavy, "token", "left").withColumn("place", F.col("token").bitwiseXOR(F.lit(-(1 << 63))))
+    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= _needed_sql("n"))
+    met = shared.filter("not heavy").join(crowded, "node", "left_anti").select("node", "token")
+    met = scratch.keep(met.unionByName(ranked.select("node", "token")), "met")
 
     labels, links, tried = None, None, None
     for _ in range(STAR_ROUNDS):
@@ -295,7 +329,7 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-    pairs = scratch.keep(_survivors(rows).join(tried, ["a", "b"], "left_anti"), "pairs")
+    pairs = scratch.keep(_bounded(_survivors(rows).join(tried, ["a", "b"], "left_anti"), listed), "pairs")
     new = scratch.keep(_linked(pairs, docs, scratch), "links")
     labels = scratch.keep(components(scratch, links.unionByName(new)), "labels")
     return keys, labels
