@@ -6,25 +6,45 @@ on their own, case by case.
 
 from __future__ import annotations
 
-from boxlake.operators.extract import REASONS
-from boxlake.operators.quality import (
-    GAME_ID_LENGTH_TEXT,
-    NEGATIVE_TEXT,
-    NEVER_NEGATIVE,
-    POINTS_TEXT,
-    REBOUNDS_TEXT,
-    REQUIRED_TEXTS,
-    SAME_TEAMS_TEXT,
-    SEASON_TEXT,
-    SHOT_TEXTS,
-    SHOTS,
-    THREES_MADE_TEXT,
-    THREES_TRIED_TEXT,
-)
 from boxlake.schemas import LINEUP_KEY, TEAM_RATINGS, TEAM_STATS
 from boxlake.sources import adapted as A
 
 
+# Expected texts, written out: a changed text in the code must not change its twin.
+REQUIRED_TEXTS = {
+    "game_id": "Game ID is required",
+    "team_id": "Team ID is required",
+    "player_id": "Player ID is required",
+    "home_team_id": "Home team ID is required",
+    "away_team_id": "Away team ID is required",
+    "game_date": "Game date is required",
+}
+GAME_ID_LENGTH_TEXT = "Game ID must be exactly 10 characters"
+SAME_TEAMS_TEXT = "Home and away team IDs must be different"
+SEASON_TEXT = "Season must be in format YYYY-YY (e.g., 2024-25)"
+SHOTS = (("field_goals", "fgm", "fga"), ("three_pointers", "fg3m", "fg3a"), ("free_throws", "ftm", "fta"))
+SHOT_TEXTS = {
+    "field_goals": "Field goals made cannot exceed attempts",
+    "three_pointers": "Three pointers made cannot exceed attempts",
+    "free_throws": "Free throws made cannot exceed attempts",
+}
+POINTS_TEXT = "Points cannot be negative"
+REBOUNDS_TEXT = "Total rebounds significantly differs from oreb + dreb"
+THREES_MADE_TEXT = "Three pointers made cannot exceed total field goals made"
+THREES_TRIED_TEXT = "Three pointers attempted cannot exceed total field goals attempted"
+NEVER_NEGATIVE = ("pts", "reb", "ast", "stl", "blk", "pf")
+NEGATIVE_TEXT = "{} cannot be negative"
+# Of the reasons only those that games of the queries have.
+REASONS = {
+    "malformed_payload": "landed document is not a JSON object",
+    "no_summary": "no summary object in the document",
+    "missing_team_ids": "home or away team id missing or unreadable",
+    "missing_game_time": "neither a UTC nor a local game time",
+    "unreadable_time": "game date or time cannot be read",
+    "out_of_range": "a number does not fit its column or a text is too long",
+}
+
+
 def _columns(expressions: dict[str, str]) -> str:
     return ", ".join(A.columns_sql(expressions))
 
