@@ -79,8 +79,8 @@ def likeness(one: np.ndarray, two: np.ndarray) -> float:
     return float((np.isin(both, one) & np.isin(both, two)).sum() / len(both))
 
 
-def shown(own: np.ndarray) -> str:
-    return own.astype(">u4").tobytes().hex()
+def shown(own: np.ndarray) -> bytes:
+    return own.astype(">u4").tobytes()
 
 
 def sketches(texts: list[bytes]) -> list[np.ndarray]:
@@ -103,7 +103,8 @@ def syncmers(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "doc_id long, positions array<long>, hashes array<long>")
 
 
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+# Digests stay binary until they are returned: as text they take twice the room.
+RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _COLUMNS = [c.split()[0] for c in RESULT.split(", ")]
 
 
@@ -120,7 +121,7 @@ def _compare(ids: list, texts: list[str], owned: list[np.ndarray]) -> list[tuple
     rows = []
     for i, (blob, own) in enumerate(zip(blobs, sketches(blobs), strict=True)):
         rows.append((
-            ids[i], len(texts[i]), hashlib.sha256(blob).hexdigest(), shown(owned[i]), shown(own),
+            ids[i], len(texts[i]), hashlib.sha256(blob).digest(), shown(owned[i]), shown(own),
             likeness(owned[i], own), likeness(owned[i], owned[i + 1]),
         ))
     return rows
@@ -193,4 +194,5 @@ def neighbours(docs: DataFrame, scratch: Scratch) -> DataFrame:
             yield out.astype({"doc_id": "Int64", "n_chars": "Int64"})
 
     joined = last.join(first, "next").select("doc_id", "text", "following").mapInPandas(ends, RESULT)
-    return table.filter("role = 'row'").select(*_COLUMNS).unionByName(joined)
+    rows = table.filter("role = 'row'").select(*_COLUMNS).unionByName(joined)
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
