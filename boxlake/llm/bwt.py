@@ -6,7 +6,8 @@ string, so strings repeat only where anchors do. What repeats around an anchor i
 on its context, the bytes that such strings can reach:
 
 1. Anchors of one document are dropped; of the rest, equal contexts become one.
-2. Contexts that differ at one anchor are the texts of shards. Each shard's suffixes are
+2. Contexts that differ at one anchor and share at least half of what a string has beside it
+   are the texts of shards. Each shard's suffixes are
    ordered by prefix doubling, which gives its transform. The transforms are merged by
    refining their interleave, one symbol of prefix at a time (``LENGTH`` rounds); a border
    that shows in round ``k`` has common prefix ``k - 1``. Intervals of common prefix
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from boxlake.llm.common import ROLLING, Scratch, chunks, mix, text_of
 
 LENGTH = 50
-K = 16
+K = 24
 REACH = LENGTH - K  # bytes of a context on either side of its anchor
 WIDE = K + 2 * REACH
 MANY = 20_000
@@ -98,7 +99,7 @@ def _listed(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """``h, c, doc, low, context``: bytes of the wanted contexts, ``low`` of them before the anchor."""
+    """``h, c, doc, low, context`` (for each row): bytes of the wanted contexts, ``low`` of them before the anchor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -176,6 +177,25 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
     return place, common
 
 
+def promising(contexts: list[bytes], lows: np.ndarray) -> np.ndarray:
+    """May a string around the anchor stand in another of the contexts?
+
+    A string has at least half of its other bytes on one side of the anchor, so this half and
+    the anchor must be in another context too.
+    """
+    half = REACH // 2
+    data = np.frombuffer(b"".join(contexts) + bytes(WIDE), np.uint8)
+    sizes = np.array([len(c) for c in contexts])
+    begin = np.cumsum(sizes) - sizes
+    sums = ROLLING.sums(data)
+    out = np.zeros(len(contexts), bool)
+    for start, fits in ((begin + lows - half, lows >= half), (begin + lows, sizes - lows >= K + half)):
+        start = start[fits]
+        _, place, times = np.unique(ROLLING.ranges(sums, start, start + K + half), return_inverse=True, return_counts=True)
+        out[fits] |= times[place] > 1
+    return out
+
+
 def repeats(contexts: list[bytes], lows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """For each context, bits of the strings that start in a context of a smaller id.
 
@@ -221,6 +241,9 @@ def _decided(rows: DataFrame) -> DataFrame:
             yield done(held)
 
     def done(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[promising(list(pdf["context"]), pdf["low"].values)]
+        if not len(pdf):
+            return pd.DataFrame({"c": [], "bits": []}, dtype=np.int64)
         return pd.DataFrame({"c": pdf["c"].values, "bits": repeats(list(pdf["context"]), pdf["low"].values, pdf["doc"].values)})
 
     return rows.repartition("h").sortWithinPartitions("h").mapInPandas(run, "c long, bits long")
@@ -249,17 +272,18 @@ def removals(docs: DataFrame, scratch: Scratch) -> DataFrame:
     found = _listed(docs)
     span = found.groupBy("h").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.min("c").alias("c1"), F.max("c").alias("c2"))
     span = scratch.keep(span.filter("d1 < d2").select("h", (F.col("c1") != F.col("c2")).alias("mixed")), "anchors")
-    met = scratch.keep(found.join(span, "h"), "met")
-    first = met.groupBy("h", "c").agg(F.min("doc").alias("first"), F.first("mixed").alias("mixed"))
-    first = scratch.keep(first, "contexts")
-    many = first.filter("mixed").groupBy("h").agg(F.count("*").alias("k")).filter(F.col("k") > MANY).select("h", F.lit(True).alias("many"))
+    met = scratch.keep(found.join(span, "h").select("c", "doc", "mixed"), "met")
+    first = scratch.keep(met.groupBy("c").agg(F.min("doc").alias("first"), F.first("mixed").alias("mixed")), "contexts")
     wanted = first.filter("mixed").groupBy(F.col("first").alias("doc")).agg(F.collect_list("c").alias("wanted"))
-    bytes_of = scratch.keep(_contexts(docs.join(wanted, "doc")).dropDuplicates(["c"]).join(many, "h", "left"), "bytes")
+    bytes_of = scratch.keep(_contexts(docs.join(wanted, "doc")), "bytes")
+    many = bytes_of.groupBy("h").agg(F.count("*").alias("k")).filter(F.col("k") > MANY).select("h", F.lit(True).alias("many"))
+    bytes_of = bytes_of.join(many, "h", "left")
     bits = _decided(bytes_of.filter("many is null").drop("many")).unionByName(_by_strings(bytes_of.filter("many").drop("many")))
-    bits = scratch.keep(bits.filter("bits <> 0"), "bits")
+    # Rows of one id and text give a context more than once.
+    bits = scratch.keep(bits.filter("bits <> 0").groupBy("c").agg(F.bit_or("bits").alias("bits")), "bits")
     # A later copy of a whole context loses all its strings, the first one what its bits say.
-    own = first.join(bits, "c", "left").select("h", "c", "first", F.coalesce("bits", F.lit(0)).alias("bits"))
-    marked = met.select("h", "c", "doc").join(own, ["h", "c"])
+    own = first.join(bits, "c", "left").select("c", "first", F.coalesce("bits", F.lit(0)).alias("bits"))
+    marked = met.select("c", "doc").join(own, "c")
     marked = marked.select("doc", "c", F.when(F.col("doc") > F.col("first"), F.lit(ALL)).otherwise(F.col("bits")).alias("bits")).filter("bits <> 0")
     return marked.groupBy("doc").agg(F.collect_list("c").alias("cs"), F.collect_list("bits").alias("bs"))
 
