@@ -129,7 +129,7 @@ def suffixes(symbols: np.ndarray) -> np.ndarray:
         ahead = np.zeros_like(rank)
         ahead[:, :-step] = rank[:, step:] + 1
         key = (rank * (rank.max() + 2) + ahead).ravel()
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get one rank in any order
         new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty(rows * width, np.int64)
         rank[order] = new
@@ -146,35 +146,36 @@ def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]
     A shard is a matrix of strings that end with the symbol 0. Suffixes are numbered as
     they stand, shard after shard. Equal prefixes of ``depth`` have that common prefix.
     """
-    orders, transforms, at = [], [], 0
+    orders, transforms, steps, at = [], [], [], 0
     for strings in shards:
         order = suffixes(strings)
-        before = np.roll(strings, 1, axis=1).ravel()
+        before = np.roll(strings, 1, axis=1).ravel()[order]
+        # Where the suffix that is one symbol longer stands in its shard.
+        step = np.empty(len(order), np.int32)
+        step[np.argsort(before, kind="stable")] = np.arange(at, at + len(order), dtype=np.int32)
         orders.append(order + at)
-        transforms.append(before[order])
+        transforms.append(before)
+        steps.append(step)
         at += strings.size
-    transform = np.concatenate(transforms)
-    source = np.repeat(np.arange(len(shards)), [s.size for s in shards]).astype(np.uint16)
-    ends = np.repeat(np.arange(len(shards)), [len(s) for s in shards]).astype(np.uint16)
-    interleave, block = source, np.zeros(at, np.int32)
+    transform, step = np.concatenate(transforms), np.concatenate(steps)
+    starts = np.cumsum([0, *[s.size for s in shards[:-1]]])
+    ends = np.concatenate([np.arange(a, a + len(s), dtype=np.int32) for a, s in zip(starts, shards, strict=True)])
+    # The interleave, as the next unread place of a shard for each position.
+    unread, block = np.arange(at, dtype=np.int32), np.zeros(at, np.int32)
     common = np.full(at, -1, np.int16)
-    symbol = np.empty(at, transform.dtype)
     for k in range(1, depth + 1):
-        # The next unread symbol of each source, in the order of the interleave.
-        symbol[np.argsort(interleave, kind="stable")] = transform
+        symbol = transform[unread]
         moved = np.argsort(symbol, kind="stable")
-        interleave, block, front = interleave[moved], block[moved], symbol[moved]
+        unread, block, front = step[unread[moved]], block[moved], symbol[moved]
         # Ends of strings have no further symbol: they stay one block in their first order.
-        interleave[: len(ends)], block[: len(ends)] = ends, 0
+        unread[: len(ends)], block[: len(ends)] = ends, 0
         border = np.concatenate([[True], (front[1:] != front[:-1]) | (block[1:] != block[:-1])])
         common[border & (common < 0)] = k - 1
         block = np.cumsum(border, dtype=np.int32)
         if border.all():
             break
     common[common < 0] = depth
-    place = np.empty(at, np.int64)
-    place[np.argsort(interleave, kind="stable")] = np.concatenate(orders)
-    return place, common
+    return np.concatenate(orders)[unread], common
 
 
 def promising(contexts: list[bytes], lows: np.ndarray) -> np.ndarray:
@@ -202,10 +203,10 @@ def repeats(contexts: list[bytes], lows: np.ndarray, docs: np.ndarray) -> np.nda
     Bit ``j``: the string from ``j - REACH`` bytes off the anchor on.
     """
     n = len(contexts)
-    symbols = np.zeros((n, WIDE + 1), np.uint16)
+    symbols = np.zeros((n, WIDE + 1), np.uint8)  # no byte of UTF-8 is over 0xF4
     sizes = np.array([len(c) for c in contexts])
     left = REACH - lows  # symbols missing in front
-    flat = np.frombuffer(b"".join(contexts), np.uint8).astype(np.uint16) + 2
+    flat = np.frombuffer(b"".join(contexts), np.uint8) + np.uint8(2)
     row = np.repeat(np.arange(n), sizes)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + left[row]
     symbols[:, :WIDE] = 1
