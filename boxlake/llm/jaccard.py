@@ -9,8 +9,11 @@ whole sets. Rounds of links to one representative join most of a group of near c
 so that only pairs of different components are left to the tree; a place where very many
 meet is cut into blocks, and every pair of blocks is searched.
 
-Each class lists its first shingles by hash, some more than a fifth. If so many of these are
-heavy that the list may not reach to the end of its part, the whole set is ranked instead.
+Each class lists its first shingles by hash, some more than a fifth. If at most so many of
+these are heavy, its part in the order is among the others. A class with more heavy ones
+("crowded") meets others by all of a longer list: with another crowded class it shares one
+of the first fifth by hash alone, and what it must share with a class that is not crowded
+cannot stand behind that list.
 
 A null or empty text, or one without words, has an empty set and is linked with nothing;
 fewer words than five are one shingle. Rows that share an id count as one document, rows
@@ -23,8 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -112,24 +114,42 @@ def lists(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "node long, n long, spare long, vec binary, fine binary, tokens array<long>")
 
 
-def _needed_sql(n: str) -> Column:
-    return F.col(n) - F.floor((PART * F.col(n) + WHOLE - 1) / WHOLE) + 1
+def reach_of(n: int) -> int:
+    """How far into a crowded set of ``n`` a shingle can stand that a listed partner must share.
+
+    At most a fifth of the set is missing in the partner, whose list of at most 5/4 of the
+    size ends where ``lists`` ends it.
+    """
+    partner = WHOLE * n // PART
+    return n - (PART * n + WHOLE - 1) // WHOLE + _needed_part(partner) + partner // 16 + 4
+
+
+def long_lists(docs: DataFrame) -> DataFrame:
+    """The first shingles by hash that a crowded class meets others by."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids = pdf["doc_id"].values
+            rows = [(ids[i], tokens[: reach_of(len(tokens))].view(np.int64)) for i, tokens in _each_set(pdf)]
+            yield pd.DataFrame(rows, columns=["node", "tokens"])
+
+    return docs.mapInPandas(run, "node long, tokens array<long>")
 
 
-def whole_sets(docs: DataFrame, kind: str = "binary") -> DataFrame:
-    """The whole set of each row as sorted hashes, in a binary or an array."""
+def whole_sets(docs: DataFrame) -> DataFrame:
+    """The whole set of each row, as sorted hashes in a binary."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, rows = pdf["doc_id"].values, []
             for i, tokens in _each_set(pdf):
-                rows.append((ids[i], tokens.tobytes() if kind == "binary" else tokens.view(np.int64)))
+                rows.append((ids[i], tokens.tobytes()))
                 if len(rows) >= 1000:
                     yield pd.DataFrame(rows, columns=["node", "tokens"])
                     rows = []
             yield pd.DataFrame(rows, columns=["node", "tokens"])
 
-    return docs.mapInPandas(run, f"node long, tokens {kind}")
+    return docs.mapInPandas(run, "node long, tokens binary")
 
 
 def overlaps(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -196,11 +216,13 @@ def _survivors(rows: DataFrame) -> DataFrame:
 
     def large(vecs, sizes, labels, nodes, own, across) -> list[np.ndarray]:
         tree, found = CountTree(vecs, sizes), []
-        for i in range(len(sizes)):
+        # Of two labels one is not the most frequent: the other points need no search of their own.
+        names, times = np.unique(labels, return_counts=True)
+        for i in np.flatnonzero(labels != names[times.argmax()]):
             hits = tree.near(vecs[i], sizes[i])
-            # Within a block each pair once; of two blocks, pairs across only.
-            hits = hits[(nodes[hits] > nodes[i]) & (labels[hits] != labels[i]) & ((own[hits] != own[i]) | (not across))]
-            found.append(np.stack([np.full(len(hits), nodes[i]), nodes[hits]], 1))
+            # Of two blocks, pairs across only.
+            hits = hits[(labels[hits] != labels[i]) & ((own[hits] != own[i]) | (not across))]
+            found.append(np.stack([np.minimum(nodes[hits], nodes[i]), np.maximum(nodes[hits], nodes[i])], 1))
         return found
 
     def search(pdf: pd.DataFrame, cut: np.ndarray) -> pd.DataFrame:
@@ -294,15 +316,14 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     shared = scratch.keep(shown.join(busy, "token"), "shared")
     crowded = shared.filter("heavy").groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare")).filter("k > spare")
     crowded = scratch.keep(crowded.select("node"), "crowded")
-    # Of a crowded class every shingle is ranked; heavy is what lists have shown to be so.
-    whole = whole_sets(docs.join(crowded, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text"), "array<long>")
-    whole = whole.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    heavy = shared.filter("heavy").select("token").distinct().withColumn("heavy", F.lit(1))
-    order = W.partitionBy("node").orderBy(F.coalesce("heavy", F.lit(0)), "place")
-    ranked = whole.join(heavy, "token", "left").withColumn("place", F.col("token").bitwiseXOR(F.lit(-(1 << 63))))
-    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= _needed_sql("n"))
+    longer = long_lists(docs.join(crowded, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text"))
+    longer = scratch.keep(longer.select("node", F.explode("tokens").alias("token")), "longer")
+    # What stands in a longer list may be in one list only, and is no less a place to meet.
+    heavy = shared.filter("heavy").select("token").distinct()
+    late = shown.select("node", "token").join(longer.select("token").distinct(), "token", "left_semi")
+    late = late.join(crowded, "node", "left_anti").join(heavy, "token", "left_anti")
     met = shared.filter("not heavy").join(crowded, "node", "left_anti").select("node", "token")
-    met = scratch.keep(met.unionByName(ranked.select("node", "token")), "met")
+    met = scratch.keep(met.unionByName(late.select("node", "token")).unionByName(longer).distinct(), "met")
 
     labels, links, tried = None, None, None
     for _ in range(STAR_ROUNDS):
