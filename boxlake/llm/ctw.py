@@ -5,12 +5,14 @@ byte is eight binary decisions; a node of the tree is the last ``d`` bytes (0 to
 and the bits of the next byte so far. Counts of training documents give each node a
 Krichevsky-Trofimov estimate and, from the leaves up, the weight of stopping there against
 going on; from the root down, these weights mix the estimates of all depths of a path. A
-path ends at the last node that is kept. Score: log10 of the product of these decisions.
+path ends at the last node that was visited. Score: log10 of the product of these decisions.
 
 Counts of words and byte strings are summed over all training documents by Spark, and the
-tree is built by one aggregate for each depth. What every task needs whole is bounded: the
-``MAX_NODES`` most visited nodes and the ``HEAD_WORDS`` most frequent words, both chosen by a
-count that all of them reach. Rarer words are counted exactly by a join on word hashes.
+whole tree is built by one aggregate for each depth. Every distinct byte string of any
+document gets its chance from that tree by joins, one for each depth that it needs. What
+every task needs whole is bounded: the chances of the ``HEAD_GRAMS`` most frequent byte
+strings and the counts of the ``HEAD_WORDS`` most frequent words, both chosen by a count
+that all of them reach. Rarer ones get the same values by a join; the bounds change no score.
 
 A null or empty text is the line end alone. Rows without an id are held out. Identical rows
 get equal results and count as often as they stand there. Without training documents every
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from boxlake.llm.common import LOWER, Scratch, chunks, text_of, word_hashes, words_of
 
 DEPTH = 5
-MAX_NODES = 1 << 20
+HEAD_GRAMS = 1 << 20
 HEAD_WORDS = 1 << 17
 #: Entries that a task holds before it merges equal ones, and before it passes them on.
 HELD = 4_000_000
@@ -126,8 +129,8 @@ def _log_gamma(x: Column) -> Column:
     return series - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4))
 
 
-def tree(grams: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the kept nodes in order (depth, context, bits), and their chance of a 1."""
+def levels_of(grams: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """``node, p`` for each depth: all visited nodes, and their chance of a 1 mixed over the path."""
     bits = F.explode(F.sequence(F.lit(0), F.lit(7)))
     byte = F.col("key").bitwiseAND(F.lit(255))
     rows = grams.select("key", "n", byte.alias("byte"), bits.alias("j"))
@@ -157,35 +160,89 @@ def tree(grams: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
         levels.append(scratch.keep(rows, f"tree-{d}"))
     levels.reverse()
 
-    visits = F.col("n0") + F.col("n1")
-    every = None
-    for level in levels:
-        every = level.select("n0", "n1") if every is None else every.unionByName(level.select("n0", "n1"))
-    least = _reach(every, visits, MAX_NODES)
-    kept, mixed = [], None
+    out, mixed = [], None
     for d, level in enumerate(levels):
-        level = level.filter(visits >= least)
         if mixed is None:
             level = level.withColumn("mix", F.lit(0.0)).withColumn("left", F.lit(1.0))
         else:
-            parent = mixed.select(
-                F.col("node").alias("parent"), (F.col("mix") + F.col("left") * F.col("stop") * F.col("one")).alias("mix"),
-                (F.col("left") * (1 - F.col("stop"))).alias("left"),
-            )
-            level = level.withColumn("parent", F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))).join(parent, "parent").drop("parent")
-        mixed = scratch.keep(level, f"mixed-{d}")
-        kept.append(mixed.select((F.col("node") + (d << 50)).alias("key"), (F.col("mix") + F.col("left") * F.col("one")).alias("p")))
-    found = kept[0]
-    for part in kept[1:]:
-        found = found.unionByName(part)
-    got = found.toArrow()
+            parent = mixed.select(F.col("node").alias("parent"), "mix", "left")
+            level = level.withColumn("parent", F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))).join(parent, "parent")
+        p = F.col("mix") + F.col("left") * F.col("one")
+        if d == DEPTH:
+            out.append(level.select("node", p.alias("p")))
+            break
+        mixed = level.select(
+            "node", p.alias("p"), (F.col("mix") + F.col("left") * F.col("stop") * F.col("one")).alias("mix"),
+            (F.col("left") * (1 - F.col("stop"))).alias("left"),
+        )
+        mixed = scratch.keep(mixed, f"mixed-{d}")
+        out.append(mixed.select("node", "p"))
+    return out
+
+
+def chances(grams: DataFrame, levels: list[DataFrame], scratch: Scratch) -> DataFrame:
+    """``key, n, log``: log10 of the chance of each gram's byte after its context.
+
+    ``done`` bits of a byte are settled by deeper nodes; the nodes that a shorter context
+    has are the first ones of the path too, and at least as many.
+    """
+    byte = F.col("key").bitwiseAND(F.lit(255))
+    rows = grams.select("key", "n", F.lit(0.0).alias("log"), F.lit(0).alias("done"))
+    parts = []
+    for d in range(DEPTH, -1, -1):
+        context = F.shiftright("node", 8).alias("context")
+        entry = F.struct(F.col("node").bitwiseAND(F.lit(255)).cast("int"), "p")
+        known = levels[d].groupBy(context).agg(F.map_from_entries(F.collect_list(entry)).alias("nodes"))
+        known = F.broadcast(known) if d < 2 else known  # 256 contexts at most
+        rows = rows.withColumn("context", F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1)))
+        rows = rows.join(known, "context", "left").withColumn("byte", byte.cast("int"))
+        one = "try_element_at(nodes, shiftleft(1, j) | shiftright(byte, 8 - j))"
+        bit = "shiftright(byte, 7 - j) & 1"
+        rows = rows.withColumn("logs", F.expr(f"transform(sequence(0, 7), j -> log10(if({bit} = 1, {one}, 1 - {one})))"))
+        new = F.expr("aggregate(slice(logs, done + 1, 8), 0D, (s, x) -> s + coalesce(x, 0D))")
+        met = F.greatest("done", F.size(F.filter("logs", lambda x: x.isNotNull())))
+        rows = scratch.keep(rows.select("key", "n", (F.col("log") + new).alias("log"), met.alias("done")), f"path-{d}")
+        parts.append(rows.filter("done = 8").select("key", "n", "log"))
+        rows = rows.filter("done < 8")
+    parts.append(rows.select("key", "n", (F.col("log") + (8 - F.col("done")) * math.log10(0.5)).alias("log")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def tree(grams: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """For ``Scorer``, all nodes in this process: keys in order (depth, context, bits), and their chance of a 1."""
+    levels = levels_of(grams, scratch)
+    got = reduce(DataFrame.unionByName, [level.select((F.col("node") + (d << 50)).alias("key"), "p") for d, level in enumerate(levels)]).toArrow()
     key, p = got["key"].to_numpy(), got["p"].to_numpy()
     order = np.argsort(key)
     return key[order], p[order].astype(np.float32)
 
 
+class Head:
+    """Log10 chances of the most frequent grams."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray, n: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.logs = keys[order], logs[order]
+        self.slot = np.zeros(1 << SLOTS, np.int32)
+        often = np.argsort(n[order], kind="stable")  # of grams that share a slot, the most frequent has it
+        self.slot[self._slots(self.keys[often])] = often
+
+    def _slots(self, gram: np.ndarray) -> np.ndarray:
+        return ((gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log chances, 0 for grams outside the head, and which are in it."""
+        if not len(self.keys):
+            return np.zeros(len(gram)), np.zeros(len(gram), bool)
+        at = self.slot[self._slots(gram)]
+        miss = np.flatnonzero(self.keys[at] != gram)
+        at[miss] = np.minimum(np.searchsorted(self.keys, gram[miss]), len(self.keys) - 1)
+        hit = self.keys[at] == gram
+        return np.where(hit, self.logs[at], 0.0), hit
+
+
 class Scorer:
-    """Log10 chances of grams from the kept nodes; what was looked up lately is remembered."""
+    """The plain version of ``chances`` over a tree in one process; no query uses it."""
 
     def __init__(self, keys: np.ndarray, chances: np.ndarray):
         self.keys, self.chances = keys, chances
@@ -237,22 +294,29 @@ def scored(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
-    counts = counted(rows.filter("training")).groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    counts = scratch.keep(counts, "counts")
+    # Held-out documents only say which grams are wanted, and how often.
+    seen = counted(rows.filter("training")).select("kind", "key", "n", F.col("n").alias("wanted"))
+    seen = seen.unionByName(counted(rows.filter("not training")).filter("kind = 1").select("kind", "key", F.lit(0).cast("long").alias("n"), F.col("n").alias("wanted")))
+    counts = scratch.keep(seen.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("wanted").alias("wanted")), "counts")
     words = counts.filter("kind = 0").select("key", "n")
     all_tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     least = _reach(words, F.col("n"), HEAD_WORDS)
     head = words.filter(F.col("n") >= least).toArrow()
     head_key, head_n = head["key"].to_numpy().view(np.uint64), head["n"].to_numpy()
     order = np.argsort(head_key)
-    nodes, chances = tree(counts.filter("kind = 1").select("key", "n"), scratch)
-    model = spark.sparkContext.broadcast((head_key[order], head_n[order], nodes, chances))
+    grams = counts.filter("kind = 1")
+    levels = levels_of(grams.filter("n > 0").select("key", "n"), scratch)
+    paths = chances(grams.select("key", F.col("wanted").alias("n")), levels, scratch)
+    often = _reach(paths, F.col("n"), HEAD_GRAMS)
+    top = paths.filter(F.col("n") >= often).toArrow()
+    top = top["key"].to_numpy().view(np.uint64), top["log"].to_numpy(), top["n"].to_numpy()
+    model = spark.sparkContext.broadcast((head_key[order], head_n[order], top))
     floor = all_tokens + distinct + 1  # N + 1 * (V + 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, n, nodes, chances = model.value
+        key, n, top = model.value
         value = np.log10((n + 1) / floor)
-        scorer = Scorer(nodes, chances)
+        frequent = Head(*top)
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
             for a, b in chunks(texts):
@@ -261,28 +325,44 @@ def scored(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
                 hit = key[at] == words if len(key) else np.zeros(len(words), bool)
                 sums = np.concatenate([[0.0], np.cumsum(np.where(hit, value[at], 0.0) if len(key) else np.zeros(len(words)))])
                 hits = np.concatenate([[0], np.cumsum(hit)])
-                total = np.concatenate([[0.0], np.cumsum(scorer.score(grams))])
+                logs, known = frequent.find(grams)
+                total = np.concatenate([[0.0], np.cumsum(logs)])
+                # The other grams of each text, and how often they stand there.
+                lone = np.flatnonzero(~known)
+                owner, gram = np.searchsorted(cut, lone, "right") - 1, grams[lone]
+                by = np.lexsort((gram, owner))
+                owner, gram = owner[by], gram[by]
+                new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (gram[1:] != gram[:-1]))[: len(gram)])
+                times, part = np.diff(np.append(new, len(gram))), np.searchsorted(owner[new], np.arange(b - a + 1))
+                gram = gram[new].view(np.int64)
                 rare = words.view(np.int64)
                 out = pd.DataFrame({
                     "n_tokens": np.diff(first) + 1, "head_known": hits[first[1:]] - hits[first[:-1]],
-                    "head_score": sums[first[1:]] - sums[first[:-1]], "score": total[cut[1:]] - total[cut[:-1]],
+                    "head_score": sums[first[1:]] - sums[first[:-1]], "gram_score": total[cut[1:]] - total[cut[:-1]],
                 })
                 out["rare"] = [rare[x:y][~hit[x:y]] for x, y in zip(first[:-1], first[1:], strict=True)]
+                out["grams"] = [gram[x:y] for x, y in zip(part[:-1], part[1:], strict=True)]
+                out["times"] = [times[x:y] for x, y in zip(part[:-1], part[1:], strict=True)]
                 for name in ("doc_id", "training", "tk"):
                     out[name] = pdf[name].values[a:b]
                 yield out
 
-    kinds = "n_tokens long, head_known long, head_score double, score double, rare array<long>, doc_id long, training boolean, tk long"
+    kinds = "n_tokens long, head_known long, head_score double, gram_score double, rare array<long>, grams array<long>, times array<long>, doc_id long, training boolean, tk long"
     table = scratch.keep(rows.withColumn("tk", F.xxhash64("text")).mapInPandas(run, kinds), "scored")
-    # Rows of one id and text are alike: their rare words are summed together and divided.
+    # Rows of one id and text are alike: their rare words and grams are summed together and divided.
     lone = table.select("doc_id", "tk", F.explode("rare").alias("key"))
     lone = lone.join(words.filter(F.col("n") < least), "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     lone = lone.groupBy("doc_id", "tk").agg(
         F.sum(F.log10((F.col("n") + 1) / F.lit(float(floor)))).alias("rare_score"), F.count_if(F.col("n") > 0).alias("rare_known")
     )
     lone = lone.withColumnsRenamed({"doc_id": "_doc", "tk": "_tk"})
+    apart = table.select("doc_id", "tk", F.inline(F.arrays_zip(F.col("grams").alias("key"), F.col("times").alias("times"))))
+    apart = apart.join(paths.filter(F.col("n") < often).select("key", "log"), "key")
+    apart = apart.groupBy("doc_id", "tk").agg(F.sum(F.col("log") * F.col("times")).alias("path_score"))
+    apart = apart.withColumnsRenamed({"doc_id": "_id", "tk": "_text"})
     times = table.groupBy("doc_id", "tk").agg(F.count("*").alias("times")).withColumnsRenamed({"doc_id": "_d", "tk": "_t"})
-    table = table.drop("rare").join(lone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tk") == F.col("_tk")), "left")
+    table = table.drop("rare", "grams", "times").join(lone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tk") == F.col("_tk")), "left")
+    table = table.join(apart, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_text")), "left")
     table = table.join(times, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tk") == F.col("_t")))
     end = words.filter(F.col("key") == END).select(F.max("n")).first()[0] or 0
     return table.select(
@@ -290,5 +370,5 @@ def scored(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
         (F.col("head_known") + F.coalesce(F.col("rare_known") / F.col("times"), F.lit(0)) + (1 if end else 0)).cast("long").alias("n_known"),
         F.lit(all_tokens).cast("long").alias("train_tokens"),
         (F.col("head_score") + F.coalesce(F.col("rare_score") / F.col("times"), F.lit(0.0)) + math.log10((end + 1) / floor)).alias("base_score"),
-        "score",
+        (F.col("gram_score") + F.coalesce(F.col("path_score") / F.col("times"), F.lit(0.0))).alias("score"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -69,6 +70,46 @@ def token_counts(docs: list[tuple]) -> Counter:
     return counts
 
 
+def byte_lines(text: str | None) -> list[tuple[bytes, int]]:
+    """Five bytes of context and the byte after them, for each byte of the words' line."""
+    line = b"\n" * 5 + b" ".join(WORDS.findall(lowered(text))) + b"\n"
+    return [(line[i - 5 : i], line[i]) for i in range(5, len(line))]
+
+
+def tree_scores(training: list[str | None], texts: list[str | None]) -> list[float]:
+    """Log10 chances by the whole context tree."""
+    counts: dict[tuple, list[int]] = {}
+    for t in training:
+        for context, byte in byte_lines(t):
+            for j in range(8):
+                for d in range(6):
+                    counts.setdefault((context[5 - d :], (1 << j) | byte >> (8 - j)), [0, 0])[byte >> (7 - j) & 1] += 1
+    alone = {k: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1) for k, (a, b) in counts.items()}
+    split: dict[tuple, float] = {}
+    stop = {}
+    for k in sorted(counts, key=lambda k: -len(k[0])):
+        weighted, stop[k] = alone[k], 1.0
+        if len(k[0]) < 5:
+            weighted = math.log(0.5) + max(split[k], alone[k]) + math.log1p(math.exp(-abs(split[k] - alone[k])))
+            stop[k] = math.exp(math.log(0.5) + alone[k] - weighted)
+        if k[0]:
+            split[k[0][1:], k[1]] = split.get((k[0][1:], k[1]), 0.0) + weighted
+    out = []
+    for t in texts:
+        score = 0.0
+        for context, byte in byte_lines(t):
+            for j in range(8):
+                path = [k for d in range(6) if (k := (context[5 - d :], (1 << j) | byte >> (8 - j))) in counts]
+                one, left = 0.0 if path else 0.5, 1.0
+                for k in path:
+                    n0, n1 = counts[k]
+                    one += left * (1.0 if k == path[-1] else stop[k]) * (n1 + 0.5) / (n0 + n1 + 1)
+                    left *= 1 - stop[k]
+                score += math.log10(one if byte >> (7 - j) & 1 else 1 - one)
+        out.append(score)
+    return out
+
+
 def personal(text: str | None) -> list[tuple[str, int, int]]:
     """Spans of the four basic kinds."""
     text, out = text or "", []

@@ -295,6 +295,18 @@ def test_language_model(spark, docs, empty):
     assert unseen.score == pytest.approx(8 * 8 * math.log10(0.5)) and unseen.n_known == 0
 
 
+@pytest.mark.parametrize("bound", [0, 40, 1 << 20])
+def test_language_model_uses_the_whole_tree(spark, docs, monkeypatch, bound):
+    for name in ("HEAD_GRAMS", "MAX_NODES"):
+        monkeypatch.setattr(ctw, name, bound, raising=False)
+    rows = [(i, t) for i, t in ROWS if i is None or not 88 <= i <= 89]
+    got = ctw.scored(docs.filter("doc_id is null or doc_id not in (88, 89)"), F.col("doc_id") % 3 != 0, Scratch(spark)).collect()
+    scores = brute.tree_scores([t for i, t in rows if i is not None and i % 3], [t for _, t in rows])
+    wanted = sorted((-1 if i is None else i, s) for (i, _), s in zip(rows, scores, strict=True))
+    for (i, score), (j, s) in zip(wanted, sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got), strict=True):
+        assert i == j and s == pytest.approx(score, rel=1e-6)
+
+
 def test_byte_chances_add_up_to_one(spark, docs):
     texts = docs.filter("doc_id < 60").select("text")
     grams = ctw.counted(texts).filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
