@@ -7,6 +7,11 @@ at one offset, each value of an item's slot must stand for one value of the docu
 else that offset does not count. An item has leaked into a document if windows at good
 offsets cover ``MIN_COVER`` of its windows.
 
+Names are told by capital letters, so a text in capitals or title case has hardly a window
+left. ``clean`` therefore looks a second time without case and names, with numbers and units
+as the only placeholders, and drops what either search finds. ``judged`` has the first
+search alone, as its SQL twin has.
+
 The benchmark's windows are broadcast in blocks of a bounded number of rows, one join for
 each block, so documents are never shuffled for the search, whatever they share.
 
@@ -39,16 +44,19 @@ NUMBERS = r"[0-9]++(?:[.,:/][0-9]++)*+"
 TOKENS = r"⟨[^⟩]*+⟩|[\p{L}\p{M}]++"
 
 
-def template_tokens(text: Column) -> Column:
-    """Words, and placeholders such as ``⟨n 12⟩``, ``⟨u km⟩`` or ``⟨p Ann Lee⟩``."""
-    text = F.regexp_replace(text, NAMES, "$1⟨p $2⟩")
+def template_tokens(text: Column, names: bool = True) -> Column:
+    """Words, and placeholders such as ``⟨n 12⟩``, ``⟨u km⟩`` or ``⟨p Ann Lee⟩``.
+
+    Without ``names`` the text is folded to lower case (by way of capitals, for ``ß``).
+    """
+    text = F.regexp_replace(text, NAMES, "$1⟨p $2⟩") if names else F.lower(F.upper(text))
     text = F.regexp_replace(text, NUMBERS, "⟨n $0⟩")
     text = F.regexp_replace(text, r"(⟨n [^⟩]*+⟩) ?(" + "|".join(UNITS) + r")\b", "$1⟨u $2⟩")
     text = F.regexp_replace(text, r"([$€£])(⟨n )", "⟨u $1⟩$2")
     return F.regexp_extract_all(text, F.lit(TOKENS), 0)
 
 
-def _windows(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _windows(rows: DataFrame, keys: list[str], names: bool) -> DataFrame:
     """Each window's hash ``h``, place ``at`` (from 0) beside the tokens of its text."""
 
     def hashed(canon: Column) -> Column:
@@ -60,7 +68,7 @@ def _windows(rows: DataFrame, keys: list[str]) -> DataFrame:
         return F.struct(tokens.alias("tokens"), let(canon, hashed).alias("hashes"))
 
     # The generator keeps the arrays from being computed anew by what reads them.
-    rows = rows.select(*keys, F.inline(F.array(let(template_tokens(F.col("text")), both))))
+    rows = rows.select(*keys, F.inline(F.array(let(template_tokens(F.col("text"), names), both))))
     return rows.select(*keys, "tokens", F.posexplode("hashes").alias("at", "h"))
 
 
@@ -72,13 +80,14 @@ def _order() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text_of()).alias("tk")]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFrame:
     """``doc, tk, item_id, cover, exact``: items that leaked into documents.
 
     ``exact``: does every slot have the item's own value? ``doc, tk`` name a document.
+    Without ``names``, case is ignored and names are words.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"), F.xxhash64("item_id", text_of()).alias("ik"))
-    wanted = _windows(items.dropDuplicates(["ik"]), ["item_id", "ik"])
+    wanted = _windows(items.dropDuplicates(["ik"]), ["item_id", "ik"], names)
     wanted = wanted.select("item_id", "ik", F.col("at").alias("item_at"), "h", _slots("tokens", F.col("at")).alias("item_slots"))
     size = wanted.groupBy("ik").agg(F.count("*").alias("windows"))
     blocks = -(-wanted.count() // BLOCK_ROWS)
@@ -86,7 +95,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = []
     for b in range(max(blocks, 1)):
         part = wanted.filter(F.pmod("h", F.lit(max(blocks, 1))) == b)
-        hits = _windows(of, ["doc", "tk"]).join(F.broadcast(part), "h")
+        hits = _windows(of, ["doc", "tk"], names).join(F.broadcast(part), "h")
         found.append(hits.select("doc", "tk", "item_id", "ik", "item_at", (F.col("at") - F.col("item_at")).alias("offset"), "item_slots", _slots("tokens", F.col("at")).alias("slots")))
     hits = reduce(DataFrame.unionByName, found)
 
@@ -122,8 +131,8 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that no item leaked into, as they are."""
-    found = leaked(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
+    """The documents that no item leaked into, with names or without case, as they are."""
+    found = leaks(docs, benchmark).unionByName(leaks(docs, benchmark, names=False)).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
     doc, tk = _order()
     marked = docs.withColumn("__d", doc).withColumn("__t", tk)
     return marked.join(found, F.col("__d").eqNullSafe(F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left_anti").drop("__d", "__t")

@@ -210,6 +210,17 @@ def test_templates(spark, empty):
     assert templates.judged(empty, benchmark).count() == 0
 
 
+def test_clean_ignores_case(spark):
+    item = "A farmer from the long straße near Bad Ems sold 12 apples to Ann Lee for 3 km of rope and then went home"
+    texts = {
+        1: item.upper(), 2: item.title(), 3: "Before it. " + item.upper() + " AFTER IT.", 4: item.upper().replace("12", "40"),
+        5: "NOTHING OF THAT KIND STANDS IN THIS TEXT AT ALL, NOT EVEN 12 APPLES", 6: item, 7: None,
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, item), (8, None)], "item_id long, text string")
+    assert sorted(r.doc_id for r in templates.clean(rows, benchmark).collect()) == [5, 7]
+
+
 def test_templates_in_blocks(spark, monkeypatch):
     item = " ".join(f"word{chr(97 + i)}" for i in range(20))
     rows = spark.createDataFrame([(1, "x " + item), (2, "y")], "doc_id long, text string")
