@@ -177,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
             yield pd.DataFrame(rows, columns=["buckets", "vals", "stats"]).assign(id=pdf["id"].values, y=pdf["y"].values)
 
     chosen = docs.select(F.col("doc_id").alias("id"), text_of().alias("text")).join(F.broadcast(ids), F.col("id") == F.col("_id"))
-    rows = chosen.select("id", F.col("_y").alias("y"), "text").mapInPandas(reduced, "buckets binary, vals binary, stats binary, id long, y double")
-    # A text that repeats under one id is learned once.
+    # A text that repeats under one id is learned once; its repeats go before features are made.
+    chosen = chosen.groupBy("id", F.sha2(F.col("text").cast("binary"), 256).alias("_text")).agg(F.first("_y").alias("y"), F.first("text").alias("text"))
+    rows = chosen.select("id", "y", "text").mapInPandas(reduced, "buckets binary, vals binary, stats binary, id long, y double")
     own = {(r["id"], r["buckets"], r["stats"]): r for r in rows.collect()}
     return _fit([own[k] for k in sorted(own)])
 

@@ -274,6 +274,18 @@ def test_quality(spark, docs, empty):
     assert empty.select(quality.score(none, F.col("text"))).count() == 0
 
 
+def test_quality_collects_repeated_rows_once(spark, monkeypatch):
+    texts = [(1, "a good text of words"), (2, "zzz qqq xxx"), (2, "another text under the same id")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    plain = quality.fit(spark.createDataFrame(texts, "doc_id long, text string"), labels)
+    many = spark.createDataFrame(texts + texts[:1] * 50, "doc_id long, text string").repartition(4)
+    sizes, collect = [], type(many).collect
+    monkeypatch.setattr(type(many), "collect", lambda self: (out := collect(self), sizes.append(len(out)))[0])
+    fitted = quality.fit(many, labels)
+    assert sizes and max(sizes) == 3
+    assert fitted.bias == plain.bias and np.array_equal(fitted.weights, plain.weights)
+
+
 def test_identity_of_squares():
     """The linear form equals the sum over all pairs of features."""
     rng = np.random.RandomState(0)
