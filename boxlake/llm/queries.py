@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates, url_lists
+from boxlake.llm import bwt, ctw, jaccard, line_runs, minhash, pieces, pii, quality, syncmers, templates, url_lists
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -33,6 +33,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_runs.deduplicated(table(spark, sf_dir, "documents"), Scratch(spark))
     return found.select(
@@ -105,6 +109,7 @@ def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op13_minhash": op13_minhash,
     "op3_url_lists": op3_url_lists,
     "op5_bwt_dedup": op5_bwt_dedup,
     "op9_ctw": op9_ctw,

@@ -35,6 +35,30 @@ kept AS (
 {keep}"""
 
 
+def shingle_groups(width: int, result: str) -> str:
+    """Components of documents whose sets of ``width``-word shingles are alike by 0.8, from all pairs that share one."""
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'
+  ), lambda x: x <> '') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i : i + {width - 1}], ' '))) END AS s
+  FROM words
+),
+shown AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shown x JOIN shown y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least(sets.doc_id, b), sets.doc_id) AS component_id{result}
+FROM sets LEFT JOIN least ON sets.doc_id = least.a"""
+
+
 UNITS = (
     "mm|cm|m|km|inch|inches|feet|foot|yard|yards|mile|miles|mg|g|kg|ton|tons|ml|l|liter|liters|litre|litres|"
     "s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|"
@@ -136,6 +160,8 @@ FROM docs d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id"""
 
 
 TWINS: dict[str, str] = {
+    "op7_ngram_jaccard": shingle_groups(5, ""),
+    "op13_minhash": shingle_groups(4, ", sets.doc_id <= coalesce(b, sets.doc_id) AS kept"),
     "op2_line_dedup": line_dedup(
         "documents",
         """SELECT k.doc_id, k.n_lines, coalesce(s.n_deleted, 0) AS n_deleted, coalesce(s.n_runs, 0) AS n_runs,
