@@ -106,16 +106,16 @@ class Rolling:
 ROLLING = Rolling()
 
 
-def words_of(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(texts: list[bytes], lower: bool = True, gaps: np.ndarray = SEPARATORS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Joined bytes, starts and ends of words, and for each text its first word's number.
 
-    Words are maximal runs of bytes other than space, tab, line ends, VT and FF; A-Z are
-    lower-cased if asked for. The last array has one entry more than there are texts.
+    Words are maximal runs of bytes other than ``gaps`` (space, tab, line ends, VT and FF);
+    A-Z are lower-cased if asked for. The last array has one entry more than there are texts.
     """
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     if lower:
         data = LOWER[data]
-    gap = SEPARATORS[data]
+    gap = gaps[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gap]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     offsets = np.zeros(len(texts) + 1, np.int64)
@@ -125,3 +125,13 @@ def words_of(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.nda
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix(ROLLING.ranges(ROLLING.sums(data), starts, ends))
+
+
+def reach(rows: DataFrame, count: Column, most: int) -> int:
+    """The least power of two that at most ``most`` rows' counts reach."""
+    found = {r["p"]: r["k"] for r in rows.groupBy(F.floor(F.log2(count.cast("double"))).alias("p")).agg(F.count("*").alias("k")).collect()}
+    total, power = 0, max(found, default=0) + 1
+    while power > 0 and total + found.get(power - 1, 0) <= most:
+        power -= 1
+        total += found.get(power, 0)
+    return 1 << power

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import LOWER, Scratch, chunks, text_of, word_hashes, words_of
+from boxlake.llm.common import LOWER, Scratch, chunks, reach, text_of, word_hashes, words_of
 
 DEPTH = 5
 HEAD_GRAMS = 1 << 20
@@ -112,16 +112,6 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(run, "kind int, key long, n long")
 
 
-def _reach(rows: DataFrame, count: Column, most: int) -> int:
-    """The least power of two that at most ``most`` rows' counts reach."""
-    found = {r["p"]: r["k"] for r in rows.groupBy(F.floor(F.log2(count.cast("double"))).alias("p")).agg(F.count("*").alias("k")).collect()}
-    total, power = 0, max(found, default=0) + 1
-    while power > 0 and total + found.get(power - 1, 0) <= most:
-        power -= 1
-        total += found.get(power, 0)
-    return 1 << power
-
-
 def _log_gamma(x: Column) -> Column:
     """Stirling's series five steps up."""
     z = x + 5
@@ -300,14 +290,14 @@ def scored(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
     counts = scratch.keep(seen.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("wanted").alias("wanted")), "counts")
     words = counts.filter("kind = 0").select("key", "n")
     all_tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = _reach(words, F.col("n"), HEAD_WORDS)
+    least = reach(words, F.col("n"), HEAD_WORDS)
     head = words.filter(F.col("n") >= least).toArrow()
     head_key, head_n = head["key"].to_numpy().view(np.uint64), head["n"].to_numpy()
     order = np.argsort(head_key)
     grams = counts.filter("kind = 1")
     levels = levels_of(grams.filter("n > 0").select("key", "n"), scratch)
     paths = chances(grams.select("key", F.col("wanted").alias("n")), levels, scratch)
-    often = _reach(paths, F.col("n"), HEAD_GRAMS)
+    often = reach(paths, F.col("n"), HEAD_GRAMS)
     top = paths.filter(F.col("n") >= often).toArrow()
     top = top["key"].to_numpy().view(np.uint64), top["log"].to_numpy(), top["n"].to_numpy()
     model = spark.sparkContext.broadcast((head_key[order], head_n[order], top))

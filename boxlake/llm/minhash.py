@@ -3,13 +3,14 @@
 Texts of equal shingle sets are one class, and each class has a signature of ``HASHES``
 minima, one byte of each kept. ``BANDS`` bands of ``ROWS`` bytes name the buckets in which
 classes are candidates of each other: two sets of likeness 0.8 share none of them with
-probability 3e-6. A pair of candidates is compared ``BATCH`` hashes at a time: with a uniform
+probability 3e-6. A pair of candidates is compared in batches that end at ``STEPS`` hashes: with a uniform
 prior on the chance of equal bytes, the posterior after m of n matches is a beta
 distribution, and the pair is dropped once it gives a likeness of 0.8 or more at most the
 probability ``MISS``. What survives all batches is verified on its whole sets.
 
-Rounds of candidates with one member of each bucket (the class that most of its buckets have
-as their least, so one pair for each class) join most of a group first. Then all pairs of
+Rounds of candidates join most of a group first: the member of a bucket that meets most
+others is its hub, and each class is compared with the hub of most of its buckets, one pair
+for each class and round. Then all pairs of
 different components in a bucket are compared, each pair only in the first bucket that it
 shares; a bucket of more than ``BLOCK`` classes is cut into blocks, and every pair of blocks
 is compared. No bucket, group or number of partners is capped.
@@ -37,8 +38,10 @@ from boxlake.llm.graph import components
 WORDS = 4
 #: Links need ``100 * shared >= PERCENT * together``.
 PERCENT = 80
-HASHES, BATCH = 512, 64
 BANDS, ROWS = 32, 5
+#: Hashes compared by the end of each batch; the first holds the bands.
+STEPS = (BANDS * ROWS, 256, 384, 512)
+HASHES = STEPS[-1]
 MISS = 1e-6
 BLOCK = 2_000
 ROUNDS = 4
@@ -57,7 +60,7 @@ def least_matches() -> list[int]:
     """
     bound = PERCENT / 100 + (1 - PERCENT / 100) / 256
     out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in STEPS:
         total, m = 0.0, -1
         while total <= MISS:
             m += 1
@@ -163,12 +166,11 @@ def signed(docs: DataFrame) -> DataFrame:
 
 def survive(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Numbers of the pairs of signatures (rows) that no batch drops."""
-    at, met = np.arange(len(left)), np.zeros(len(left), np.int64)
-    for k, least in enumerate(LEAST):
-        part = slice(k * BATCH, (k + 1) * BATCH)
-        met = met + (left[at, part] == right[at, part]).sum(1)
+    at, met, done = np.arange(len(left)), np.zeros(len(left), np.int64), 0
+    for step, least in zip(STEPS, LEAST, strict=True):
+        met = met + (left[at, done:step] == right[at, done:step]).sum(1)
         keep = met >= least
-        at, met = at[keep], met[keep]
+        at, met, done = at[keep], met[keep], step
     return at
 
 
@@ -222,50 +224,51 @@ def _compared(rows: DataFrame) -> DataFrame:
     ``rows`` are dealt and sorted by ``key, low, high``; a bucket may go on in the next batch.
     """
 
-    def pairs_of(group, labels) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of small groups, one distance at a time."""
+    def close(group, labels, n, sig, band) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of small groups that the first batch leaves, one distance at a time."""
         for d in range(1, len(group)):
-            at = np.flatnonzero(group[d:] == group[:-d])
-            if not len(at):
+            x = np.flatnonzero(group[d:] == group[:-d])
+            if not len(x):
                 return
-            at = at[labels[at] != labels[at + d]]
-            for a in range(0, len(at), 20_000):
-                yield at[a : a + 20_000], at[a : a + 20_000] + d
-
-    def across(labels, own, both) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of a large group; of two blocks, the pairs between them."""
+            x = x[(labels[x] != labels[x + d]) & (100 * np.minimum(n[x], n[x + d]) >= PERCENT * np.maximum(n[x], n[x + d]))]
+            for a in range(0, len(x), 20_000):
+                left = x[a : a + 20_000]
+                same = sig[left, : STEPS[0]] == sig[left + d, : STEPS[0]]
+                fits = (same.sum(1) >= LEAST[0]) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band[left])
+                yield left[fits], left[fits] + d
+
+    def across(labels, own, both, n, sig, band) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for a large group; of two blocks, the pairs between them."""
         names, place, times = np.unique(labels, return_inverse=True, return_counts=True)
         # Of two labels one is not the most frequent, and of two such rows one comes later.
         rest = place != times.argmax()
+        turned = np.ascontiguousarray(sig[:, : STEPS[0]].T)  # one hash of all rows after the other
         for i in np.flatnonzero(rest):
-            fits = (labels != labels[i]) & ((own != own[i]) | (not both))
+            fits = (labels != labels[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
+            fits &= (own != own[i]) | (not both)
             fits[: i + 1] &= ~rest[: i + 1]
-            j = np.flatnonzero(fits)
+            same = turned == turned[:, i : i + 1]
+            j = np.flatnonzero(fits & (np.add.reduce(same.view(np.uint8), 0, np.uint8) >= LEAST[0]))
+            j = j[same[:, j].reshape(BANDS, ROWS, -1).all(1).argmax(0) == band]
             yield np.full(len(j), i), j
 
     def search(pdf: pd.DataFrame, cut: np.ndarray) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, HASHES)
         n, labels, nodes, own, key = (pdf[c].values for c in ("n", "label", "node", "own", "key"))
-        both = (pdf["low"] != pdf["high"]).values
-        band = key >> (8 * ROWS)
+        both, band = (pdf["low"] != pdf["high"]).values, key >> (8 * ROWS)
         lengths = np.diff(np.append(cut, len(pdf)))
         group = np.repeat(np.arange(len(cut)), lengths)
-        small = np.flatnonzero(np.repeat(lengths <= FEW, lengths) & ~both)
-        tries = [(small, pairs_of(group[small], labels[small]))]
-        tries += [(np.arange(a, a + k), across(labels[a : a + k], own[a : a + k], both[a])) for a, k in zip(cut, lengths, strict=True) if k > FEW or both[a]]
+        few = np.flatnonzero(np.repeat(lengths <= FEW, lengths) & ~both)
+        tries = [(few, close(group[few], labels[few], n[few], sig[few], band[few]))]
+        for a, b in zip(cut, cut + lengths, strict=True):
+            if b - a > FEW or both[a]:
+                tries.append((np.arange(a, b), across(labels[a:b], own[a:b], both[a], n[a:b], sig[a:b], band[a])))
         found = [np.zeros((0, 2), np.int64)]
         for rows, tried in tries:
             for x, y in tried:
                 x, y = rows[x], rows[y]
-                fits = 100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])
-                x, y = x[fits], y[fits]
-                keep = survive(sig[x], sig[y]) if len(x) <= 20_000 else np.concatenate(
-                    [a + survive(sig[x[a : a + 20_000]], sig[y[a : a + 20_000]]) for a in range(0, len(x), 20_000)]
-                )
-                x, y = x[keep], y[keep]
-                same = (sig[x, : BANDS * ROWS] == sig[y, : BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(2)
-                first = same.argmax(1) == band[x]
-                x, y = nodes[x[first]], nodes[y[first]]
+                keep = survive(sig[x], sig[y])
+                x, y = nodes[x[keep]], nodes[y[keep]]
                 found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
@@ -298,17 +301,20 @@ def classes_and_labels(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     marks = listed.select("node", "n", "sig").distinct()
 
     shown = listed.select("node", F.explode("keys").alias("key")).distinct()
-    hub = shown.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("k")).filter("k > 1").select("key", "hub")
-    met = scratch.keep(shown.join(hub, "key"), "met")
+    met = shown.join(shown.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1"), "key")
+    met = scratch.keep(met, "met")
+    degree = met.groupBy("node").agg(F.sum("k").alias("degree"))
+    met = scratch.keep(met.join(degree, "node").select("node", "key", F.struct("degree", (-F.col("node")).alias("node")).alias("rank")), "ranked")
 
     labels, links, tried = None, None, None
     for _ in range(ROUNDS):
         if labels is None:
-            pairs = met.filter("node <> hub").select("node", "hub")
+            stands = met.select("key", F.col("node").alias("label"), "rank")
         else:
-            stands = _labelled(met, labels).groupBy("key", "label").agg(F.min("node").alias("node"))
-            hub = stands.groupBy("key").agg(F.min(F.struct("label", "node")).alias("hub"), F.count("*").alias("k")).filter("k > 1")
-            pairs = stands.join(hub, "key").filter("label <> hub.label").select("node", F.col("hub.node").alias("hub"))
+            stands = met.join(labels, "node", "left").groupBy("key", F.coalesce("label", "node").alias("label")).agg(F.max("rank").alias("rank"))
+        hub = stands.groupBy("key").agg(F.max(F.struct("rank", "label")).alias("hub"), F.count("*").alias("k")).filter("k > 1")
+        pairs = stands.join(hub, "key").filter("label <> hub.label")
+        pairs = pairs.select((-F.col("rank.node")).alias("node"), (-F.col("hub.rank.node")).alias("hub"))
         pairs = pairs.groupBy("node", "hub").agg(F.count("*").alias("k"))
         if tried is not None:
             pairs = pairs.join(tried, ["node", "hub"], "left_anti")

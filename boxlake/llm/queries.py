@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bwt, ctw, jaccard, line_runs, minhash, pieces, pii, quality, syncmers, templates, url_lists
+from boxlake.llm import alignment, bwt, ctw, jaccard, line_runs, minhash, pieces, pii, quality, sketches, syncmers, templates, url_lists
 from boxlake.llm.common import Scratch, held_out, table, text_of
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,20 @@ def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = alignment.scored(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_MODEL), public_tokenizers.PATTERN,
+        public_tokenizers.path(PIECE_MODEL), Scratch(spark),
+    )
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_runs.deduplicated(table(spark, sf_dir, "documents"), Scratch(spark))
     return found.select(
@@ -109,6 +124,8 @@ def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op11_alignment": op11_alignment,
+    "op12_ranked_search": op12_ranked_search,
     "op13_minhash": op13_minhash,
     "op3_url_lists": op3_url_lists,
     "op5_bwt_dedup": op5_bwt_dedup,

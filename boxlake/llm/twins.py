@@ -59,6 +59,31 @@ SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least(sets.do
 FROM sets LEFT JOIN least ON sets.doc_id = least.a"""
 
 
+def _terms(key: str, table: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""SELECT {key}, term, count(*) AS tf FROM (
+    SELECT {key}, unnest(regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {table}) GROUP BY ALL"""
+
+
+RANKED = f"""
+WITH tf AS ({_terms("doc_id", "documents")}),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, docs
+),
+lengths AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM sizes, totals),
+scores AS (
+  SELECT q.item_id, d.doc_id, CAST(sum(q.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m))) AS BIGINT) AS score
+  FROM ({_terms("item_id", "benchmark")}) q JOIN tf d ON q.term = d.term JOIN weights ON weights.term = d.term
+    JOIN lengths ON lengths.doc_id = d.doc_id
+  GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 10"""
+
+
 UNITS = (
     "mm|cm|m|km|inch|inches|feet|foot|yard|yards|mile|miles|mg|g|kg|ton|tons|ml|l|liter|liters|litre|litres|"
     "s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|"
@@ -160,6 +185,7 @@ FROM docs d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id"""
 
 
 TWINS: dict[str, str] = {
+    "op12_ranked_search": RANKED,
     "op7_ngram_jaccard": shingle_groups(5, ""),
     "op13_minhash": shingle_groups(4, ", sets.doc_id <= coalesce(b, sets.doc_id) AS kept"),
     "op2_line_dedup": line_dedup(

@@ -127,3 +127,95 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
         if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
             out.append(("phone", *m.span()))
     return out
+
+
+def groups(docs: list[tuple], width: int) -> dict:
+    """Set size, least id reachable and whether the row stays, of rows ``(id, text)`` with an id of its own."""
+    sets = {}
+    for i, text in docs:
+        words = WORDS.findall(lowered(text))
+        sets[i] = {tuple(words[k : k + width]) for k in range(max(len(words) - width, 0) + 1)} if words else set()
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+
+
+TERMS = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def ranked(docs: list[tuple], items: list[tuple], most: int = 10) -> list[tuple]:
+    """``item_id, rank, doc_id, score`` by scoring every document for every item."""
+    counts = [(i, Counter(TERMS.findall((t or "").translate(UPPER)))) for i, t in docs]
+    total, terms = sum(1 for _, c in counts if c), sum(c.total() for _, c in counts)
+    df = Counter(term for _, c in counts for term in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for i, own in counts:
+            m = 25 + 75 * own.total() * total // max(terms, 1)
+            score = 0
+            for term in TERMS.findall((text or "").translate(UPPER)):
+                if own[term]:
+                    w = math.floor(1000 * math.log((2 * total + 2) / (2 * df[term] + 1)))
+                    score += w * (1_000_000_000 * own[term] // (1000 * own[term] + 8 * m))
+            if score > 0:
+                scores.append((-score, i is None, i or 0, i))
+        out += [(item, rank, row[3], -row[0]) for rank, row in enumerate(sorted(scores)[:most], 1)]
+    return out
+
+
+def alignments(docs: list[tuple], encode_a, encode_b, bytes_a, bytes_b) -> list[tuple]:
+    """Per row the counts and digest, every overlap being looked for pair by pair within reach."""
+    found, links = [], Counter()
+    for i, text in docs:
+        whole = (" " + (text or "")).encode()
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        if b"".join(bytes_a[x] for x in a) != whole or b"".join(bytes_b[x] for x in b) != whole:
+            found.append((i, [], [], [], ""))
+            continue
+        spans = []
+        for ids, table in ((a, bytes_a), (b, bytes_b)):
+            at, out = 0, []
+            for x in ids:
+                out.append((at, at + len(table[x])))
+                at += len(table[x])
+            spans.append(out)
+        own, first = [], 0
+        for k, (x, y) in enumerate(spans[0]):
+            while spans[1][first][1] <= x:
+                first += 1
+            j = first
+            while j < len(b) and spans[1][j][0] < y:
+                own.append((a[k], b[j]))
+                j += 1
+        links.update(own)
+        ends = [{y for _, y in s} for s in spans]
+        shared, parts, p, q = ends[0] & ends[1], [], 0, 0
+        for end in sorted(shared):
+            left, right = [], []
+            while p < len(a) and spans[0][p][1] <= end:
+                left.append(str(a[p]))
+                p += 1
+            while q < len(b) and spans[1][q][1] <= end:
+                right.append(str(b[q]))
+                q += 1
+            parts.append(",".join(left) + "|" + ",".join(right))
+        found.append((i, a, b, own, ";".join(parts)))
+    best: dict[int, int] = {}
+    for (_, y), n in links.items():
+        best[y] = max(best.get(y, 0), n)
+    return [
+        (i, len(a), len(b), text.count("|"), len(own), sum(links[p] == best[p[1]] for p in own), sum(links[p] for p in own), sha(text) if a else "")
+        for i, a, b, own, text in found
+    ]

@@ -12,7 +12,7 @@ from tests.oracle import compare
 
 
 def test_all_operators_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(TWINS) <= set(oracle_sql())
 
 
