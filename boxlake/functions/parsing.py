@@ -55,7 +55,7 @@ def get_or(value: Column, path: str, default: Column, dtype: str = "string") ->
 
 
 def is_object(value: Column, path: str = "$") -> Column:
-    return get(value, path, "map<string,variant>").isNotNull()
+    return get_struct(value, path, ("_",)).isNotNull()
 
 
 def is_filled_object(value: Column, path: str = "$") -> Column:
@@ -84,11 +84,12 @@ def to_long(value: Column) -> Column:
     """Integer value: numbers cut toward zero, texts only if they spell an integer.
 
     A value past 64 bits is the nearest 64-bit integer, which fits no 32-bit column either.
+    Only values that are given and no 64-bit integer are looked at twice.
     """
     size = to_double(value)
-    spelled = (kind(value) != "STRING") | get(value, "$", "string").rlike(r"^\s*[+-]?[0-9]+\s*$")
-    past = F.when((size > INT32_MAX) & spelled, F.lit(INT64_MAX)).when((size < INT32_MIN) & spelled, F.lit(INT64_MIN))
-    return F.coalesce(get(value, "$", "bigint"), past)
+    spelled = get(value, "$", "string").rlike(r"^\s*[+-]?[0-9]+\s*$") | (kind(value) != "STRING")
+    past = F.when((F.abs(size) > INT32_MAX) & spelled, F.when(size > 0, F.lit(INT64_MAX)).otherwise(F.lit(INT64_MIN)))
+    return F.coalesce(get(value, "$", "bigint"), F.when(value.isNotNull(), past))
 
 
 def to_double(value: Column) -> Column:

@@ -86,17 +86,23 @@ def count_by(errors: DataFrame, column: str) -> DataFrame:
 def summary(errors: DataFrame, as_of: Column, days: int = SUMMARY_DAYS) -> DataFrame:
     """One row: totals plus the counts by process and by type as maps.
 
-    The maps hold one entry per process or error type. Counting comes first, so what
-    is gathered into them is the list of distinct names, not the errors.
+    The maps hold one entry per process or error type. One pass counts by process, by type
+    and in all, so what is gathered into them is the list of distinct names, not the errors.
     """
-    window = recent(errors, as_of, days)
+    by = ("process_name", "error_type")
+    sets = recent(errors, as_of, days).groupingSets([[by[0]], [by[1]], []], *by).agg(
+        F.grouping_id(*by).alias("level"), F.count("*").alias("errors"), F.count_if(~F.col("is_resolved")).alias("open"),
+    )
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("level") == 3, F.col(column))), F.lit(0)).cast("long")
 
-    def as_map(column: str) -> Column:
-        counted = count_by(window, column)
-        return counted.agg(F.map_from_entries(F.collect_list(F.struct(column, "errors")))).scalar()
+    def as_map(column: str, level: int) -> Column:
+        return F.map_from_entries(F.collect_list(F.when(F.col("level") == level, F.struct(column, "errors"))))
 
-    return totals(window).select(
-        "*", as_map("process_name").alias("by_process"), as_map("error_type").alias("by_type")
+    return sets.agg(
+        total("errors").alias("total_errors"), total("open").alias("unresolved"),
+        as_map(by[0], 1).alias("by_process"), as_map(by[1], 2).alias("by_type"),
     )
 
 

@@ -208,75 +208,90 @@ def team_dim_rows(games: DataFrame, *keep: str) -> DataFrame:
 # --- team box scores -----------------------------------------------------------------
 
 
-def document_root(doc: Column, names: tuple[str, ...]) -> Column:
-    """The first object found under one of the names, else the document itself."""
-    found = [F.when(P.is_object(doc, f"$.{n}"), P.get(doc, f"$.{n}")) for n in names]
-    return F.coalesce(*found, doc)
-
-
-def _team_entry(team: Column, path: str, names: tuple[str, ...]) -> Column:
-    """(team_id, stats) of a team object."""
-    team_id = P.first_truthy(*[P.get(team, f"{path}.{n}") for n in BOX_TEAM_ID])
-    return F.struct(
-        P.to_long(team_id).alias("team_id"),
-        P.get_struct(team, f"{path}.statistics", names).alias("stats"),
-    )
-
-
-def _usable(entries: Column) -> Column:
-    """Entries whose id can be read and whose statistics are an object."""
-    return F.filter(entries, lambda e: e.getField("team_id").isNotNull() & e.getField("stats").isNotNull())
+def document_root(doc: Column, names: tuple[str, ...], fields: tuple[str, ...]) -> Column:
+    """``fields`` of the first object found under one of the names, else of the document itself."""
+    return F.coalesce(*[P.get_struct(doc, f"$.{n}", fields) for n in names], P.get_struct(doc, "$", fields))
 
 
 class Measures:
     """Typed columns of the statistics object of one kind of box document."""
 
-    def __init__(self, parser, fields: dict[str, tuple[str, ...]], texts: tuple[str, ...], zero_as_missing: bool):
-        self.parser, self.fields, self.texts, self.zero_as_missing = parser, fields, texts, zero_as_missing
+    def __init__(self, dtype: str, fields: dict[str, tuple[str, ...]], texts: tuple[str, ...], zero_as_missing: bool):
+        self.dtype, self.fields, self.texts, self.zero_as_missing = dtype, fields, texts, zero_as_missing
+        self.parser = {"bigint": P.to_long, "double": P.to_double}[dtype]
         self.names = (*texts, *(n for names in fields.values() for n in names))
 
-    def columns(self, stats: Column) -> list[Column]:
-        return [
-            *[P.to_text(stats.getField(t)).alias(t) for t in self.texts],
-            *[
-                self.parser(P.any_of(stats, names, self.zero_as_missing)).alias(c)
-                for c, names in self.fields.items()
-            ],
-        ]
+    def typed(self, value: Column, path: str) -> Column:
+        """The numbers of a statistics object, read at once; NULL where a field is no such number."""
+        names = dict.fromkeys(n for names in self.fields.values() for n in names)
+        return P.get(value, path, "struct<" + ", ".join(f"`{n}`: {self.dtype}" for n in names) + ">")
+
+    def columns(self, stats: Column, typed: Column) -> list[Column]:
+        return [*[P.to_text(stats.getField(t)).alias(t) for t in self.texts],
+                *[self._column(stats, typed, names).alias(c) for c, names in self.fields.items()]]
+
+    def _column(self, stats: Column, typed: Column, names: tuple[str, ...]) -> Column:
+        """The number under the first of one or two spellings.
+
+        Plain numbers and absent fields are settled by the typed object; what is left (zeros,
+        nulls, texts that are no number, oversized values) goes the long way.
+        """
+        first, last = names[0], names[-1]
+        number, other = typed.getField(first), typed.getField(last)
+        absent = stats.getField(first).isNull()
+        counts = number != 0 if self.zero_as_missing and first != last else number.isNotNull()
+        return (
+            F.when(counts, number)
+            .when(absent & stats.getField(last).isNull(), F.lit(None))
+            .when(absent & other.isNotNull(), other)
+            .otherwise(self.parser(P.any_of(stats, names, self.zero_as_missing)))
+        )
 
 
 def traditional_measures(zero_as_missing: bool = True) -> Measures:
-    return Measures(P.to_long, TEAM_STAT_FIELDS, ("minutes",), zero_as_missing)
+    return Measures("bigint", TEAM_STAT_FIELDS, ("minutes",), zero_as_missing)
 
 
 def advanced_measures(zero_as_missing: bool = True) -> Measures:
-    return Measures(P.to_double, TEAM_RATING_FIELDS, (), zero_as_missing)
+    return Measures("double", TEAM_RATING_FIELDS, (), zero_as_missing)
 
 
 def extract_team_entries(landed: DataFrame, roots: tuple[str, ...], measures: Measures) -> DataFrame:
-    """Landed box documents to the ``entries`` array of (team_id, measures).
+    """Landed box documents to the ``entries`` array of (team_id, measures), and ``readable``.
 
     Home and away objects come first; the plain team list counts only when neither
-    is usable. ``entries`` is NULL for a document that is no JSON object.
+    is usable (an id that can be read, and statistics that are an object). A document that
+    is no JSON object is not readable and has no entries.
+
+    The measures of all sides are one function over an array, evaluated as it stands: as
+    generated code they fill methods that are too large to be compiled, which takes longer.
     """
-    doc, root = F.col("doc"), F.col("root")
+    def entry(team: Column, path: str) -> Column:
+        # By path: some names of the id differ by case only, which fields of a struct cannot.
+        team_id = P.first_truthy(*[P.get(team, f"{path}.{n}") for n in BOX_TEAM_ID])
+        return F.struct(
+            P.to_long(team_id).alias("team_id"),
+            P.get_struct(team, f"{path}.statistics", measures.names).alias("stats"),
+            measures.typed(team, f"{path}.statistics").alias("typed"),
+        )
+
+    def usable(entries: Column) -> Column:
+        return F.filter(entries, lambda e: e.getField("team_id").isNotNull() & e.getField("stats").isNotNull())
+
     found = _documents(landed, "game_id").select(
-        "game_id", *LANDED_ORDER,
-        F.when(P.is_object(doc), document_root(doc, roots)).alias("root"),
+        "game_id", *LANDED_ORDER, document_root(F.col("doc"), roots, (*SIDES, "teams")).alias("root"),
     )
-    sides = F.array(*[_team_entry(root, f"$.{side}", measures.names) for side in SIDES])
     teams = found.select(
-        "game_id", *LANDED_ORDER,
-        root.isNotNull().alias("is_doc"),
-        _usable(sides).alias("sides"),
-        P.elements(P.get(root, "$.teams")).alias("listed"),
+        "game_id", *LANDED_ORDER, F.col("root").isNotNull().alias("readable"),
+        usable(F.array(*[entry(F.col(f"root.{side}"), "$") for side in SIDES])).alias("sides"),
+        P.elements(F.col("root.teams")).alias("listed"),
     )
-    from_list = _usable(F.transform("listed", lambda team: _team_entry(team, "$", measures.names)))
+    from_list = usable(F.transform("listed", lambda team: entry(team, "$")))
     used = F.when(F.size("sides") > 0, F.col("sides")).otherwise(F.coalesce(from_list, F.col("sides")))
     entries = F.transform(
-        used, lambda e: F.struct(e.getField("team_id").alias("team_id"), *measures.columns(e.getField("stats")))
+        used, lambda e: F.struct(e.getField("team_id").alias("team_id"), *measures.columns(e.getField("stats"), e.getField("typed")))
     )
-    return teams.select("game_id", *LANDED_ORDER, F.when(F.col("is_doc"), entries).alias("entries"))
+    return teams.select("game_id", *LANDED_ORDER, "readable", F.when(F.col("readable"), entries).alias("entries"))
 
 
 def _entry_of(entries: str, team: str) -> Column:
@@ -289,8 +304,8 @@ def assemble_teambox(todo: DataFrame, traditional: DataFrame, advanced: DataFram
 
     A side without an entry keeps null measures and is written all the same.
     """
-    trad = traditional.select("game_id", F.col("entries").alias("trad"), F.lit(True).alias("_t"))
-    adv = advanced.select("game_id", F.col("entries").alias("adv"), F.lit(True).alias("_a"))
+    trad = traditional.select("game_id", F.col("entries").alias("trad"), F.col("readable").alias("_t"))
+    adv = advanced.select("game_id", F.col("entries").alias("adv"), F.col("readable").alias("_a"))
     joined = todo.join(trad, "game_id", "left").join(adv, "game_id", "left")
     picked = joined.select(
         *todo.columns,
@@ -301,7 +316,7 @@ def assemble_teambox(todo: DataFrame, traditional: DataFrame, advanced: DataFram
         ],
         _first_reason(
             ("not_landed", F.col("_t").isNull() | F.col("_a").isNull()),
-            ("malformed_payload", F.col("trad").isNull() | F.col("adv").isNull()),
+            ("malformed_payload", ~F.col("_t") | ~F.col("_a")),
         ).alias("_reason"),
     )
 

@@ -140,9 +140,13 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The games that documents are derived from, dealt out: a document costs more than its row."""
+    """The games that documents are derived from, dealt out: a document costs more than its row.
+
+    The number is given, since adaptive execution would join these small partitions again.
+    """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return orders.repartition("o_orderkey").selectExpr(*columns_sql(GAMES))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return orders.repartition(parts, "o_orderkey").selectExpr(*columns_sql(GAMES))
 
 
 def loaded_games(spark: SparkSession, sf_dir: str) -> DataFrame:
