@@ -10,14 +10,20 @@ from boxlake.schemas import ETL_ERRORS
 # Limit of a retry list when none (or zero) is given, rows of the report
 # of recent errors, and the default length of a summary window.
 RETRY_LIMIT, RECENT_ROWS, SUMMARY_DAYS = 1000, 10, 7
+# Seconds to wait before the first, second and every later retry.
+RETRY_WAITS = (120, 200, 250)
+#: Part of the table that holds open errors.
+OPEN_PART = ("false",)
 
 
-def error_rows(rejects: DataFrame, run_ts: Column, retry_count: int = 0) -> DataFrame:
+def error_rows(rejects: DataFrame, run_ts: Column, retry_count: int | Column = 0) -> DataFrame:
     """Rejects (process_name, game_id, error_type, error_message) as new error rows."""
+    retries = retry_count if isinstance(retry_count, Column) else F.lit(retry_count)
     identity = F.xxhash64("process_name", "game_id", "error_type", "error_message", run_ts.cast("timestamp"))
     given = {
         "id": identity,
-        "retry_count": F.lit(retry_count),
+        "retry_count": retries,
+        "last_retry_at": F.when(retries > 0, run_ts.cast("timestamp")),
         "is_resolved": F.lit(False),
         "created_at": run_ts,
         **{c: F.col(c) for c in ("process_name", "game_id", "error_type", "error_message")},
@@ -59,6 +65,26 @@ def failed_game_ids(errors: DataFrame, process_name: str, limit: int | None = No
     )
 
 
+def attempts(errors: DataFrame) -> DataFrame:
+    """(process_name, game_id, attempts, last_failed_at) of what is open, for each game of a process."""
+    return _open(errors).filter(F.col("game_id").isNotNull()).groupBy("process_name", "game_id").agg(
+        F.max("retry_count").alias("attempts"), F.max("created_at").alias("last_failed_at")
+    )
+
+
+def due(tried: DataFrame, as_of: Column) -> DataFrame:
+    """Those of ``attempts`` whose wait is over; it grows with the number of retries."""
+    waits = F.array(*map(F.lit, RETRY_WAITS))
+    wait = F.get(waits, F.least("attempts", F.lit(len(RETRY_WAITS) - 1)))
+    return tried.filter(F.col("last_failed_at") + F.make_dt_interval(secs=wait) <= as_of.cast("timestamp"))
+
+
+def newest_failures(tried: DataFrame, process_name: str, limit: int | None = None) -> DataFrame:
+    """The games of a process that failed last; all of them without a limit."""
+    found = tried.filter(F.col("process_name") == process_name).select("game_id", "attempts", "last_failed_at")
+    return found if limit is None else found.orderBy(F.desc("last_failed_at"), "game_id").limit(limit)
+
+
 def open_game_ids(errors: DataFrame, process_name: str) -> DataFrame:
     """The whole set behind ``failed_game_ids``, for joins."""
     return (

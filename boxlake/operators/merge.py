@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from boxlake.schemas import COALESCE, INSERT_IGNORE, TableSpec
 
 ACTION = "merge_action"
+ACTIONS = ("inserted", "updated", "kept")
 
 
 def pick_row(batch: DataFrame, key: list[str], sequence: list[str], last: bool = True) -> DataFrame:
@@ -110,13 +111,6 @@ def merge(
     return both.select(*[value(f).alias(f.name) for f in spec.schema], action.alias(ACTION))
 
 
-def merge_counts(merged: DataFrame) -> DataFrame:
-    """Number of rows inserted, updated and kept."""
-    return merged.agg(
-        *[F.count_if(F.col(ACTION) == a).alias(a) for a in ("inserted", "updated", "kept")]
-    )
-
-
 def insert_counts(
     target: DataFrame, batch: DataFrame, spec: TableSpec, by: list[str] | None = None
 ) -> DataFrame:

@@ -15,6 +15,21 @@ def stage_report(outcomes: DataFrame, by: list[str], ok: Column) -> DataFrame:
     )
 
 
+def stage_counts(seasons: list[str], ok: Column) -> list[Column]:
+    """The same for frames that are being written: aggregates for ``observe``, named by ``read_counts``."""
+    counts = []
+    for i, season in enumerate(seasons):
+        mine = F.col("season") == season
+        counts += [F.count_if(mine & ok).alias(f"success{i}"), F.count_if(mine & ~ok).alias(f"failed{i}")]
+    return counts
+
+
+def read_counts(seasons: list[str], seen: dict) -> dict[str, tuple[int, int]]:
+    """(success, failed) of each season that had any."""
+    found = {season: (seen[f"success{i}"], seen[f"failed{i}"]) for i, season in enumerate(seasons)}
+    return {season: pair for season, pair in found.items() if any(pair)}
+
+
 def backfill_summary(statuses: DataFrame) -> DataFrame:
     """Seasons done and failed, from one (season, ok) row per season."""
     return (

@@ -68,3 +68,8 @@ def first_n_per_season(todo: DataFrame, order: tuple[str, ...], n: int | None) -
 def only_failed(todo: DataFrame, failed: DataFrame) -> DataFrame:
     """Retry list: the part of a work list that failed before."""
     return todo.join(failed.select("game_id"), "game_id", "left_semi")
+
+
+def with_attempts(todo: DataFrame, failed: DataFrame) -> DataFrame:
+    """Retry list with the number of retries that each game has behind it."""
+    return todo.join(failed.select("game_id", "attempts"), "game_id")

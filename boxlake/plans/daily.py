@@ -5,6 +5,10 @@ dimension. Each stage finds what is missing, extracts it from the landing area,
 unusable games aside and publishes dimensions, facts and errors in one commit. Every
 game is new to its fact table by construction, so facts are appended and the existing
 facts are read for their keys only. All seasons of a run go through one job per stage.
+
+What a run reports is counted by the jobs that write: games by season and outcome, and the
+rows that were inserted. A backfill that meets a file it cannot read goes on with halves of
+its seasons until those of that file are alone.
 """
 
 from __future__ import annotations
@@ -13,7 +17,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions.seasons import LEAGUE_YEARS, is_season_text, season_of_date
@@ -22,16 +28,15 @@ from boxlake.operators import extract as X
 from boxlake.operators import integrity as I
 from boxlake.operators import merge as M
 from boxlake.operators import worklist as W
-from boxlake.operators.reports import stage_report
+from boxlake.operators import reports as R
 from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYERBOX, SPINE, TEAMBOX
 from boxlake.sources import adapted as A
 from boxlake.sources import landing, ledger
 from boxlake.sources.files import Working
 from boxlake.sources.warehouse import Append, Replace, Warehouse
 
-REPORT_SCHEMA = "stage string, season string, success long, failed long, attempted long"
-
-
+REPORT_SCHEMA = "stage string, season string, success long, failed long, attempted long, inserted long"
+UNREADABLE = "unreadable_file"
 
 @dataclass
 class Load:
@@ -46,16 +51,22 @@ class Load:
     fmt: str = "json"
     zero_as_missing: bool = True
     retry: bool = False
+    # A retry leaves out games whose wait after the last failure is not over.
+    only_due: bool = False
     # Only documents landed at or after this time; parquet landings skip older data.
     landed_since: datetime | None = None
     keep_going: bool = False
+    # Only these games (game_id, season), and only these files of each kind.
+    only: DataFrame | None = None
+    files: dict[str, list[str]] | None = None
 
     def __post_init__(self):
         # Beside the tables: a place that every executor reaches.
         self.working = Working(self.spark, f"{self.warehouse.root}/_working")
-        self.outcomes: dict[str, DataFrame] = {}
+        self.counts: list[tuple] = []
         self.refused: list[str] = []
         self.listed: list[str] = []
+        self.broken: set[str] = set()
         # One fixed time for everything the run writes.
         if self.run_ts is None:
             self.run_ts = datetime.now(timezone.utc)
@@ -65,7 +76,10 @@ class Load:
     # --- shared steps ----------------------------------------------------------------
 
     def _landed(self, kind: str, todo: DataFrame | None = None) -> DataFrame:
-        rows = landing.landed(self.spark, self.landing_root, kind, self.seasons, self.fmt, self.landed_since)
+        rows = landing.landed(
+            self.spark, self.landing_root, kind, self.seasons, self.fmt, self.landed_since,
+            files=None if self.files is None else self.files.get(kind, []), broken=kind == "finder",
+        )
         if todo is None:
             return rows
         # Spark sends a short list to every executor and deals both sides out for a long one.
@@ -76,47 +90,80 @@ class Load:
         return df.withColumn("season_order", order)
 
     def _todo(self, todo: DataFrame, order: tuple[str, ...], process: str) -> DataFrame | None:
-        """The work list as a written table, or None when everything is up to date."""
+        """The work list as a written table, or None when everything is up to date.
+
+        A retry takes the games that failed last, so its limit holds for all seasons together.
+        """
+        if self.only is not None:
+            todo = todo.join(self.only.select("game_id").distinct(), "game_id", "left_semi")
         if self.retry:
-            todo = W.only_failed(todo, E.open_game_ids(self.warehouse.read("etl_errors"), process))
-        first = W.first_n_per_season(todo, order, self.limit)
+            tried = E.attempts(self.warehouse.read("etl_errors", list(E.OPEN_PART)))
+            tried = E.due(tried, self.run_ts) if self.only_due else tried
+            first = W.with_attempts(todo, E.newest_failures(tried, process, self.limit))
+        else:
+            first = W.first_n_per_season(todo, order, self.limit)
         kept = self.working.keep(self._with_season_order(first), f"{process}_todo")
         return None if kept.isEmpty() else kept
 
-    def _book(self, process: str, games: DataFrame, bad: DataFrame | None, changes: dict) -> None:
-        """Commit a stage together with its errors, and keep its outcome for the report."""
-        outcome = games.select("season", "game_id", "reject_reason")
+    def _book(self, process: str, games: DataFrame, bad: DataFrame | None, changes: dict, table: str) -> None:
+        """Commit a stage together with its errors; both writing jobs count for the report."""
+        retries = (F.col("attempts") + 1 if "attempts" in games.columns else F.lit(0)).alias("retries")
+        outcome = games.select("season", "game_id", "reject_reason", retries)
         if bad is not None:
             marks = bad.withColumn("_bad", F.lit("unknown_reference"))
             outcome = outcome.join(marks, "game_id", "left").select(
-                "season", "game_id", F.coalesce("reject_reason", "_bad").alias("reject_reason")
+                "season", "game_id", F.coalesce("reject_reason", "_bad").alias("reject_reason"), "retries"
             )
-        outcome = self.working.keep(outcome, f"{process}_outcome")
-        self.outcomes[process] = outcome
+        seasons, seen = list(self.seasons), Observation()
+        outcome = self.working.keep(
+            outcome.observe(seen, *R.stage_counts(seasons, F.col("reject_reason").isNull())), f"{process}_outcome"
+        )
+        counts = R.read_counts(seasons, seen.get)
         rejects = outcome.filter("reject_reason is not null").select(
             F.lit(process).alias("process_name"), "game_id",
             F.col("reject_reason").alias("error_type"),
-            X.reject_message(F.col("reject_reason")).alias("error_message"),
+            X.reject_message(F.col("reject_reason")).alias("error_message"), "retries",
         )
+        failed = any(pair[1] for pair in counts.values())
+        news = E.error_rows(rejects, self.run_ts, F.col("retries"))
         if self.retry:
             done = outcome.filter("reject_reason is null").select(F.lit(process).alias("process_name"), "game_id")
-            resolved = E.resolve(self.warehouse.read("etl_errors"), done, self.run_ts).drop("changed")
-            changes["etl_errors"] = Replace(resolved.unionByName(E.error_rows(rejects, self.run_ts, retry_count=1)))
-        else:
-            changes["etl_errors"] = Append(E.error_rows(rejects, self.run_ts))
-        if rejects.isEmpty() and not self.retry:
-            changes.pop("etl_errors")
-        self.warehouse.commit(changes)
-        ledger.append(
-            rejects.select(F.col("process_name").alias("process"), "game_id", "error_type",
-                           F.col("error_message").alias("message")),
-            f"{self.warehouse.root}/_failures",
-        )
+            errors = self.warehouse.read("etl_errors", list(E.OPEN_PART))
+            resolved = E.resolve(errors, done, self.run_ts).drop("changed")
+            changes["etl_errors"] = Replace(resolved.unionByName(news), E.OPEN_PART)
+        elif failed:
+            changes["etl_errors"] = Append(news)
+        self.warehouse.commit(changes, count={table: ("season", seasons)})
+        inserted = self.warehouse.counts[table]
+        self.counts += [(process, season, ok, bad, ok + bad, inserted[season]) for season, (ok, bad) in counts.items()]
+        if failed:
+            ledger.append(
+                rejects.select(F.col("process_name").alias("process"), "game_id", "error_type",
+                               F.col("error_message").alias("message")),
+                f"{self.warehouse.root}/_failures",
+            )
+
+    def _look_for_broken(self, kinds: tuple[str, ...], games: DataFrame) -> None:
+        """Where documents are missing, look for files that cannot be read; their seasons count as failed."""
+        missing = games.filter("reject_reason = 'not_landed'").select("season").distinct().collect()
+        for kind in kinds if missing else ():
+            found = landing.broken_files(self.spark, self.landing_root, kind, [r.season for r in missing], self.fmt)
+            self.book_broken(kind, [(r.season, r.file) for r in found.collect()])
+
+    def book_broken(self, kind: str, found: list[tuple[str, str]]) -> None:
+        """Error rows for (season, file or message) that could not be read."""
+        self.broken |= {season for season, _ in found}
+        if found:
+            rows = [(kind, None, UNREADABLE, f"{season}: {what}"[:2000]) for season, what in found]
+            rejects = self.spark.createDataFrame(rows, "process_name string, game_id string, error_type string, error_message string")
+            self.warehouse.commit({"etl_errors": Append(E.error_rows(rejects, self.run_ts))})
 
     # --- stages ----------------------------------------------------------------------
 
     def load_spine(self) -> None:
         """New game ids; a season whose finder rows lack a column is refused as a whole."""
+        if self.only is not None:
+            return self._add_to_spine(self.only)
         rows = landing.finder_rows(self._landed("finder"))
         status = {r.season: r.ok for r in landing.finder_status(rows).collect()}
         self.refused = [s for s, ok in status.items() if not ok]
@@ -126,12 +173,14 @@ class Load:
         self.seasons = [s for s in self.seasons if s not in self.refused]
         if not self.seasons:
             return
-        found = landing.completed_games(rows.filter(~F.col("season").isin(self.refused)))
-        found = self.working.keep(self._with_season_order(found), "spine_found")
+        self._add_to_spine(landing.completed_games(rows.filter(~F.col("season").isin(self.refused))))
+
+    def _add_to_spine(self, found: DataFrame) -> None:
+        found = self.working.keep(self._with_season_order(found.select("game_id", "season")), "spine_found")
         usable = found.filter(F.char_length("game_id") <= 10)
         fresh = M.insert_ignore(self.warehouse.read("spine"), usable, SPINE, ["season_order"], self.run_ts)
         games = found.withColumn("reject_reason", F.when(F.char_length("game_id") > 10, "out_of_range"))
-        self._book("spine", games, None, {"spine": Append(fresh)})
+        self._book("spine", games, None, {"spine": Append(fresh)}, "spine")
 
     def load_games(self) -> None:
         wh = self.warehouse
@@ -149,7 +198,8 @@ class Load:
         teams = X.team_dim_rows(good, "season_order")
         dims = M.merge(wh.read("dim_teams"), teams, DIM_TEAMS, ["season_order", "game_id", "pos"], self.run_ts)
         facts = M.as_inserts(X.game_rows(good), FACT_GAMES, ["game_id"], self.run_ts)
-        self._book("games", games, None, {"dim_teams": Replace(dims.drop(M.ACTION)), "fact_games": Append(facts)})
+        self._book("games", games, None, {"dim_teams": Replace(dims.drop(M.ACTION)), "fact_games": Append(facts)}, "fact_games")
+        self._look_for_broken(("summary",), games)
 
     def load_teambox(self) -> None:
         wh = self.warehouse
@@ -167,7 +217,8 @@ class Load:
         rows = X.teambox_rows(games.filter("reject_reason is null"))
         bad = self._bad_games(rows, TEAMBOX, "teambox")
         facts = M.as_inserts(I.without_games(rows, bad), TEAMBOX, ["pos"], self.run_ts)
-        self._book("teambox", games, bad, {TEAMBOX.name: Append(facts)})
+        self._book("teambox", games, bad, {TEAMBOX.name: Append(facts)}, TEAMBOX.name)
+        self._look_for_broken(("traditional", "advanced"), games)
 
     def load_players(self) -> None:
         wh = self.warehouse
@@ -188,7 +239,8 @@ class Load:
         facts = M.as_inserts(rows, PLAYERBOX, ["pos"], self.run_ts)
         self._book("playerbox", games, bad, {
             "dim_players": Replace(dims.drop(M.ACTION)), PLAYERBOX.name: Append(facts),
-        })
+        }, PLAYERBOX.name)
+        self._look_for_broken(("players",), games)
 
     def _bad_games(self, rows: DataFrame, spec, process: str) -> DataFrame:
         """Games whose rows refer to an unknown team.
@@ -214,14 +266,20 @@ class Load:
             F.concat_ws(" ", X.reject_message(F.coalesce("reject_reason", "_bad")), F.lit("for"),
                         "season", "team_id", "group_quantity").alias("error_message"),
         ).filter("error_type is not null")
+        seasons = list(self.seasons)
         wh.commit({
-            LINEUPS.name: Replace(merged.drop(M.ACTION), tuple(self.seasons)),
+            LINEUPS.name: Replace(merged, tuple(seasons)),
             "etl_errors": Append(E.error_rows(rejects, self.run_ts)),
-        })
+        }, count={LINEUPS.name: (M.ACTION, list(M.ACTIONS))})
         reason = F.coalesce("reject_reason", F.when(F.col("_bad"), "unknown_reference"))
         outcome = groups.join(orphans.withColumn("_bad", F.lit(True)), "team_id", "left").withColumn("reject_reason", reason)
-        outcome = self.working.keep(outcome.select("season", "team_id", "reject_reason"), "lineups_outcome")
-        self.outcomes["lineups"] = outcome
+        seen, ok = Observation(), F.col("reject_reason").isNull()
+        outcome = outcome.select("season", "team_id", "reject_reason").observe(seen, *R.stage_counts(seasons, ok))
+        outcome = self.working.keep(outcome, "lineups_outcome")
+        found = R.read_counts(seasons, seen.get)
+        # Rows are counted by action for the run as a whole, so they stand with its first season.
+        inserted = [wh.counts[LINEUPS.name]["inserted"], *[0] * len(found)]
+        self.counts += [("lineups", s, good, bad, good + bad, n) for (s, (good, bad)), n in zip(found.items(), inserted)]
         failed = outcome.filter("reject_reason is not null").select(
             F.lit("lineups").alias("process"), F.lit(None).cast("string").alias("game_id"), "team_id",
             F.col("reject_reason").alias("error_type"), X.reject_message(F.col("reject_reason")).alias("message"),
@@ -251,14 +309,8 @@ class Load:
             self.working.close()
 
     def report(self) -> DataFrame:
-        """(stage, season, success, failed, attempted); one row per stage and season."""
-        ok = F.col("reject_reason").isNull()
-        rows = [
-            (name, *row)
-            for name, outcome in self.outcomes.items()
-            for row in stage_report(outcome, ["season"], ok).collect()
-        ]
-        return self.spark.createDataFrame(rows, REPORT_SCHEMA)
+        """(stage, season, success, failed, attempted, inserted); ``inserted`` are rows of the stage's table."""
+        return self.spark.createDataFrame(self.counts, REPORT_SCHEMA)
 
 
 def current_season(spark: SparkSession, day: Column | None = None, override: str | None = None) -> str:
@@ -286,15 +338,47 @@ def backfill(
     """Load several seasons; returns the stage report and (season, ok).
 
     A malformed season text refuses the whole run. A season that cannot be listed is
-    reported as failed while the others are loaded; so is one that has not landed.
+    reported as failed while the others are loaded; so is one that has not landed, and one
+    with a file that cannot be read, which is named in the error table.
     """
     texts = spark.createDataFrame([(s,) for s in seasons], "season string")
     invalid = [r.season for r in texts.filter(~is_season_text(F.col("season"), LEAGUE_YEARS)).collect()]
     if invalid:
         raise ValueError(f"seasons must look like 2023-24: {invalid}")
-    load = Load(spark, warehouse, landing_root, list(seasons), keep_going=True, **options)
-    report = load.run()
-    return report, texts.withColumn("ok", F.col("season").isin(load.listed))
+    counts: dict[tuple[str, str], tuple] = {}
+    loaded: set[str] = set()
+    waiting = [list(seasons)]
+    while waiting:
+        part = waiting.pop(0)
+        load = Load(spark, warehouse, landing_root, part, keep_going=True, **options)
+        try:
+            load.run()
+            loaded |= set(load.listed) - load.broken
+        except (PySparkException, Py4JJavaError) as failure:
+            if isinstance(failure, AnalysisException):
+                raise
+            if len(part) > 1:
+                waiting[:0] = [part[: len(part) // 2], part[len(part) // 2 :]]
+            else:
+                load.book_broken("backfill", _broken_or(load, part[0], failure))
+        for row in load.counts:
+            first = counts.setdefault(row[:2], row)
+            # A stage that is taken up again finds what it has loaded before.
+            counts[row[:2]] = (*first[:5], first[5] + (row[5] if first is not row else 0))
+    report = spark.createDataFrame(list(counts.values()), REPORT_SCHEMA)
+    return report, texts.withColumn("ok", F.col("season").isin(list(loaded)))
+
+
+def _broken_or(load: Load, season: str, failure: Exception) -> list[tuple[str, str]]:
+    """The files of a season that cannot be read, else the message of its failure."""
+    found = []
+    for kind in landing.LANDED_SCHEMAS:
+        try:
+            rows = landing.broken_files(load.spark, load.landing_root, kind, [season], load.fmt).collect()
+            found += [(r.season, r.file) for r in rows]
+        except (PySparkException, Py4JJavaError):
+            continue
+    return found or [(season, str(failure))]
 
 
 def land_adapted(spark: SparkSession, sf_dir: str, root: str) -> None:

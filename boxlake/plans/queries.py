@@ -489,11 +489,21 @@ def stage_report(spark, d):
 
 
 def backfill_summary(spark, d):
-    """Seasons that can be listed; one lacks the required columns, one has unreadable rows."""
+    """Seasons that can be listed, from landed files.
+
+    One season lacks the required columns, one has payloads that cannot be read, and in the
+    files of one every third line is cut off.
+    """
     payload = F.when(F.col("season") == "1996-97", F.lit('{"TEAM_ID":1}'))
     payload = payload.when((F.col("season") == "1995-96") & (F.crc32(F.col("payload").cast("binary")) % 2 == 0), F.lit("<html>busy</html>"))
     landed = A.finder_landed(spark, d).withColumn("payload", payload.otherwise(F.col("payload")))
-    return R.backfill_summary(landing.finder_status(landing.finder_rows(landed)))
+    line = F.to_json(F.struct("league", "season_type", "payload"))
+    cut = (F.col("season") == "1994-95") & (F.crc32(F.col("payload").cast("binary")) % 3 == 0)
+    root = Working(spark).root
+    landed.select("season", F.when(cut, F.left(line, F.length(line) - 4)).otherwise(line).alias("value")).write.partitionBy(
+        "season"
+    ).text(f"{root}/finder")
+    return R.backfill_summary(landing.finder_status(landing.finder_rows(landing.landed(spark, root, "finder", broken=True))))
 
 
 def retry_worklist(spark, d):
@@ -502,6 +512,14 @@ def retry_worklist(spark, d):
     return W.only_failed(todo, failed).select("game_id", "season")
 
 
+def retry_newest(spark, d):
+    """The games without a team box among the newest failures, with their retries so far."""
+    todo = W.missing_boxes(A.games(spark, d), A.teambox(spark, d).filter("game_key % 5 <> 0"))
+    tried = E.attempts(A.errors(spark, d).withColumn("retry_count", (F.col("id") % 4).cast("int")))
+    found = W.with_attempts(todo, E.newest_failures(E.due(tried, _run_ts()), "load_2", RETRY_N))
+    return found.select("game_id", "season", "attempts")
+
+
 def failure_ledger(spark, d):
     """Ledger lines written and read back, with tabs inside some messages."""
     failures = A.errors(spark, d).filter("game_id is not null").select(
@@ -603,7 +621,7 @@ QUERIES = {
         fk_orphans, cascade_delete, constraint_violations, game_constraint_violations, atomic_games,
         errors_append, errors_resolve, errors_failed_ids, errors_failed_ids_all, errors_totals,
         errors_by_process, errors_by_type, errors_summary, errors_recent_open,
-        stage_report, backfill_summary, retry_worklist, failure_ledger, lineup_failure_ledger,
+        stage_report, backfill_summary, retry_worklist, retry_newest, failure_ledger, lineup_failure_ledger,
         lineup_rejects, lineup_upsert,
         team_record, win_trend, player_averages, game_box, season_change, empty_team_boxes,
         daily_run_idempotent,

@@ -461,10 +461,16 @@ TWINS = {
         UNION ALL SELECT 'teambox', season, reject_reason FROM boxdocs
         UNION ALL SELECT 'playerbox', season, reject_reason FROM playerdocs) GROUP BY stage, season"""),
     "backfill_summary": _with("games", """SELECT ok, count(*) AS seasons, string_agg(season, ', ' ORDER BY season) AS season_list
-        FROM (SELECT DISTINCT season, season NOT IN ('1996-97', '1995-96') AS ok FROM games
+        FROM (SELECT DISTINCT season, season NOT IN ('1996-97', '1995-96', '1994-95') AS ok FROM games
               WHERE game_key % 17 <> 0 AND game_key % 19 <> 0) GROUP BY ok"""),
     "retry_worklist": _with("games errs", f"""SELECT game_id, season {_MISSING_TEAMBOX} AND game_id IN
         (SELECT game_id FROM errs WHERE process_name = 'load_2' AND NOT is_resolved AND game_id IS NOT NULL)"""),
+    "retry_newest": _with("games errs", f"""SELECT m.game_id, season, attempts FROM
+        (SELECT game_id, season {_MISSING_TEAMBOX}) m JOIN
+        (SELECT game_id, CAST(max(id % 4) AS INTEGER) AS attempts, max(created_at) AS last FROM errs
+         WHERE process_name = 'load_2' AND NOT is_resolved AND game_id IS NOT NULL GROUP BY game_id
+         HAVING max(created_at) + to_seconds([120, 200, 250][least(max(id % 4), 2) + 1]) <= TIMESTAMP '2024-01-31'
+         ORDER BY last DESC, game_id LIMIT 100) f ON m.game_id = f.game_id"""),
     "failure_ledger": _with("errs", """SELECT game_id, error_type,
         error_message || CASE WHEN id % 3 = 0 THEN '|retry|later' ELSE '' END AS message
         FROM errs WHERE game_id IS NOT NULL"""),

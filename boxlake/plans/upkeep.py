@@ -45,13 +45,13 @@ def mark_resolved(
     warehouse: Warehouse, process_name: str, game_id: str, run_ts: datetime | None = None
 ) -> int:
     """Close the open errors of a process and game; returns how many there were."""
-    errors = warehouse.read("etl_errors")
+    errors = warehouse.read("etl_errors", list(E.OPEN_PART))
     open_ones = errors.filter(
         (F.col("process_name") == process_name) & (F.col("game_id") == game_id) & ~F.col("is_resolved")
     ).count()
     if open_ones:
         done = warehouse.spark.createDataFrame([(process_name, game_id)], "process_name string, game_id string")
-        warehouse.commit({"etl_errors": Replace(E.resolve(errors, done, _now(run_ts)).drop("changed"))})
+        warehouse.commit({"etl_errors": Replace(E.resolve(errors, done, _now(run_ts)).drop("changed"), E.OPEN_PART)})
     return open_ones
 
 

@@ -229,6 +229,8 @@ ETL_ERRORS = TableSpec(
     listed=("is_resolved", "resolved_at"),
     not_null=("process_name", "error_type", "error_message", "created_at"),
     lengths=(("game_id", 10),),
+    # Open errors are a part of their own: closed ones are not read or written again.
+    partition_by=("is_resolved",),
 )
 
 TABLES = {

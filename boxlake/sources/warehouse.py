@@ -12,14 +12,16 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from boxlake.schemas import TABLES
 from boxlake.sources.files import file_system
 
 
-def _season_of(folder: str) -> str:
-    return folder.rpartition("season=")[2]
+def _part_of(folder: str) -> str:
+    """Value of the column that a table is split by."""
+    return folder.rpartition("=")[2]
 
 
 @dataclass(frozen=True)
@@ -31,10 +33,10 @@ class Append:
 
 @dataclass(frozen=True)
 class Replace:
-    """New content of a table, or only of some seasons of a table split by season."""
+    """New content of a table, or only of some parts (seasons, say) of a split table."""
 
     rows: DataFrame
-    seasons: tuple[str, ...] | None = None
+    parts: tuple[str, ...] | None = None
 
 
 class Warehouse:
@@ -42,18 +44,20 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.commits = f"{self.root}/_commits"
+        #: Rows that the last commit wrote, by table and counted group.
+        self.counts: dict[str, dict[str, int]] = {}
 
     def create_tables(self) -> None:
         """Create all tables at once; a warehouse that exists is left alone."""
         if self._version() is None:
             self._publish(0, {name: [] for name in TABLES})
 
-    def read(self, name: str, seasons: list[str] | None = None) -> DataFrame:
-        """A table; ``seasons`` leaves the folders of other seasons unread."""
+    def read(self, name: str, parts: list[str] | None = None) -> DataFrame:
+        """A table; ``parts`` leaves the folders of other parts (seasons, say) unread."""
         spec = TABLES[name]
         folders = self._tables()[name]
-        if seasons is not None:
-            folders = [f for f in folders if _season_of(f) in seasons]
+        if parts is not None:
+            folders = [f for f in folders if _part_of(f) in parts]
         if not folders:
             return self.spark.createDataFrame([], spec.schema)
         base = f"{self.root}/{name}"
@@ -64,18 +68,23 @@ class Warehouse:
             .select(*spec.columns)
         )
 
-    def commit(self, changes: dict[str, Append | Replace]) -> int:
-        """Write all changes, then publish them together; returns the new version."""
+    def commit(self, changes: dict[str, Append | Replace], count: dict[str, tuple[str, list[str]]] | None = None) -> int:
+        """Write all changes, then publish them together; returns the new version.
+
+        ``count`` names a column and its values for some tables; the rows of each value are
+        counted by the writing job itself and stand in ``counts`` afterwards.
+        """
         version = self._version() + 1
-        tables = dict(self._tables())
+        tables, self.counts = dict(self._tables()), {}
         for name, change in changes.items():
-            folders = self._write(name, f"batch={version:08d}-{uuid.uuid4().hex[:8]}", change.rows)
+            batch = f"batch={version:08d}-{uuid.uuid4().hex[:8]}"
+            folders = self._write(name, batch, change.rows, *(count or {}).get(name, (None, ())))
             if isinstance(change, Append):
                 kept = tables[name]
-            elif change.seasons is None:
+            elif change.parts is None:
                 kept = []
             else:
-                kept = [f for f in tables[name] if _season_of(f) not in change.seasons]
+                kept = [f for f in tables[name] if _part_of(f) not in change.parts]
             tables[name] = [*kept, *folders]
         self._publish(version, tables)
         return version
@@ -84,16 +93,22 @@ class Warehouse:
         """Empty every table."""
         self._publish(self._version() + 1, {name: [] for name in TABLES})
 
-    def _write(self, name: str, batch: str, rows: DataFrame) -> list[str]:
+    def _write(self, name: str, batch: str, rows: DataFrame, counted: str | None = None, values: list[str] = ()) -> list[str]:
         spec, path = TABLES[name], f"{self.root}/{name}/{batch}"
-        rows = rows.select(*spec.columns)
+        rows = rows.select(*spec.columns, *[c for c in (counted,) if c and c not in spec.columns])
         if spec.partition_by:
             # Even files whatever the season sizes: a rebalance splits a large season
             # and joins small ones, and sorted files let scans skip by key.
             rows = rows.hint("rebalance", *spec.partition_by).sortWithinPartitions(
                 *dict.fromkeys([*spec.partition_by, *spec.key])
             )
-        rows.write.partitionBy(*spec.partition_by).parquet(path)
+        seen = Observation()
+        if values:
+            # On top of the plan, where it also counts no rows at all.
+            rows = rows.observe(seen, *[F.count_if(F.col(counted) == v).alias(f"n{i}") for i, v in enumerate(values)])
+        rows.select(*spec.columns).write.partitionBy(*spec.partition_by).parquet(path)
+        if values:
+            self.counts[name] = {v: seen.get[f"n{i}"] for i, v in enumerate(values)}
         if not spec.partition_by:
             return [batch]
         fs, where = file_system(self.spark, path)
