@@ -15,6 +15,7 @@ from boxlake.plans import upkeep as U
 from boxlake.schemas import TABLES
 from boxlake.sources import ledger
 from boxlake.sources.warehouse import Append, Replace, Warehouse
+from boxlake.streaming import complete_games as C
 from boxlake.streaming.landing_stream import load_new_files
 
 SEASON = "2024-25"
@@ -100,11 +101,96 @@ def test_two_runs(spark, place):
     player = warehouse.read("playerbox_pergame").filter("player_id = 1 and game_id = '0022400001'").first()
     assert (player.is_home, player.opponent_team_id, player.pts, player.starter_flag) == (True, 11, 0, None)
 
-    report = _run(spark, place)
-    assert report == {("spine", SEASON): (2, 0, 2)}
+    again = D.daily_run(spark, warehouse, str(landing.root), SEASON, run_ts=NOW)
+    assert [tuple(r) for r in again.collect()] == [("spine", SEASON, 2, 0, 2, 0)]
     assert _state(warehouse) == first
 
 
+def test_inserted_rows_are_counted_by_the_writing_jobs(spark, place):
+    landing, warehouse = place
+    landing.game("0022400001", 10, 11, players=[(1, 10), (2, 11), (3, 11)])
+    landing.game("0022300001", 10, 11, day="2023-11-15", season="2023-24")
+    report, _ = D.backfill(spark, warehouse, str(landing.root), ["2023-24", SEASON], run_ts=NOW)
+    inserted = {(r.stage, r.season): r.inserted for r in report.collect()}
+    assert inserted == {
+        **{(stage, season): n for season in ("2023-24", SEASON) for stage, n in (("spine", 1), ("games", 1), ("teambox", 2))},
+        ("playerbox", "2023-24"): 2, ("playerbox", SEASON): 3,
+    }
+
+
+def test_retries_count_up_newest_first(spark, place):
+    """Closed rows stay in their part; each retry has one attempt more; a limit takes the last failures."""
+    landing, warehouse = place
+    for i in range(3):
+        landing.finder([{"GAME_ID": f"002240000{i}", "WL": "W"}])
+        _run(spark, place) if i == 0 else D.daily_run(spark, warehouse, str(landing.root), SEASON, run_ts=NOW + dt.timedelta(hours=i), limit=10)
+
+    def retry(**options):
+        return D.retry_failed(spark, warehouse, str(landing.root), [SEASON], **options).collect()
+
+    later = NOW + dt.timedelta(days=1)
+    assert [(r.success, r.failed) for r in retry(run_ts=later, limit=1)] == [(0, 1)]
+    errors = warehouse.read("etl_errors")
+    last = errors.orderBy(F.desc("created_at")).first()
+    # The game that failed last; ids break ties.
+    assert (last.game_id, last.retry_count, last.last_retry_at) == ("0022400000", 1, later)
+    # Its wait is 200 seconds now, that of the others is over.
+    soon = later + dt.timedelta(seconds=150)
+    assert [(r.success, r.failed) for r in retry(run_ts=soon, only_due=True)] == [(0, 2)]
+    landing.game("0022400000", 10, 11)
+    assert ("games", 1, 2) in {(r.stage, r.success, r.failed) for r in retry(run_ts=soon + dt.timedelta(seconds=250), only_due=True)}
+    closed = [f for f in warehouse._tables()["etl_errors"] if f.endswith("true")]
+    landing.game("0022400001", 10, 11)
+    retry(run_ts=soon + dt.timedelta(hours=1))
+    assert set(closed) < {f for f in warehouse._tables()["etl_errors"] if f.endswith("true")}
+    open_ones = warehouse.read("etl_errors", ["false"])
+    assert {r.game_id for r in open_ones.select("game_id").distinct().collect()} == {"0022400002"}
+    assert open_ones.agg(F.max("retry_count")).first()[0] == 3
+
+
+@pytest.mark.parametrize("kind", ["finder", "summary", "advanced"])
+def test_a_broken_line_fails_its_season_only(spark, place, kind):
+    landing, warehouse = place
+    landing.game("0022400001", 10, 11)
+    landing.game("0022300001", 10, 11, day="2023-11-15", season="2023-24")
+    folder = landing.root / kind / "season=2023-24"
+    file = next(folder.iterdir())
+    file.write_text("\n".join(line[: len(line) // 2] for line in file.read_text().splitlines()) + "\n")
+    _, statuses = D.backfill(spark, warehouse, str(landing.root), ["2023-24", SEASON], run_ts=NOW)
+    assert {r.season: r.ok for r in statuses.collect()} == {"2023-24": False, SEASON: True}
+    assert {r.season for r in warehouse.read("playerbox_pergame").select("season").distinct().collect()} >= {SEASON}
+    assert warehouse.read("teambox_pergame", ["2023-24"]).count() == 0
+    if kind != "finder":
+        error = warehouse.read("etl_errors").filter("error_type = 'unreadable_file'").first()
+        assert error.process_name == kind and error.error_message.endswith(file.name)
+
+
+@pytest.mark.parametrize("kind", ["finder", "traditional"])
+def test_a_truncated_parquet_file_fails_its_season_only(spark, place, tmp_path, kind):
+    landing, warehouse = place
+    seasons = ["2021-22", "2022-23", "2023-24", SEASON]
+    for i, season in enumerate(seasons):
+        landing.game(f"00{20 + i}00001", 10, 11, day=f"{2021 + i}-11-15", season=season)
+    from boxlake.sources import landing as L
+
+    root = tmp_path / "parquet"
+    for name in ("finder", "summary", "traditional", "advanced", "players"):
+        L.landed(spark, str(landing.root), name).write.partitionBy("season").parquet(str(root / name))
+    file = next((root / kind / "season=2022-23").glob("part-*"))
+    file.write_bytes(file.read_bytes()[:-20])
+    for crc in file.parent.glob(".*.crc"):
+        crc.unlink()
+    report, statuses = D.backfill(spark, warehouse, str(root), seasons, run_ts=NOW, fmt="parquet")
+    assert {r.season: r.ok for r in statuses.collect()} == {s: s != "2022-23" for s in seasons}
+    boxes = {r.season for r in warehouse.read("teambox_pergame").select("season").distinct().collect()}
+    assert boxes == set(seasons) - {"2022-23"}
+    error = warehouse.read("etl_errors").filter("error_type = 'unreadable_file'").first()
+    assert error.error_message.endswith(file.name)
+    counted = {(r.stage, r.season): (r.success, r.inserted) for r in report.collect()}
+    assert all(counted[("teambox", s)] == (1, 2) for s in boxes)
+    assert L.broken_files(spark, str(root), "summary", seasons, "parquet").count() == 0
+
+
 def test_rejects_retry_and_resolution(spark, place):
     landing, warehouse = place
     landing.game("0022400001", 10, 11)
@@ -278,6 +364,56 @@ def test_stream_drives_the_load(spark, place, tmp_path):
     assert drain() == 2
 
 
+def test_stream_of_complete_games(spark, place, tmp_path):
+    """Late, repeated and missing documents; state ends with the watermark."""
+    landing, warehouse = place
+    for kind in C.KINDS:
+        (landing.root / kind).mkdir(parents=True)
+    seen = []
+
+    def drain():
+        query = C.load_complete_games(spark, warehouse, str(landing.root), str(tmp_path / "checkpoint"), run_ts=NOW)
+        query.awaitTermination()
+        if query.lastProgress:
+            seen.append(sum(s.numRowsTotal for s in query.lastProgress.stateOperators))
+        return {r.game_id for r in warehouse.read("playerbox_pergame").select("game_id").distinct().collect()}
+
+    def parts(game_id, kinds, at, points=100):
+        stats = {"points": points, "minutes": 240}
+        payloads = {
+            "summary": {"boxScoreSummary": {
+                "homeTeamId": 10, "awayTeamId": 11, "gameTimeUTC": "2024-11-15T19:00:00Z",
+                "homeTeam": {"teamId": 10, "teamName": "A"}, "awayTeam": {"teamId": 11, "teamName": "B"}}},
+            "traditional": {"homeTeam": {"teamId": 10, "statistics": stats}, "awayTeam": {"teamId": 11, "statistics": stats}},
+            "advanced": {"homeTeam": {"teamId": 10, "statistics": {"pace": 1.5}}, "awayTeam": {"teamId": 11, "statistics": {"pace": 2.5}}},
+            "players": {"tables": [[{"personId": 1, "teamId": 10, "points": 3}]]},
+        }
+        for kind in kinds:
+            landing.document(kind, game_id, payloads[kind], at=at)
+
+    parts("0022400001", C.KINDS, "2024-11-20T00:00:00Z")
+    parts("0022400002", C.KINDS[:2], "2024-11-20T01:00:00Z")
+    assert drain() == {"0022400001"}
+    # The rest of the second game, and a newer copy of one of its documents.
+    parts("0022400002", ("traditional",), "2024-11-20T02:00:00Z", points=77)
+    parts("0022400002", C.KINDS[2:], "2024-11-21T00:00:00Z")
+    # Of a third game only half ever lands in time.
+    parts("0022400003", C.KINDS[:2], "2024-11-21T00:00:00Z")
+    assert drain() == {"0022400001", "0022400002"}
+    assert {r.pts for r in warehouse.read("teambox_pergame").filter("game_id = '0022400002'").collect()} == {77}
+    assert drain() == {"0022400001", "0022400002"}
+    # Weeks later the watermark has passed all of these, and state is left for the new game only.
+    parts("0022400004", C.KINDS, "2024-12-20T00:00:00Z")
+    drain()
+    parts("0022400003", C.KINDS[2:], "2024-11-21T00:00:00Z")
+    assert drain() == {"0022400001", "0022400002", "0022400004"}
+    assert seen[-1] <= 8 < max(seen) + 5
+    # The daily run finds what the stream has left behind.
+    landing.finder([{"GAME_ID": "0022400003", "WL": "W"}])
+    _run(spark, place)
+    assert warehouse.read("playerbox_pergame").select("game_id").distinct().count() == 4
+
+
 def test_tables_and_commits(spark, place):
     _, warehouse = place
     spine = spark.createDataFrame([("g1", "2023-24", None), ("g2", SEASON, None)], TABLES["spine"].schema)
