@@ -44,7 +44,7 @@ STEPS = (BANDS * ROWS, 256, 384, 512)
 HASHES = STEPS[-1]
 MISS = 1e-6
 BLOCK = 2_000
-ROUNDS = 4
+ROUNDS = 1
 FEW = 48
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32) | np.uint32(1)
