@@ -35,8 +35,10 @@ from boxlake.llm.common import LOWER, Scratch, chunks, reach, text_of, word_hash
 DEPTH = 5
 HEAD_GRAMS = 1 << 20
 HEAD_WORDS = 1 << 17
-#: Entries that a task holds before it merges equal ones, and before it passes them on.
-HELD = 4_000_000
+#: Entries beside the merged ones that a task holds before it merges again, and merged ones that it passes on.
+HELD, PASSED = 250_000, 1_000_000
+#: Text of one vectorised step.
+STEP_BYTES = 1 << 18
 SLOTS = 21
 END = 0x5EED_0F_E4D
 _LINE = 10
@@ -84,21 +86,22 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[list, list]] = [([], []), ([], [])]
+        merged = [0, 0]  # entries after the last merge
 
         def give(kind: int, final: bool) -> Iterator[pd.DataFrame]:
             keys, counts = held[kind]
-            if keys and (final or sum(map(len, keys)) > HELD):
+            if keys and (final or sum(map(len, keys)) > 2 * merged[kind] + HELD):
                 key, n = _merged(keys, counts)
-                if final or len(key) > HELD // 2:
-                    for a in range(0, len(key), 200_000):
-                        yield pd.DataFrame({"kind": np.int32(kind), "key": key[a : a + 200_000].view(np.int64), "n": n[a : a + 200_000]})
-                    keys[:], counts[:] = [], []
+                if final or len(key) > PASSED:
+                    keys[:], counts[:], merged[kind] = [], [], 0
+                    for a in range(0, len(key), 100_000):
+                        yield pd.DataFrame({"kind": np.int32(kind), "key": key[a : a + 100_000].view(np.int64), "n": n[a : a + 100_000]})
                 else:
-                    keys[:], counts[:] = [key], [n]
+                    keys[:], counts[:], merged[kind] = [key], [n], len(key)
 
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, STEP_BYTES):
                 words, _, grams, _ = byte_sequences(texts[a:b])
                 words = np.append(words, np.full(b - a, END, np.uint64))
                 for kind, found in ((0, words), (1, grams)):
@@ -207,24 +210,25 @@ def tree(grams: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     return key[order], p[order].astype(np.float32)
 
 
+def _slots(gram: np.ndarray) -> np.ndarray:
+    return ((gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
 class Head:
-    """Log10 chances of the most frequent grams."""
+    """Log10 chances of the most frequent grams; made once, and sent to the tasks as it is."""
 
     def __init__(self, keys: np.ndarray, logs: np.ndarray, n: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.logs = keys[order], logs[order]
         self.slot = np.zeros(1 << SLOTS, np.int32)
         often = np.argsort(n[order], kind="stable")  # of grams that share a slot, the most frequent has it
-        self.slot[self._slots(self.keys[often])] = often
-
-    def _slots(self, gram: np.ndarray) -> np.ndarray:
-        return ((gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+        self.slot[_slots(self.keys[often])] = often
 
     def find(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log chances, 0 for grams outside the head, and which are in it."""
         if not len(self.keys):
             return np.zeros(len(gram)), np.zeros(len(gram), bool)
-        at = self.slot[self._slots(gram)]
+        at = self.slot[_slots(gram)]
         miss = np.flatnonzero(self.keys[at] != gram)
         at[miss] = np.minimum(np.searchsorted(self.keys, gram[miss]), len(self.keys) - 1)
         hit = self.keys[at] == gram
@@ -299,17 +303,16 @@ def scored(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
     paths = chances(grams.select("key", F.col("wanted").alias("n")), levels, scratch)
     often = reach(paths, F.col("n"), HEAD_GRAMS)
     top = paths.filter(F.col("n") >= often).toArrow()
-    top = top["key"].to_numpy().view(np.uint64), top["log"].to_numpy(), top["n"].to_numpy()
+    top = Head(top["key"].to_numpy().view(np.uint64), top["log"].to_numpy(), top["n"].to_numpy())
     model = spark.sparkContext.broadcast((head_key[order], head_n[order], top))
     floor = all_tokens + distinct + 1  # N + 1 * (V + 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, n, top = model.value
+        key, n, frequent = model.value
         value = np.log10((n + 1) / floor)
-        frequent = Head(*top)
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, STEP_BYTES):
                 words, first, grams, cut = byte_sequences(texts[a:b])
                 at = np.minimum(np.searchsorted(key, words), max(len(key) - 1, 0))
                 hit = key[at] == words if len(key) else np.zeros(len(words), bool)
