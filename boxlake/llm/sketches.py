@@ -4,11 +4,12 @@ An index row stands for one document: its number of terms and a sketch, a vector
 each distinct term's frequency is folded by maximum into the coordinate of the term's hash.
 Within a document a higher frequency never has a lower impact, so the impact of a coordinate's
 frequency is at least that of every term there, and the sum over a query's terms bounds the
-document's score from above. A sketch has about eight coordinates for each distinct term (a
-power of two, ``NARROW`` at least); frequencies past 255 count as unlimited.
+document's score from above. A sketch has ``WIDTH`` coordinates and more for each distinct
+term (a power of two, ``NARROW`` at least) and is stored by those that are not zero; frequencies
+past 255 count as unlimited.
 
 A block of queries is looked up in all sketches at once, twice. The first time, each query's
-documents of highest bounds are scored exactly, which gives a threshold that the last of its
+``FIRST`` documents of highest bounds are scored exactly, which gives a threshold that the last of its
 results reaches at least. The second time, every document whose bound reaches a threshold is
 scored exactly from its whole text, highest bounds first; what a task has found raises its
 thresholds until no further bound reaches them. Sketches only say what need not be scored.
@@ -39,12 +40,15 @@ from boxlake.llm.common import Scratch, chunks, text_of, word_hashes, words_of
 #: Bytes that are in no term.
 GAPS = np.ones(256, bool)
 GAPS[0x30:0x3A] = GAPS[0x41:0x5B] = GAPS[0x61:0x7B] = GAPS[0x80:] = False
-NARROW = 256
+WIDTH, NARROW = 64, 256
 UNLIMITED = 255
-#: Queries of one block, whose terms every task has; documents that are bounded in one step.
-QUERIES, STEP = 2_000, 128
+#: Queries of one block, whose terms every task has.
+QUERIES = 2_000
+#: Documents, and coordinates of their sketches, of one step.
+STEP, COORDINATES = 128, 1 << 22
+FIRST = 50
 #: Terms that a task counts before it passes them on.
-HELD = 1_000_000
+HELD = 500_000
 SALT = 32
 
 
@@ -56,16 +60,16 @@ def frequencies(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarra
         yield b - a, *np.unique(hashes[a:b], return_counts=True)
 
 
-def sketch(terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
-    size = max(NARROW, 1 << (8 * len(terms)).bit_length())
+def sketch(terms: np.ndarray, tf: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Number of coordinates, and those that are not zero with their maxima."""
+    size = max(NARROW, 1 << (WIDTH * len(terms)).bit_length())
     order = np.argsort(tf, kind="stable")  # of those that share a coordinate, the most frequent is written last
-    out = np.zeros(size, np.uint8)
-    out[(terms[order] & np.uint64(size - 1)).astype(np.int64)] = np.minimum(tf[order], UNLIMITED)
-    return out
+    place = (terms[order] & np.uint64(size - 1)).astype("<u4")
+    return size, place.tobytes(), np.minimum(tf[order], UNLIMITED).astype(np.uint8).tobytes()
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """Rows of documents (``doc_id, n, sketch``) and rows of terms (``term, df``), these summed within a task."""
+    """Rows of documents (``doc_id, n, size, places, maxima``) and rows of terms (``term, df``), these summed within a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -76,30 +80,30 @@ def scanned(docs: DataFrame) -> DataFrame:
 
         def given(term: np.ndarray, df: np.ndarray) -> Iterator[pd.DataFrame]:
             for a in range(0, len(term), 100_000):
-                yield pd.DataFrame({"doc_id": None, "n": None, "sketch": None, "term": term[a : a + 100_000].view(np.int64), "df": df[a : a + 100_000]})
+                yield pd.DataFrame({"doc_id": None, "n": None, "size": None, "places": None, "maxima": None, "term": term[a : a + 100_000].view(np.int64), "df": df[a : a + 100_000]})
 
         for pdf in batches:
             texts, ids = [t.encode() for t in pdf["text"]], pdf["doc_id"].astype("Int64")
             for a, b in chunks(texts):
                 rows, seen = [], []
                 for n, terms, tf in frequencies(texts[a:b]):
-                    rows.append((n, sketch(terms, tf).tobytes() if n else None))
+                    rows.append((n, *(sketch(terms, tf) if n else (0, None, None))))
                     seen.append(terms)
-                out = pd.DataFrame(rows, columns=["n", "sketch"])
+                out = pd.DataFrame(rows, columns=["n", "size", "places", "maxima"])
                 out.insert(0, "doc_id", ids.iloc[a:b].values)
                 yield out.assign(term=None, df=None)
                 held.append(np.unique(np.concatenate(seen), return_counts=True))
                 if sum(len(t) for t, _ in held) > HELD:
                     term, df = merged()
                     held[:] = [(term, df)]
-                    if len(term) > HELD // 2:
+                    if len(term) > HELD // 2:  # else what follows is merged with it
                         held.clear()
                         yield from given(term, df)
         if held:
             yield from given(*merged())
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n long, sketch binary, term long, df long")
+    return rows.mapInPandas(run, "doc_id long, n long, size long, places binary, maxima binary, term long, df long")
 
 
 class Queries:
@@ -137,15 +141,19 @@ class Queries:
         impact[doc, term] = self.weights[term] * value
         return np.add.reduceat(impact[:, self.entries] * self.times, self.starts, axis=1)
 
-    def bounds(self, sketches: list[bytes], n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Numbers of documents with terms, and their bounds, some documents at a time."""
-        width = np.array([len(s or b"") for s in sketches])
-        for size in np.unique(width[width > 0]):
-            place, at = (self.terms & np.uint64(size - 1)).astype(np.int64), np.flatnonzero(width == size)
-            for a in range(0, len(at), STEP):
-                part = at[a : a + STEP]
-                tf = np.frombuffer(b"".join(sketches[i] for i in part), np.uint8).reshape(len(part), size)
-                yield part, self.scores(tf[:, place], n[part])
+    def bounds(self, pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of index rows, and their documents' bounds, some at a time."""
+        width, n = pdf["size"].values, pdf["n"].values
+        places, maxima = list(pdf["places"]), list(pdf["maxima"])
+        for size in np.unique(width):
+            wanted, at = (self.terms & np.uint64(size - 1)).astype(np.int64), np.flatnonzero(width == size)
+            step = max(1, min(STEP, COORDINATES // int(size)))
+            for a in range(0, len(at), step):
+                part = at[a : a + step]
+                full = np.zeros((len(part), size), np.uint8)
+                for i, k in enumerate(part):
+                    full[i, np.frombuffer(places[k], "<u4")] = np.frombuffer(maxima[k], np.uint8)
+                yield part, self.scores(full[:, wanted], n[part])
 
     def exact(self, texts: list[bytes]) -> np.ndarray:
         """Scores of whole texts; equal to the definition, without any bound."""
@@ -168,78 +176,91 @@ def _best(rows: DataFrame, value: str, most: int) -> DataFrame:
 
 
 def _highest_bounds(index: DataFrame, model, most: int) -> DataFrame:
-    """``query, doc_id, bound`` of each task's ``most`` highest bounds of each query."""
+    """``query, doc_id, bound`` of each task's ``most`` highest bounds of each query, also in the form of ``_reaching``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, held = model.value, None
         for pdf in batches:
             ids = pdf["doc_id"].astype("Int64")
             lone, ids = ids.isna().values, ids.fillna(0).values.astype(np.int64)
-            for at, found in queries.bounds(list(pdf["sketch"]), pdf["n"].values):
+            for at, found in queries.bounds(pdf):
                 new = [found, np.broadcast_to(ids[at][:, None], found.shape), np.broadcast_to(lone[at][:, None], found.shape)]
                 held = new if held is None else [np.concatenate(pair) for pair in zip(held, new, strict=True)]
                 if len(held[0]) > most:
                     top = np.argpartition(held[0], len(held[0]) - most, axis=0)[-most:]
                     held = [np.take_along_axis(x, top, 0) for x in held]
         if held is not None:
-            query = np.broadcast_to(np.array(queries.numbers), held[0].shape)
+            at = np.broadcast_to(np.arange(len(queries.numbers)), held[0].shape)
             some = held[0] > 0
-            out = pd.DataFrame({"query": query[some], "doc_id": held[1][some], "bound": held[0][some]})
+            out = pd.DataFrame({"query": np.array(queries.numbers)[at[some]], "doc_id": held[1][some], "bound": held[0][some]})
+            out["queries"] = [x.tobytes() for x in at[some].astype("<u4")]
+            out["bounds"] = [x.tobytes() for x in held[0][some].astype("<i8")]
             yield out.assign(doc_id=out["doc_id"].astype("Int64").mask(held[2][some]))
 
-    return index.select("doc_id", "n", "sketch").mapInPandas(run, "query long, doc_id long, bound long")
+    return index.mapInPandas(run, "query long, doc_id long, bound long, queries binary, bounds binary")
 
 
 def _reaching(index: DataFrame, model, thresholds) -> DataFrame:
-    """``doc_id, query, bound`` of all bounds that reach their query's threshold."""
+    """``doc_id, highest, queries, bounds``: the queries whose threshold a document's bound reaches.
+
+    The last two are numbers of queries in their block (32 bits) and bounds (64 bits).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, least = model.value, thresholds.value
-        numbers = np.array(queries.numbers)
         for pdf in batches:
             ids = pdf["doc_id"].astype("Int64")
-            for at, found in queries.bounds(list(pdf["sketch"]), pdf["n"].values):
-                doc, query = np.nonzero(found >= least)
-                yield pd.DataFrame({"doc_id": ids.iloc[at[doc]].values, "query": numbers[query], "bound": found[doc, query]})
+            for at, found in queries.bounds(pdf):
+                reach = found >= least
+                some = np.flatnonzero(reach.any(1))
+                rows = [(np.flatnonzero(reach[i]).astype("<u4").tobytes(), found[i, reach[i]].astype("<i8").tobytes()) for i in some]
+                out = pd.DataFrame(rows, columns=["queries", "bounds"])
+                out.insert(0, "highest", np.where(reach, found, 0)[some].max(1) if len(some) else np.zeros(0, np.int64))
+                out.insert(0, "doc_id", ids.iloc[at[some]].values)
+                yield out
 
-    return index.select("doc_id", "n", "sketch").mapInPandas(run, "doc_id long, query long, bound long")
+    return index.mapInPandas(run, "doc_id long, highest long, queries binary, bounds binary")
 
 
 def _rescored(docs: DataFrame, wanted: DataFrame, model, thresholds, most: int) -> DataFrame:
-    """``query, doc_id, score`` of the ``wanted`` pairs that may be among the ``most`` best of their query."""
+    """``query, doc_id, score`` of the ``wanted`` documents and queries that may be among the ``most`` best."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, least = model.value, thresholds.value.copy()
-        column = {number: i for i, number in enumerate(queries.numbers)}
+        numbers = np.array(queries.numbers)
         best = np.zeros((most, len(least)), np.int64)
         for pdf in batches:
-            texts, ids = [t.encode() for t in pdf["text"]], pdf["doc_id"].astype("Int64")
-            for a, b in chunks(texts):
-                pairs = [(i, column[w["query"]], w["bound"]) for i in range(a, b) for w in pdf["wanted"].iloc[i]]
-                row, query, bound = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-                keep = bound >= least[query]
-                row, query = row[keep], query[keep]
-                for c in range(0, len(some := np.unique(row)), STEP):
-                    part = some[c : c + STEP]
-                    found = queries.exact([texts[i] for i in part])
-                    mine = np.isin(row, part)
-                    place, q = np.searchsorted(part, row[mine]), query[mine]
-                    own = np.zeros(found.shape, np.int64)
-                    own[place, q] = found[place, q]
-                    best = np.sort(np.concatenate([best, own]), axis=0)[-most:]
-                    np.maximum(least, best[0], out=least)
-                    value = found[place, q]
-                    keep = (value > 0) & (value >= least[q])
-                    yield pd.DataFrame({
-                        "query": np.array(queries.numbers)[q[keep]], "doc_id": ids.iloc[part[place[keep]]].values, "score": value[keep],
-                    })
-
-    wanted = wanted.groupBy("doc_id", "query").agg(F.max("bound").alias("bound")).groupBy("doc_id").agg(
-        F.collect_list(F.struct("query", "bound")).alias("wanted"), F.max("bound").alias("highest")
+            texts, ids = pdf["text"], pdf["doc_id"].astype("Int64")
+            for a in range(0, len(pdf), STEP):
+                rows, asked = [], []
+                for i in range(a, min(a + STEP, len(pdf))):
+                    # Rows that share an id are asked for what any of them was wanted for.
+                    query = np.frombuffer(b"".join(pdf["queries"].iloc[i]), "<u4").astype(np.int64)
+                    bound = np.frombuffer(b"".join(pdf["bounds"].iloc[i]), "<i8")
+                    query = np.unique(query[bound >= least[query]])
+                    if len(query):
+                        rows.append(i)
+                        asked.append(query)
+                if not rows:
+                    continue
+                found = queries.exact([texts.iloc[i].encode() for i in rows])
+                place, query = np.repeat(np.arange(len(rows)), list(map(len, asked))), np.concatenate(asked)
+                own = np.zeros(found.shape, np.int64)
+                own[place, query] = found[place, query]
+                best = np.sort(np.concatenate([best, own]), axis=0)[-most:]
+                np.maximum(least, best[0], out=least)
+                value = found[place, query]
+                keep = (value > 0) & (value >= least[query])
+                yield pd.DataFrame({
+                    "query": numbers[query[keep]], "doc_id": ids.iloc[np.array(rows)[place[keep]]].values, "score": value[keep],
+                })
+
+    wanted = wanted.groupBy("doc_id").agg(
+        F.max("highest").alias("highest"), F.collect_list("queries").alias("queries"), F.collect_list("bounds").alias("bounds")
     ).withColumnRenamed("doc_id", "_doc")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("doc_id", "text", "wanted", "highest")
-    return rows.sortWithinPartitions(F.desc("highest")).select("doc_id", "text", "wanted").mapInPandas(run, "query long, doc_id long, score long")
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).sortWithinPartitions(F.desc("highest"))
+    return rows.select("doc_id", "text", "queries", "bounds").mapInPandas(run, "query long, doc_id long, score long")
 
 
 def search(docs: DataFrame, queries: DataFrame, scratch: Scratch, most: int = 10) -> DataFrame:
@@ -249,7 +270,7 @@ def search(docs: DataFrame, queries: DataFrame, scratch: Scratch, most: int = 10
     """
     spark = docs.sparkSession
     scan = scratch.keep(scanned(docs), "scan")
-    index = scan.filter("n > 0").select("doc_id", "n", "sketch")
+    index = scan.filter("n > 0").select("doc_id", "n", "size", "places", "maxima")
     all_docs, all_terms = index.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = scratch.keep(scan.filter("term is not null").groupBy("term").agg(F.sum("df").alias("df")), "terms")
 
@@ -266,7 +287,8 @@ def search(docs: DataFrame, queries: DataFrame, scratch: Scratch, most: int = 10
         made.weigh(all_docs, all_terms, {r["term"]: r["df"] for r in df.join(F.broadcast(terms), "term").collect()})
         model = spark.sparkContext.broadcast(made)
         none = spark.sparkContext.broadcast(np.ones(len(made.numbers), np.int64))
-        first = scratch.keep(_best(_highest_bounds(index, model, most), "bound", most).drop("rank"), "bounds")
+        first = _best(_highest_bounds(index, model, max(FIRST, most)), "bound", max(FIRST, most))
+        first = scratch.keep(first.select("doc_id", F.col("bound").alias("highest"), "queries", "bounds"), "bounds")
         found = _best(_rescored(docs, first, model, none, most), "score", most).filter(F.col("rank") == most)
         found = {r["query"]: r["score"] for r in found.select("query", "score").collect()}
         least = spark.sparkContext.broadcast(np.array([max(1, found.get(q, 1)) for q in made.numbers], np.int64))

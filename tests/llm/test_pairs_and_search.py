@@ -98,7 +98,9 @@ def test_ranked_search(spark, docs, most, block, monkeypatch):
 
 def test_ranked_search_with_narrow_sketches(spark, docs, monkeypatch):
     """Loose bounds cost work, never results."""
-    monkeypatch.setattr(sketches, "sketch", lambda terms, tf: np.full(256, min(tf.max(), 255), np.uint8))
+    every = np.arange(256, dtype="<u4").tobytes()
+    monkeypatch.setattr(sketches, "sketch", lambda terms, tf: (256, every, np.full(256, min(tf.max(), 255), np.uint8).tobytes()))
+    monkeypatch.setattr(sketches, "FIRST", 1)
     assert _ranks(sketches.search(docs, _items(spark), Scratch(spark))) == Counter(brute.ranked(ROWS, list(dict.fromkeys(ITEMS))))
 
 
