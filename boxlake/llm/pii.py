@@ -27,6 +27,7 @@ BEFORE = 40
 ACCEPT = 0.5
 BOOST = 0.4
 _BLOCK = 256
+_NEAR = 8  # matches that hold BEFORE code points, of five each
 _LOCAL = "[A-Za-z0-9._%+-]"
 
 
@@ -103,23 +104,37 @@ KINDS = (
 
 
 def _placed(rows: Column) -> Column:
-    """Start and end from gaps and values: sums within blocks, then over blocks."""
-    kind = "array<struct<start:int,end:int,value:string>>"
+    """Start, end and surroundings from gaps and values: sums within blocks, then over blocks.
+
+    ``lead`` is what stands before a match, ``BEFORE`` code points at most. It is carried from
+    match to match, and a block starts with what its last few predecessors end with, since
+    ``_NEAR`` of them hold as many code points: no place is looked up in the text.
+    """
+    kind = "array<struct<start:int,end:int,value:string,lead:string,next:string>>"
+
+    def joined(part: Column) -> Column:
+        return F.right(F.array_join(F.transform(part, lambda r: F.concat(r["tail"], r["value"])), ""), F.lit(BEFORE))
 
     def moved(state: Column, row: Column) -> Column:
         start = state["at"] + row["gap"]
         end = start + F.length(row["value"])
+        lead = F.right(F.concat(state["tail"], row["tail"]), F.lit(BEFORE))
+        one = F.struct(start.alias("start"), end.alias("end"), row["value"].alias("value"), lead.alias("lead"), row["next"].alias("next"))
         return F.struct(
-            end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), row["value"].alias("value")))).alias("out")
+            end.alias("at"), F.right(F.concat(lead, row["value"]), F.lit(BEFORE)).alias("tail"), F.concat(state["out"], F.array(one)).alias("out")
         )
 
     def block(b: Column) -> Column:
-        own = F.slice(rows, b, _BLOCK)
-        return F.aggregate(own, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), moved)
+        first = F.greatest(b - _NEAR, F.lit(1))
+        tail = F.when(b > 1, joined(F.slice(rows, first, b - first))).otherwise("")
+        start = F.struct(F.lit(0).alias("at"), tail.alias("tail"), F.array().cast(kind).alias("out"))
+        return F.aggregate(F.slice(rows, b, _BLOCK), start, moved)
 
     def shifted(state: Column, part: Column) -> Column:
         at = state["at"]
-        out = F.transform(part["out"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["value"].alias("value")))
+        out = F.transform(part["out"], lambda s: F.struct(
+            (s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["value"].alias("value"), s["lead"].alias("lead"), s["next"].alias("next")
+        ))
         return F.struct((at + part["at"]).alias("at"), F.concat(state["out"], F.array(out)).alias("out"))
 
     blocks = F.transform(F.sequence(F.lit(1), F.size(rows), F.lit(_BLOCK)), block)
@@ -128,10 +143,23 @@ def _placed(rows: Column) -> Column:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """Start, end and value of each match of a pattern that never matches an empty text."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    rows = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), 0), gaps, lambda m, g: F.struct(g.alias("gap"), m.alias("value")))
-    return let(F.filter(rows, lambda r: r["value"].isNotNull()), _placed)
+    """Start, end, value, ``lead`` and ``next`` (the code point behind) of each match.
+
+    The pattern never matches an empty text, nor fewer than five code points.
+    """
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.struct(
+        F.length(g).alias("gap"), F.right(g, F.lit(BEFORE)).alias("tail"), F.left(g, F.lit(1)).alias("head")
+    ))
+    rows = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), 0), gaps, lambda m, g: F.struct(
+        g["gap"].alias("gap"), g["tail"].alias("tail"), F.concat(g["head"], F.left(F.coalesce(m, F.lit("")), F.lit(1))).alias("head"), m.alias("value")
+    ))
+
+    def with_next(rows: Column) -> Column:
+        return F.zip_with(rows, F.slice(rows, 2, F.greatest(F.size(rows), F.lit(1))), lambda r, n: F.struct(
+            r["gap"].alias("gap"), r["tail"].alias("tail"), r["value"].alias("value"), F.coalesce(F.left(n["head"], F.lit(1)), F.lit("")).alias("next")
+        ))
+
+    return let(F.filter(let(rows, with_next), lambda r: r["value"].isNotNull()), _placed)
 
 
 def spans_of(text: Column) -> Column:
@@ -139,15 +167,13 @@ def spans_of(text: Column) -> Column:
 
     def of_kind(text: Column, kind: Kind) -> Column:
         def judged(s: Column) -> Column:
-            lead = F.substr(text, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, F.least(s["start"], F.lit(BEFORE)))
-            score = F.when(F.lower(lead).rlike(kind.context), kind.score + BOOST).otherwise(kind.score)
+            score = F.when(F.lower(s["lead"]).rlike(kind.context), kind.score + BOOST).otherwise(kind.score)
             return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.least(score, F.lit(1.0)).alias("score"))
 
         def kept(s: Column) -> Column:
             good = kind.check(s["value"])
             if kind.alone:
-                left = F.when(s["start"] > 0, F.substr(text, s["start"], F.lit(1))).otherwise("")
-                good &= ~left.rlike("[A-Za-z0-9]") & ~F.substr(text, s["end"] + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+                good &= ~s["lead"].rlike("[A-Za-z0-9]$") & ~s["next"].rlike("[A-Za-z0-9]")
             return good
 
         spans = F.transform(F.filter(located(text, kind.pattern), kept), judged)
