@@ -29,7 +29,8 @@ from boxlake.operators import integrity as I
 from boxlake.operators import merge as M
 from boxlake.operators import worklist as W
 from boxlake.operators import reports as R
-from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYERBOX, SPINE, TEAMBOX
+from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYER_TOTALS, PLAYERBOX, SPINE, TEAM_DAYS, TEAMBOX
+from boxlake.plans import standings as S
 from boxlake.sources import adapted as A
 from boxlake.sources import landing, ledger
 from boxlake.sources.files import Working
@@ -101,6 +102,8 @@ class Load:
             tried = E.due(tried, self.run_ts) if self.only_due else tried
             first = W.with_attempts(todo, E.newest_failures(tried, process, self.limit))
         else:
+            # With a limit the list is counted and read again: it is made once.
+            todo = todo if self.limit is None else self.working.keep(todo, f"{process}_missing")
             first = W.first_n_per_season(todo, order, self.limit)
         kept = self.working.keep(self._with_season_order(first), f"{process}_todo")
         return None if kept.isEmpty() else kept
@@ -214,10 +217,12 @@ class Load:
         )
         entries = [X.latest(X.extract_team_entries(self._landed(k, todo), roots, m)) for k, roots, m in kinds]
         games = self.working.keep(X.assemble_teambox(todo, *entries), "teambox")
-        rows = X.teambox_rows(games.filter("reject_reason is null"))
+        rows = X.teambox_rows(games.filter("reject_reason is null"), "game_date")
         bad = self._bad_games(rows, TEAMBOX, "teambox")
-        facts = M.as_inserts(I.without_games(rows, bad), TEAMBOX, ["pos"], self.run_ts)
-        self._book("teambox", games, bad, {TEAMBOX.name: Append(facts)}, TEAMBOX.name)
+        rows = I.without_games(rows, bad)
+        facts = M.as_inserts(rows, TEAMBOX, ["pos"], self.run_ts)
+        news = S.team_days(M.pick_row(rows, list(TEAMBOX.key), ["pos"]))
+        self._book("teambox", games, bad, {TEAMBOX.name: Append(facts), TEAM_DAYS.name: self._added(TEAM_DAYS, news)}, TEAMBOX.name)
         self._look_for_broken(("traditional", "advanced"), games)
 
     def load_players(self) -> None:
@@ -239,9 +244,14 @@ class Load:
         facts = M.as_inserts(rows, PLAYERBOX, ["pos"], self.run_ts)
         self._book("playerbox", games, bad, {
             "dim_players": Replace(dims.drop(M.ACTION)), PLAYERBOX.name: Append(facts),
+            PLAYER_TOTALS.name: self._added(PLAYER_TOTALS, S.player_totals(M.pick_row(rows, list(PLAYERBOX.key), ["pos"]))),
         }, PLAYERBOX.name)
         self._look_for_broken(("players",), games)
 
+    def _added(self, spec, news: DataFrame) -> Replace:
+        """The sums behind the reports, with those of the new facts."""
+        return Replace(S.added(self.warehouse.read(spec.name, self.seasons), news, spec), tuple(self.seasons))
+
     def _bad_games(self, rows: DataFrame, spec, process: str) -> DataFrame:
         """Games whose rows refer to an unknown team.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,12 @@ from boxlake.operators import merge as M
 from boxlake.operators import quality as Q
 from boxlake.operators import reports as R
 from boxlake.operators import worklist as W
-from boxlake.plans import marts
-from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYERBOX, SPINE, TEAMBOX, TEAM_RATINGS, TEAM_STATS
+from boxlake.plans import marts, standings
+from boxlake.schemas import DIM_PLAYERS, DIM_TEAMS, FACT_GAMES, LINEUPS, PLAYER_TOTALS, PLAYERBOX, SPINE, TABLES, TEAM_DAYS, TEAMBOX, TEAM_RATINGS, TEAM_STATS
 from boxlake.sources import adapted as A
 from boxlake.sources import landing, ledger
 from boxlake.sources.files import Working
+from boxlake.sources.warehouse import Append, Warehouse
 
 # One time for everything that would be "now".
 RUN_TS = "2024-01-31 00:00:00"
@@ -92,6 +95,8 @@ def missing_playerbox(spark, d):
 
 def worklist_first_n(spark, d):
     todo = W.missing_boxes(A.games(spark, d), A.teambox(spark, d).filter("game_key % 5 <> 0"))
+    # Counted by block and read again: the anti join is run once.
+    todo = Working(spark).keep(todo, "todo")
     return W.first_n_per_season(todo, W.GAME_ORDER, FIRST_N).select("game_id", "season", _date_text())
 
 
@@ -313,6 +318,42 @@ def upsert_playerbox(spark, d):
     return merged.select(*PLAYERBOX.key, "team_id", "season", "starter_flag", "minutes", "pts", "reb", "fgm", "plus_minus", M.ACTION)
 
 
+def stamps(spark, d):
+    """When rows were first and last written, after two runs at fixed times."""
+    first, second = (F.lit(t).cast("timestamp") for t in ("2024-01-30 06:00:00", RUN_TS))
+    early, late = (A.games(spark, d).filter(c) for c in ("game_key % 5 <> 0", "game_key % 3 = 0"))
+    facts = spark.createDataFrame([], FACT_GAMES.schema)
+    for rows, at in ((early, first), (late, second)):
+        facts = M.merge(facts, _select_as(FACT_GAMES, rows), FACT_GAMES, ["game_id"], at).drop(M.ACTION)
+    spine = spark.createDataFrame([], SPINE.schema)
+    for rows, at in ((early, first), (late, second)):
+        spine = spine.unionByName(M.insert_ignore(spine, _select_as(SPINE, rows), SPINE, ["season"], at))
+
+    def shown(rows, name, column):
+        return rows.select(F.lit(name).alias("table_name"), "game_id", F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias("stamp"))
+
+    return shown(facts, "fact_games", "last_updated_at").unionByName(shown(spine, "spine", "first_seen_at"))
+
+
+def truncate_tables(spark, d):
+    """Rows of each table before and after all tables are emptied."""
+    warehouse = Warehouse(spark, f"{Working(spark).root}/warehouse")
+    warehouse.create_tables()
+    rows = {"spine": A.games(spark, d), "fact_games": A.games(spark, d), TEAMBOX.name: A.teambox(spark, d)}
+    warehouse.commit({name: Append(_select_as(TABLES[name], frame)) for name, frame in rows.items()})
+
+    def counted(name):
+        return warehouse.read(name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
+
+    def all_tables():
+        return reduce(DataFrame.unionByName, map(counted, rows))
+
+    # Folders stay on disk, so the first counts can still be read after the tables are empty.
+    before = all_tables().withColumnRenamed("n", "before")
+    warehouse.truncate()
+    return before.join(all_tables().withColumnRenamed("n", "after"), "table_name")
+
+
 # --- seasons -------------------------------------------------------------------------
 
 
@@ -595,6 +636,37 @@ def season_change(spark, d):
     return marts.season_change(A.teambox(spark, d))
 
 
+def _in_loads(rows, spec, sums, loads=3):
+    """Sums of rows that arrive in several loads of whole games."""
+    kept = None
+    for k in range(loads):
+        news = sums(rows.filter(F.col("game_key") % loads == k))
+        kept = news if kept is None else standings.added(kept, news, spec)
+    return kept
+
+
+def team_record_kept(spark, d):
+    return standings.team_record(_in_loads(A.teambox(spark, d), TEAM_DAYS, standings.team_days))
+
+
+def season_change_kept(spark, d):
+    return standings.season_change(_in_loads(A.teambox(spark, d), TEAM_DAYS, standings.team_days))
+
+
+def player_averages_kept(spark, d):
+    return standings.player_averages(_in_loads(A.playerbox(spark, d), PLAYER_TOTALS, standings.player_totals))
+
+
+def win_trend_kept(spark, d):
+    """The report after a second load, whose games stand among and behind those of the first."""
+    box, games = A.teambox(spark, d), A.games(spark, d)
+    late = (F.col("game_key") % 5 == 0) & (F.col("game_date") >= F.lit("1996-03-01").cast("date"))
+    kept = marts.win_trend(box.filter(~late).drop("game_date"), games)
+    changed = box.filter(late).select("season", "team_id", F.col("game_date").alias("first_day"))
+    rows = standings.extended_win_trend(kept, box.drop("game_date"), games, standings.team_days(box), changed)
+    return rows.withColumn("game_date", F.col("game_date").cast("string"))
+
+
 def empty_team_boxes(spark, d):
     games = _assembled_teambox(spark, d).filter("reject_reason is null")
     return marts.empty_team_boxes(X.teambox_rows(games))
@@ -615,7 +687,7 @@ QUERIES = {
         parse_int, parse_float, parse_bool, parse_string, nested_get, truthy_coalesce,
         game_structure, game_rejects, team_dim_rows, upsert_dim_teams, upsert_fact_games,
         side_unpivot, teambox_rows, teambox_rejects, teambox_zeros_kept, upsert_teambox,
-        playerbox_rows, playerbox_rejects, player_dim_seed, upsert_dim_players, upsert_playerbox,
+        playerbox_rows, playerbox_rejects, player_dim_seed, upsert_dim_players, upsert_playerbox, stamps, truncate_tables,
         season_of_dates, season_format_a, season_format_b,
         validate_games, validate_teambox, validate_playerbox, violation_summary, quality_passing,
         fk_orphans, cascade_delete, constraint_violations, game_constraint_violations, atomic_games,
@@ -624,6 +696,7 @@ QUERIES = {
         stage_report, backfill_summary, retry_worklist, retry_newest, failure_ledger, lineup_failure_ledger,
         lineup_rejects, lineup_upsert,
         team_record, win_trend, player_averages, game_box, season_change, empty_team_boxes,
+        team_record_kept, season_change_kept, player_averages_kept, win_trend_kept,
         daily_run_idempotent,
     )
 }

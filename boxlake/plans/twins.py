@@ -471,6 +471,13 @@ TWINS = {
          WHERE process_name = 'load_2' AND NOT is_resolved AND game_id IS NOT NULL GROUP BY game_id
          HAVING max(created_at) + to_seconds([120, 200, 250][least(max(id % 4), 2) + 1]) <= TIMESTAMP '2024-01-31'
          ORDER BY last DESC, game_id LIMIT 100) f ON m.game_id = f.game_id"""),
+    "stamps": _with("games", """SELECT 'fact_games' AS table_name, game_id,
+        CASE WHEN game_key % 3 = 0 THEN '2024-01-31 00:00:00' ELSE '2024-01-30 06:00:00' END AS stamp
+        FROM games WHERE game_key % 5 <> 0 OR game_key % 3 = 0
+        UNION ALL SELECT 'spine', game_id, CASE WHEN game_key % 5 <> 0 THEN '2024-01-30 06:00:00' ELSE '2024-01-31 00:00:00' END
+        FROM games WHERE game_key % 5 <> 0 OR game_key % 3 = 0"""),
+    "truncate_tables": _with("games sides tbox", """SELECT 'spine' AS table_name, count(*) AS before, CAST(0 AS BIGINT) AS after FROM games
+        UNION ALL SELECT 'fact_games', count(*), 0 FROM games UNION ALL SELECT 'teambox_pergame', count(*), 0 FROM tbox"""),
     "failure_ledger": _with("errs", """SELECT game_id, error_type,
         error_message || CASE WHEN id % 3 = 0 THEN '|retry|later' ELSE '' END AS message
         FROM errs WHERE game_id IS NOT NULL"""),
@@ -548,3 +555,7 @@ TWINS = {
         UNION ALL SELECT 'teambox_pergame', """ + _row_text("game_id", "team_id", "season", "is_home", "opponent_team_id", "minutes", "pts", "fgm", "fga", "ast", "stl") + """ FROM boxed
         UNION ALL SELECT 'playerbox_pergame', """ + _row_text("game_id", "p", "t", "season", "is_home", "(i + 10) || ':30'", "(cust + i) % 3", "i", "i - 3") + """ FROM played"""),
 }
+
+# Reports from kept sums show what the reports over all rows show.
+for _name in ("team_record", "season_change", "player_averages", "win_trend"):
+    TWINS[f"{_name}_kept"] = TWINS[_name]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from boxlake.operators import errors as E
 from boxlake.operators import integrity as I
 from boxlake.operators import merge as M
-from boxlake.schemas import SPINE, TABLES
+from boxlake.plans import standings as S
+from boxlake.schemas import PLAYER_TOTALS, PLAYERBOX, SPINE, TABLES, TEAM_DAYS, TEAMBOX
 from boxlake.sources.landing import games_from_ids
 from boxlake.sources.warehouse import Append, Replace, Warehouse
 
@@ -69,4 +70,8 @@ def delete_games(warehouse: Warehouse, games: DataFrame, seasons: list[str]) ->
         if any(fk.cascade and fk.table == "fact_games" for fk in spec.foreign_keys):
             boxes = I.cascade(warehouse.read(name, seasons), surviving)
             changes[name] = Replace(boxes, tuple(seasons))
+    # Sums cannot be taken back row by row: those of the seasons are made anew.
+    days = changes[TEAMBOX.name].rows.join(surviving.select("game_id", "game_date"), "game_id")
+    changes[TEAM_DAYS.name] = Replace(S.team_days(days), tuple(seasons))
+    changes[PLAYER_TOTALS.name] = Replace(S.player_totals(changes[PLAYERBOX.name].rows), tuple(seasons))
     warehouse.commit(changes)

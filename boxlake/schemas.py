@@ -233,9 +233,39 @@ ETL_ERRORS = TableSpec(
     partition_by=("is_resolved",),
 )
 
+# Sums behind the reports, kept beside the facts and merged with the rows of each load.
+TEAM_DAYS = TableSpec(
+    name="team_days",
+    schema=_struct(
+        season=StringType(), team_id=IntegerType(), game_date=DateType(),
+        **{n: LongType() for n in ("games", "wins", "losses", "pts_sum", "off_rating_n", "def_rating_n", "net_rating_n")},
+        **{n: DoubleType() for n in ("off_rating_sum", "def_rating_sum", "net_rating_sum")},
+    ),
+    key=("season", "team_id", "game_date"),
+    policy=OVERWRITE,
+    listed=("games", "wins", "losses", "pts_sum", "off_rating_n", "def_rating_n", "net_rating_n", "off_rating_sum", "def_rating_sum", "net_rating_sum"),
+    not_null=("season", "team_id"),
+    partition_by=("season",),
+)
+
+PLAYER_MEANS = ("pts", "reb", "ast", "stl", "blk", "tov")
+PLAYER_SHARES = ("fgm", "fga", "fg3m", "fg3a", "ftm", "fta")
+_PLAYER_SUMS = ("games", *(f"{s}_sum" for s in (*PLAYER_MEANS, *PLAYER_SHARES)), *(f"{s}_n" for s in PLAYER_MEANS))
+
+PLAYER_TOTALS = TableSpec(
+    name="player_totals",
+    schema=_struct(season=StringType(), player_id=IntegerType(), **{n: LongType() for n in _PLAYER_SUMS}),
+    key=("season", "player_id"),
+    policy=OVERWRITE,
+    listed=_PLAYER_SUMS,
+    not_null=("season", "player_id"),
+    partition_by=("season",),
+)
+
 TABLES = {
     spec.name: spec
     for spec in (
         SPINE, FACT_GAMES, DIM_TEAMS, DIM_PLAYERS, TEAMBOX, PLAYERBOX, LINEUPS, ETL_ERRORS,
+        TEAM_DAYS, PLAYER_TOTALS,
     )
 }

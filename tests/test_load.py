@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from boxlake.operators import errors as E
 from boxlake.plans import daily as D
+from boxlake.plans import marts
+from boxlake.plans import standings as S
 from boxlake.plans import upkeep as U
 from boxlake.schemas import TABLES
 from boxlake.sources import ledger
@@ -414,6 +416,29 @@ def test_stream_of_complete_games(spark, place, tmp_path):
     assert warehouse.read("playerbox_pergame").select("game_id").distinct().count() == 4
 
 
+def test_kept_sums_follow_every_load(spark, place):
+    landing, warehouse = place
+
+    def same():
+        days, totals = warehouse.read("team_days"), warehouse.read("player_totals")
+        box, players, games = (warehouse.read(n) for n in ("teambox_pergame", "playerbox_pergame", "fact_games"))
+        for kept, full in (
+            (S.team_record(days), marts.team_record(box)), (S.season_change(days), marts.season_change(box)),
+            (S.player_averages(totals), marts.player_averages(players)),
+        ):
+            rows = sorted(map(tuple, kept.select(full.columns).collect()), key=repr)
+            assert rows == sorted(map(tuple, full.collect()), key=repr)
+        return games.count()
+
+    for k, day in enumerate(("2024-11-10", "2024-11-12", "2024-11-11")):
+        landing.game(f"002240000{2 * k}", 10, 11, day=day, stats={"points": 90 + k, "minutes": 240})
+        landing.game(f"002240000{2 * k + 1}", 11, 12 + k, day=day)
+        _run(spark, place)
+        assert same() == 2 * k + 2
+    U.delete_games(warehouse, spark.createDataFrame([("0022400002",)], "game_id string"), [SEASON])
+    assert same() == 5
+
+
 def test_tables_and_commits(spark, place):
     _, warehouse = place
     spine = spark.createDataFrame([("g1", "2023-24", None), ("g2", SEASON, None)], TABLES["spine"].schema)
