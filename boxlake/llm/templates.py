@@ -3,14 +3,14 @@
 Names (capitalised words inside a sentence), numbers and units become typed placeholders
 that remember their value. Every window of ``WIDTH`` template tokens of a document is joined
 by hash with the windows of the benchmark items. Where windows of one item meet a document
-at one offset, each value of an item's slot must stand for one value of the document's;
-else that offset does not count. An item has leaked into a document if windows at good
-offsets cover ``MIN_COVER`` of its windows.
+at one offset, a value of an item's slot should stand for one value of the document's: the one
+in most of these windows (of equally many the item's own, then the least). A window with
+another value does not count, unless all its slots have the item's own values. An item has
+leaked into a document if good windows cover ``MIN_COVER`` of its windows.
 
 Names are told by capital letters, so a text in capitals or title case has hardly a window
-left. ``clean`` therefore looks a second time without case and names, with numbers and units
-as the only placeholders, and drops what either search finds. ``judged`` has the first
-search alone, as its SQL twin has.
+left. A second search is therefore made without case and names, with numbers and units
+as the only placeholders, and what either search finds has leaked.
 
 The benchmark's windows are broadcast in blocks of a bounded number of rows, one join for
 each block, so documents are never shuffled for the search, whatever they share.
@@ -81,9 +81,10 @@ def _order() -> list[Column]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFrame:
-    """``doc, tk, item_id, cover, exact``: items that leaked into documents.
+    """``doc, tk, item_id, ik, cover, exact``: items that leaked into documents.
 
-    ``exact``: does every slot have the item's own value? ``doc, tk`` name a document.
+    ``exact``: does every slot have the item's own value, at one offset? ``doc, tk`` name a
+    document, ``ik`` an item.
     Without ``names``, case is ignored and names are words.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"), F.xxhash64("item_id", text_of()).alias("ik"))
@@ -100,20 +101,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFram
     hits = reduce(DataFrame.unionByName, found)
 
     offset = ["doc", "tk", "item_id", "ik", "offset"]
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))))
-    placed = hits.groupBy(*offset).agg(F.collect_set("item_at").alias("item_at"), pairs.alias("pairs"))
-    values = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
-    placed = placed.filter(F.size("pairs") == F.size(values))
-    placed = placed.withColumn("exact", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]))
-    placed = placed.select("doc", "tk", "item_id", "ik", "exact", F.explode("item_at").alias("item_at"))
-    cover = placed.groupBy("doc", "tk", "item_id", "ik").agg(F.count_distinct("item_at").alias("met"), F.max("exact").alias("exact"))
+    # Identical rows are one document; with a fixed offset a window of the item stands once.
+    hits = hits.groupBy(*offset, "item_at").agg(F.first(F.array_distinct(F.arrays_zip("item_slots", "slots"))).alias("pairs"))
+    slots = hits.select(*offset, "item_at", F.inline("pairs"))
+    often = slots.groupBy(*offset, "item_slots", "slots").agg(F.count("*").alias("k"))
+    stands = F.min(F.struct((-F.col("k")).alias("k"), (F.col("slots") != F.col("item_slots")).alias("other"), "slots"))["slots"]
+    stands = often.groupBy(*offset, "item_slots").agg(stands.alias("stands"))
+    changed = slots.filter("slots <> item_slots").join(stands, [*offset, "item_slots"])
+    bad = changed.filter(F.col("slots") != F.col("stands")).select(*offset, "item_at").distinct()
+    inexact = changed.select(*offset, F.lit(False).alias("exact")).distinct()
+    good = hits.drop("pairs").join(bad, [*offset, "item_at"], "left_anti").join(inexact, offset, "left")
+    good = good.withColumn("exact", F.coalesce("exact", F.lit(True)))
+    cover = good.groupBy("doc", "tk", "item_id", "ik").agg(F.count_distinct("item_at").alias("met"), F.max("exact").alias("exact"))
     cover = cover.join(size, "ik").withColumn("cover", F.col("met") / F.col("windows"))
-    return cover.filter(F.col("cover") >= MIN_COVER).select("doc", "tk", "item_id", "cover", "exact")
+    return cover.filter(F.col("cover") >= MIN_COVER).select("doc", "tk", "item_id", "ik", "cover", "exact")
+
+
+def either(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc, tk, item_id, exact`` of what either search finds; the search with names tells ``exact`` first."""
+    found = leaks(docs, benchmark).withColumn("named", F.col("exact")).unionByName(
+        leaks(docs, benchmark, names=False).withColumn("named", F.lit(None).cast("boolean"))
+    )
+    return found.groupBy("doc", "tk", "item_id", "ik").agg(F.coalesce(F.max("named"), F.max("exact")).alias("exact"))
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc, tk`` and what leaked: ``n_items``, ``n_exact`` and ``items``, ids joined by commas."""
-    return leaks(docs, benchmark).groupBy("doc", "tk").agg(
+    return either(docs, benchmark).groupBy("doc", "tk").agg(
         F.count("*").alias("n_items"), F.count_if("exact").alias("n_exact"),
         F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"),
     )
@@ -132,7 +146,7 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item leaked into, with names or without case, as they are."""
-    found = leaks(docs, benchmark).unionByName(leaks(docs, benchmark, names=False)).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
+    found = either(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
     doc, tk = _order()
     marked = docs.withColumn("__d", doc).withColumn("__t", tk)
     return marked.join(found, F.col("__d").eqNullSafe(F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left_anti").drop("__d", "__t")

@@ -91,44 +91,57 @@ UNITS = (
 )
 
 
-def _tokens(text: str) -> str:
-    text = f"regexp_replace(coalesce({text}, ''), '([\\p{{L}},;:] )(\\p{{Lu}}\\p{{L}}*(?: \\p{{Lu}}\\p{{L}}*)*)', '\\1⟨p \\2⟩', 'g')"
+def _tokens(text: str, names: bool) -> str:
+    text = f"coalesce({text}, '')"
+    text = f"lower(upper({text}))" if not names else f"regexp_replace({text}, '([\\p{{L}},;:] )(\\p{{Lu}}\\p{{L}}*(?: \\p{{Lu}}\\p{{L}}*)*)', '\\1⟨p \\2⟩', 'g')"
     text = f"regexp_replace({text}, '[0-9]+(?:[.,:/][0-9]+)*', '⟨n \\0⟩', 'g')"
     text = f"regexp_replace({text}, '(⟨n [^⟩]*⟩) ?({UNITS})\\b', '\\1⟨u \\2⟩', 'g')"
     text = f"regexp_replace({text}, '([$€£])(⟨n )', '⟨u \\1⟩\\2', 'g')"
     return f"regexp_extract_all({text}, '⟨[^⟩]*⟩|[\\p{{L}}\\p{{M}}]+')"
 
 
-def _windows(key: str, table: str) -> str:
+def _windows(key: str, table: str, names: bool) -> str:
     return f"""
   SELECT {key}, i AS at, array_to_string(canon[i + 1 : i + 8], ' ') AS h,
     list_filter(t[i + 1 : i + 8], lambda x: x LIKE '⟨%') AS slots
   FROM (SELECT {key}, t, canon, unnest(range(len(t) - 7)) AS i FROM (
     SELECT {key}, t, list_transform(t, lambda x: CASE WHEN x LIKE '⟨%' THEN x[1:2] ELSE lower(x) END) AS canon
-    FROM (SELECT {key}, {_tokens("text")} AS t FROM {table}) WHERE len(t) >= 8))"""
+    FROM (SELECT {key}, {_tokens("text", names)} AS t FROM {table}) WHERE len(t) >= 8))"""
 
 
-def leaks(docs: str, keep: str) -> str:
-    """Template windows compared as texts instead of hashes."""
+def _search(names: bool) -> str:
+    """CTEs of one search, with ``n`` or ``c`` (without case) behind their names."""
+    s = "n" if names else "c"
+    at = "doc_id, item_id, shift"
     return f"""
-WITH docs AS (SELECT * FROM {docs}),
-d AS ({_windows("doc_id", "docs")}),
-b AS ({_windows("item_id", "benchmark")}),
-hits AS (
-  SELECT d.doc_id, b.item_id, b.at AS item_at, d.at - b.at AS shift, b.slots AS s1, d.slots AS s2
-  FROM d JOIN b ON d.h = b.h
-),
-slots AS (SELECT DISTINCT doc_id, item_id, shift, unnest(s1) AS v1, unnest(s2) AS v2 FROM hits),
-bad AS (SELECT doc_id, item_id, shift FROM slots GROUP BY ALL HAVING count(*) <> count(DISTINCT v1)),
-changed AS (SELECT DISTINCT doc_id, item_id, shift FROM slots WHERE v1 <> v2),
-good AS (
-  SELECT h.doc_id, h.item_id, h.item_at, c.shift IS NULL AS exact FROM hits h
-  LEFT JOIN changed c ON h.doc_id = c.doc_id AND h.item_id = c.item_id AND h.shift = c.shift
-  WHERE NOT EXISTS (SELECT 1 FROM bad x WHERE x.doc_id = h.doc_id AND x.item_id = h.item_id AND x.shift = h.shift)
+d{s} AS ({_windows("doc_id", "docs", names)}),
+b{s} AS ({_windows("item_id", "benchmark", names)}),
+hits{s} AS (
+  SELECT d.doc_id, b.item_id, b.at AS item_at, d.at - b.at AS shift, b.slots AS s1, d.slots AS s2 FROM d{s} d JOIN b{s} b ON d.h = b.h
+),
+slots{s} AS (SELECT DISTINCT {at}, item_at, unnest(s1) AS v1, unnest(s2) AS v2 FROM hits{s}),
+often{s} AS (SELECT {at}, v1, v2, count(*) AS k FROM slots{s} GROUP BY ALL),
+stands{s} AS (
+  SELECT {at}, v1, v2 AS v FROM often{s}
+  QUALIFY row_number() OVER (PARTITION BY {at}, v1 ORDER BY k DESC, v2 <> v1, v2) = 1
+),
+bad{s} AS (SELECT DISTINCT {at}, item_at FROM slots{s} JOIN stands{s} USING ({at}, v1) WHERE v2 <> v1 AND v2 <> v),
+changed{s} AS (SELECT DISTINCT {at}, true AS changed FROM slots{s} WHERE v1 <> v2),
+good{s} AS (
+  SELECT {at}, item_at, changed IS NULL AS exact FROM hits{s} ANTI JOIN bad{s} USING ({at}, item_at) LEFT JOIN changed{s} USING ({at})
 ),
+found{s} AS (
+  SELECT doc_id, item_id, bool_or(exact) AS exact FROM good{s} GROUP BY doc_id, item_id
+  HAVING count(DISTINCT item_at) >= 0.25 * (SELECT count(*) FROM b{s} b WHERE b.item_id = good{s}.item_id)
+)"""
+
+
+def leaks(docs: str, keep: str) -> str:
+    """Template windows compared as texts instead of hashes, with names and without case."""
+    return f"""
+WITH docs AS (SELECT * FROM {docs}),{_search(True)},{_search(False)},
 found AS (
-  SELECT doc_id, item_id, bool_or(exact) AS exact FROM good GROUP BY doc_id, item_id
-  HAVING count(DISTINCT item_at) >= 0.25 * (SELECT count(*) FROM b WHERE b.item_id = good.item_id)
+  SELECT doc_id, item_id, coalesce(n.exact, c.exact) AS exact FROM foundn n FULL JOIN foundc c USING (doc_id, item_id)
 )
 {keep}"""
 

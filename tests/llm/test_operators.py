@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
+import corpus_pipeline
 import public_tokenizers
 from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates, url_lists
 from boxlake.llm.common import Scratch
@@ -107,6 +108,25 @@ def test_line_dedup(spark, empty):
     assert line_runs.deduplicated(empty, Scratch(spark)).count() == 0
 
 
+def test_names_that_operators_use(spark):
+    """Columns of the input with the operators' own names change nothing."""
+    line = "the same line over and over, forty characters and more"
+    rows = spark.createDataFrame(
+        [(1, line, 1, "a", 5, "x", "y"), (2, f"{line}\nnew", 2, "b", 6, "x", "y")],
+        "doc_id long, text string, _deleted int, _runs string, _lines int, _gone string, row string",
+    ).withColumn("n_chars", F.length("text").cast("long"))
+    got = {r.doc_id: r for r in line_runs.deduplicated(rows, Scratch(spark)).collect()}
+    assert got[2].text == "new" and got[2]["_deleted"] == [0] and got[2]["row"] == "y"
+    kept = corpus_pipeline.line_dedup(spark, rows, "")
+    assert kept.columns == rows.columns
+    assert {(r.doc_id, r.text, r["_deleted"], r["_runs"], r.n_chars) for r in kept.collect()} == {(1, line, 1, "a", len(line)), (2, "new", 2, "b", 3)}
+    assert [r["_gone"] for r in corpus_pipeline.ngram_jaccard_join(spark, rows, "").collect()] == ["x"]  # six of seven shingles
+    entries = spark.createDataFrame([("ads", "d:bad.com", 1, "add")], "list string, key string, at int, action string")
+    captures = spark.createDataFrame([("http://bad.com", 2, "u", "f", "k")], "url string, fetched int, _url string, _fetched string, _key string")
+    found = url_lists.judged(captures, entries).first()
+    assert (found.lists, found["_url"], found["_fetched"]) == (["ads"], "u", "f")
+
+
 def test_long_runs_double(spark):
     lines = [f"line {i}" for i in range(100)]
     rows = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["z", *lines[10:90], "z"])), (3, "\n".join(lines[40:44]))], "doc_id long, text string")
@@ -198,14 +218,19 @@ def test_templates(spark, empty):
     item = "A farmer sold 12 apples to Ann Lee for 3 dollars each and then he bought 12 pears from Ann Lee on the way home"
     texts = {
         1: "Intro words here. " + item + " more words after it.", 2: item.replace("12", "40").replace("Ann Lee", "Bo"),
-        3: item.replace("12", "40", 1), 4: "nothing of that kind", 5: None, 6: "", 7: "short one",
+        3: item.replace("12", "40", 1), 4: "nothing of that kind", 5: None, 6: "", 7: "short one", 10: item.upper(),
+        # Of two equal numbers one is changed, and hardly more than its windows are left.
+        11: "and then he bought 12 pears from Ann Lee 3 on", 12: item.replace("Ann Lee", "Bo"),
     }
     rows = spark.createDataFrame([(i, t, "k") for i, t in texts.items()] + [(1, texts[1], "k")], "doc_id long, text string, items string")
     benchmark = spark.createDataFrame([(7, item), (8, None), (9, "too short")], "item_id long, text string")
     got = Counter(tuple(r) for r in templates.judged(rows, benchmark).collect())
     assert got[(1, 1, 1, "7")] == 2 and got[(2, 1, 0, "7")] == 1
-    assert got[(3, 0, 0, "")] == 1 and all(got[(i, 0, 0, "")] == 1 for i in (4, 5, 6, 7))
-    assert sorted(r.doc_id for r in templates.clean(rows, benchmark).collect()) == [3, 4, 5, 6, 7]
+    # A slot with a second value leaves the windows of its first one.
+    assert got[(3, 1, 0, "7")] == 1 and got[(10, 1, 1, "7")] == 1 and got[(12, 1, 0, "7")] == 1
+    assert all(got[(i, 0, 0, "")] == 1 for i in (4, 5, 6, 7))
+    assert sorted(r.doc_id for r in templates.clean(rows, benchmark).collect()) == [4, 5, 6, 7, 11]
+    assert templates.judged(rows, benchmark.limit(0)).filter("n_items > 0").count() == 0
     assert templates.clean(rows, benchmark.limit(0)).count() == len(texts) + 1
     assert templates.judged(empty, benchmark).count() == 0
 
