@@ -117,15 +117,19 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS)
 def deduplicated(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns of ``docs``, the text without its deleted lines, and what was deleted.
 
-    Added: ``_lines``, ``_deleted`` (line numbers from 0, in order) and ``_runs``.
+    Added: ``_lines``, ``_deleted`` (line numbers from 0, in order) and ``_runs``; columns of
+    these names are replaced.
     """
+    docs = docs.drop("_lines", "_deleted", "_runs")
     runs = repeated_runs(docs, scratch, min_chars)
     gone = runs.groupBy("doc", "tk").agg(
         F.sort_array(F.flatten(F.collect_list(F.sequence("start", "stop")))).alias("_deleted"), F.count("*").alias("_runs")
     ).withColumnsRenamed({"doc": "__doc", "tk": "__tk"})
     doc, tk = _order()
-    joined = docs.withColumn("__d", doc).withColumn("__t", tk)
-    joined = joined.join(gone, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left").drop("__d", "__t", "__doc", "__tk")
+    # The columns of docs travel as one, whatever their names are.
+    joined = docs.select(F.struct("*").alias("__row"), doc.alias("__d"), tk.alias("__t"))
+    joined = joined.join(gone, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left")
+    joined = joined.select("__row.*", "_deleted", "_runs")
 
     def kept(lines: Column) -> Column:
         numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_deleted"))

@@ -62,7 +62,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """``captures`` (``url``, ``fetched``) with ``lists``, the sorted names they were on."""
+    """``captures`` (``url``, ``fetched``) with ``lists``, the sorted names they were on.
+
+    A column ``lists`` of the captures is replaced, all others stay, whatever their names are.
+    """
     active = intervals(entries)
     # No folder of a URL deeper than any on a list can be on one.
     slashes = F.length("key") - F.length(F.replace(F.col("key"), F.lit("/"))) - 1
@@ -72,5 +75,7 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     met = keyed.join(active, (F.col("_key") == F.col("key")) & (F.col("since") <= F.col("_fetched")), "inner")
     met = met.filter(F.col("until").isNull() | (F.col("_fetched") < F.col("until")))
     lists = met.groupBy("_url", "_fetched").agg(F.sort_array(F.collect_set("list")).alias("lists"))
-    joined = captures.drop("lists").join(lists, (F.col("url") == F.col("_url")) & (F.col("fetched") == F.col("_fetched")), "left")
-    return joined.drop("_url", "_fetched").withColumn("lists", F.coalesce("lists", F.array().cast("array<string>")))
+    captures = captures.drop("lists")
+    rows = captures.select(F.struct("*").alias("_row"), F.col("url").alias("_u"), F.col("fetched").alias("_f"))
+    joined = rows.join(lists, (F.col("_u") == F.col("_url")) & (F.col("_f") == F.col("_fetched")), "left")
+    return joined.select("_row.*", F.coalesce("lists", F.array().cast("array<string>")).alias("lists"))
