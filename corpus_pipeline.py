@@ -27,16 +27,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the runs of lines that stand earlier."""
-    found = line_runs.deduplicated(docs, Scratch(spark))
+    # The other columns travel as one, whatever their names are.
+    found = line_runs.deduplicated(docs.select("doc_id", "text", F.struct("*").alias("row")), Scratch(spark))
     found = found.filter((F.size("_deleted") == 0) | (text_of() != ""))
-    size = F.when(F.size("_deleted") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumn("n_chars", size).select(docs.columns)
+    size = F.when(F.size("_deleted") == 0, F.col("row.n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("text"), "n_chars": size}
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links join, the one of least id; rows without an id stay."""
     gone = jaccard.similar(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
