@@ -12,6 +12,9 @@ Names are told by capital letters, so a text in capitals or title case has hardl
 left. A second search is therefore made without case and names, with numbers and units
 as the only placeholders, and what either search finds has leaked.
 
+Both sides' windows are made once per search: the items' windows and the hits are written
+tables, since several of the following steps read them and templates cost most of the time.
+
 The benchmark's windows are broadcast in blocks of a bounded number of rows, one join for
 each block, so documents are never shuffled for the search, whatever they share.
 
@@ -28,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import let, text_of
+from boxlake.llm.common import Scratch, let, text_of
 
 WIDTH = 8
 MIN_COVER = 0.25
@@ -90,6 +93,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFram
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"), F.xxhash64("item_id", text_of()).alias("ik"))
     wanted = _windows(items.dropDuplicates(["ik"]), ["item_id", "ik"], names)
     wanted = wanted.select("item_id", "ik", F.col("at").alias("item_at"), "h", _slots("tokens", F.col("at")).alias("item_slots"))
+    scratch = Scratch(docs.sparkSession)
+    wanted = scratch.keep(wanted, "item_windows")
     size = wanted.groupBy("ik").agg(F.count("*").alias("windows"))
     blocks = -(-wanted.count() // BLOCK_ROWS)
     of = docs.select(*_order(), text_of().alias("text"))
@@ -103,6 +108,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFram
     offset = ["doc", "tk", "item_id", "ik", "offset"]
     # Identical rows are one document; with a fixed offset a window of the item stands once.
     hits = hits.groupBy(*offset, "item_at").agg(F.first(F.array_distinct(F.arrays_zip("item_slots", "slots"))).alias("pairs"))
+    hits = scratch.keep(hits, "hits")
     slots = hits.select(*offset, "item_at", F.inline("pairs"))
     often = slots.groupBy(*offset, "item_slots", "slots").agg(F.count("*").alias("k"))
     stands = F.min(F.struct((-F.col("k")).alias("k"), (F.col("slots") != F.col("item_slots")).alias("other"), "slots"))["slots"]

@@ -246,6 +246,15 @@ def test_clean_ignores_case(spark):
     assert sorted(r.doc_id for r in templates.clean(rows, benchmark).collect()) == [5, 7]
 
 
+def test_templates_are_made_once(spark):
+    """What the steps behind the search read is a written table: none of them makes templates anew."""
+    rows = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None)], "doc_id long, text string")
+    benchmark = rows.withColumnRenamed("doc_id", "item_id")
+    found = templates.leaks(rows, benchmark)
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.doc, r.item_id, r.cover, r.exact) for r in found.collect()] == [(1, 1, 1.0, True)]
+
+
 def test_templates_in_blocks(spark, monkeypatch):
     item = " ".join(f"word{chr(97 + i)}" for i in range(20))
     rows = spark.createDataFrame([(1, "x " + item), (2, "y")], "doc_id long, text string")
