@@ -55,6 +55,8 @@ TEAM_RATING_FIELDS = {
     "pace": ("pace",),
     "ts_pct": ("trueShootingPercentage", "tsPct"),
 }
+# Spellings that mean the same as a number and as a text.
+PLAIN_NUMBERS = {"bigint": r"^-?[0-9]{1,18}$", "double": r"^-?[0-9]{1,15}(\.[0-9]{1,15})?$"}
 PLAYER_STAT_FIELDS = {
     **{name: TEAM_STAT_FIELDS[name][0] for name in PLAYER_STATS if name != "plus_minus"},
     "plus_minus": "plusMinusPoints",
@@ -222,9 +224,17 @@ class Measures:
         self.names = (*texts, *(n for names in fields.values() for n in names))
 
     def typed(self, value: Column, path: str) -> Column:
-        """The numbers of a statistics object, read at once; NULL where a field is no such number."""
-        names = dict.fromkeys(n for names in self.fields.values() for n in names)
-        return P.get(value, path, "struct<" + ", ".join(f"`{n}`: {self.dtype}" for n in names) + ">")
+        """The plain numbers of a statistics object, read at once as texts; NULL where a field is none.
+
+        Only what is sure to be a number is cast: casts that fail are costly.
+        """
+        names = list(dict.fromkeys(n for names in self.fields.values() for n in names))
+
+        def number(text: Column) -> Column:
+            return F.when(text.rlike(PLAIN_NUMBERS[self.dtype]), text.try_cast(self.dtype))
+
+        texts = P.get(value, path, "struct<" + ", ".join(f"`{n}`: string" for n in names) + ">")
+        return P.once(texts, lambda t: F.struct(*[number(t.getField(n)).alias(n) for n in names]))
 
     def columns(self, stats: Column, typed: Column) -> list[Column]:
         return [*[P.to_text(stats.getField(t)).alias(t) for t in self.texts],
@@ -244,7 +254,7 @@ class Measures:
             F.when(counts, number)
             .when(absent & stats.getField(last).isNull(), F.lit(None))
             .when(absent & other.isNotNull(), other)
-            .otherwise(self.parser(P.any_of(stats, names, self.zero_as_missing)))
+            .otherwise(P.once(P.any_of(stats, names, self.zero_as_missing), self.parser))
         )
 
 
@@ -270,7 +280,7 @@ def extract_team_entries(landed: DataFrame, roots: tuple[str, ...], measures: Me
         # By path: some names of the id differ by case only, which fields of a struct cannot.
         team_id = P.first_truthy(*[P.get(team, f"{path}.{n}") for n in BOX_TEAM_ID])
         return F.struct(
-            P.to_long(team_id).alias("team_id"),
+            P.once(team_id, P.to_long).alias("team_id"),
             P.get_struct(team, f"{path}.statistics", measures.names).alias("stats"),
             measures.typed(team, f"{path}.statistics").alias("typed"),
         )
@@ -302,18 +312,21 @@ def _entry_of(entries: str, team: str) -> Column:
 def assemble_teambox(todo: DataFrame, traditional: DataFrame, advanced: DataFrame) -> DataFrame:
     """One row per work-list game with its home and away ``rows`` and a reject reason.
 
-    A side without an entry keeps null measures and is written all the same.
+    A side without an entry keeps null measures and is written all the same. The entries of a
+    game are found by a generator: a condition on the rows, which names every measure, would
+    otherwise be pushed below and find the entries anew for each of them.
     """
     trad = traditional.select("game_id", F.col("entries").alias("trad"), F.col("readable").alias("_t"))
     adv = advanced.select("game_id", F.col("entries").alias("adv"), F.col("readable").alias("_a"))
     joined = todo.join(trad, "game_id", "left").join(adv, "game_id", "left")
+    found = F.struct(*[
+        _entry_of(source, f"{side}_team_id").alias(f"_{side}_{source}")
+        for side in ("home", "away")
+        for source in ("trad", "adv")
+    ])
     picked = joined.select(
         *todo.columns,
-        *[
-            _entry_of(source, f"{side}_team_id").alias(f"_{side}_{source}")
-            for side in ("home", "away")
-            for source in ("trad", "adv")
-        ],
+        F.inline(F.array(found)),
         _first_reason(
             ("not_landed", F.col("_t").isNull() | F.col("_a").isNull()),
             ("malformed_payload", ~F.col("_t") | ~F.col("_a")),

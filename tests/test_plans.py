@@ -19,6 +19,14 @@ def test_worklists_are_anti_joins(spark, sf_dir):
     assert "TakeOrderedAndProject" in _plan(spark, sf_dir, "worklist_one_season")
 
 
+def test_entries_of_a_game_are_found_once(spark, sf_dir):
+    """A condition on the measures does not find the entries anew for each of them, and no text is cast to see if it is a number."""
+    for name in ("teambox_rows", "teambox_rejects", "empty_team_boxes", "teambox_zeros_kept"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.count("try_element_at(filter(") + plan.count("element_at(filter(") <= 4, name
+        assert "StructField(pts,LongType" not in plan and "StructField(netRating,DoubleType" not in plan
+
+
 def test_limits_sort_blocks_and_not_seasons(spark):
     todo = spark.range(5000).selectExpr(
         "lpad(cast(id as string), 10, '0') as game_id", "if(id % 5 = 0, 'b', 'a') as season",
