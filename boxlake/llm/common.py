@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from boxlake.sources.files import Working
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Text that one vectorised step holds at once; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
 SEPARATORS = np.zeros(256, bool)
@@ -20,15 +21,25 @@ LOWER[65:91] += 32
 
 
 class Scratch(Working):
-    """Intermediate tables in the shared folder; a table's shuffle files go once it is written."""
+    """Intermediate tables in the shared folder; a table's shuffle files go once it is written.
+
+    With ``batch_bytes``, the batches that Python gets while a table is written are bounded by
+    size and not only by rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, batch_bytes: str | None = None):
+        super().__init__(spark, root)
+        self.settings = {CLEANUP: "true"} | ({BATCH: batch_bytes} if batch_bytes else {})
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
+        before = {key: self.spark.conf.get(key, None) for key in self.settings}
+        for key, value in self.settings.items():
+            self.spark.conf.set(key, value)
         try:
             return super().keep(df, name)
         finally:
-            self.spark.conf.set(CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

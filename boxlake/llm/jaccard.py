@@ -34,6 +34,8 @@ from boxlake.llm.common import Scratch, chunks, mix, text_of, word_hashes, words
 from boxlake.llm.graph import components
 
 WORDS = 5
+#: Texts that a Python worker gets at once; it holds several copies of them and their sets.
+BATCH_BYTES = "4m"
 #: Likeness as a fraction; links need ``TENTHS[1] * shared >= TENTHS[0] * together``.
 PART, WHOLE = 4, 5
 #: Groups of the tree's points, and of the finer counts that its pairs must pass too.
@@ -358,7 +360,7 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
 
 def similar(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
-    scratch = Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, batch_bytes=BATCH_BYTES)
     keys, labels = classes_and_links(docs, scratch)
     of = keys.select("s1", "s2", "node").distinct().join(labels, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("component"))
     of = of.filter("component is not null")

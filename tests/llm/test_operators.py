@@ -246,6 +246,16 @@ def test_clean_ignores_case(spark):
     assert sorted(r.doc_id for r in templates.clean(rows, benchmark).collect()) == [5, 7]
 
 
+def test_batches_are_bounded_by_size(spark):
+    """What a Python worker gets at once does not grow with the length of texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.range(0, 40, 1, 1).select(F.col("id"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sized = rows.mapInPandas(lambda batches: (p[["id"]].iloc[:1].assign(id=len(p)) for p in batches), "id long")
+    sizes = [r.id for r in Scratch(spark, batch_bytes=jaccard.BATCH_BYTES).keep(sized, "sizes").collect()]
+    assert sum(sizes) == 40 and max(sizes) <= 5 and spark.conf.get(key) == before
+
+
 def test_templates_are_made_once(spark):
     """What the steps behind the search read is a written table: none of them makes templates anew."""
     rows = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None)], "doc_id long, text string")
