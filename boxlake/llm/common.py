@@ -83,6 +83,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def packed_counts(hashes: np.ndarray, groups: int, bits: int) -> bytes:
+    """How many hashes have each value of their low bits, modulo ``2**bits``, packed into bytes."""
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups) % (1 << bits)
+    return (counts.reshape(-1, 8 // bits) << np.arange(0, 8, bits)).sum(1).astype(np.uint8).tobytes()
+
+
+def _steps_apart(bits: int) -> np.ndarray:
+    """Least steps, one up or down modulo ``2**bits`` each, between the counts in any two bytes."""
+    fields = (np.arange(256)[:, None] >> np.arange(0, 8, bits)) % (1 << bits)
+    up = (fields[:, None] - fields) % (1 << bits)
+    return np.minimum(up, (1 << bits) - up).sum(-1).astype(np.uint8).ravel()
+
+
+_STEPS_APART = {bits: _steps_apart(bits) for bits in (2, 4)}
+
+
+def least_apart(packed: np.ndarray, x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
+    """For rows ``x`` and ``y`` of packed counts, a number that the hashes in one set only reach.
+
+    Each such hash changes one count by one, so the bound is sure whatever the counts left out.
+    """
+    out = np.zeros(len(x), np.int64)
+    for a in range(0, len(x), 4096):
+        part = slice(a, a + 4096)
+        both = (packed[x[part]].astype(np.uint16) << 8) | packed[y[part]]
+        out[part] = _STEPS_APART[bits][both].sum(1, dtype=np.uint32)
+    return out
+
+
 class Rolling:
     """Hashes of byte ranges from one running sum, equal wherever equal bytes stand."""
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from boxlake.llm.common import Scratch, chunks, mix, text_of, word_hashes, words_of
+from boxlake.llm.common import Scratch, chunks, least_apart, mix, packed_counts, text_of, word_hashes, words_of
 from boxlake.llm.graph import components
 
 WORDS = 5
@@ -41,6 +41,10 @@ PART, WHOLE = 4, 5
 #: Groups of the tree's points, and of the finer counts that its pairs must pass too.
 GROUPS = 64
 FINE = 512
+#: Bits of each of the finer counts that come along to the places where sets meet.
+SHORT = 4
+#: Places of a class, the first ones, that tell whether a pair has met before.
+EARLY = 8
 HEAVY = 64
 LEAF = 32
 BLOCK = 2_000
@@ -107,13 +111,13 @@ def lists(docs: DataFrame) -> DataFrame:
                 n = len(tokens)
                 spare = min(n // 16 + 4, n - _needed_part(n)) if n else 0
                 fine = np.bincount((tokens & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
-                vec = np.minimum(fine.reshape(-1, GROUPS).sum(0), np.iinfo("u2").max).astype("<u2")
+                vec = np.minimum(fine.reshape(-1, GROUPS).sum(0), np.iinfo("u1").max).astype("u1")
                 fine = np.minimum(fine, np.iinfo("u1").max).astype("u1")
                 first = tokens[: _needed_part(n) + spare] if n else tokens
-                rows.append((ids[i], n, spare, vec.tobytes(), fine.tobytes(), first.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "spare", "vec", "fine", "tokens"])
+                rows.append((ids[i], n, spare, vec.tobytes(), fine.tobytes(), packed_counts(tokens, FINE, SHORT), first.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "n", "spare", "vec", "fine", "short", "tokens"])
 
-    return docs.mapInPandas(run, "node long, n long, spare long, vec binary, fine binary, tokens array<long>")
+    return docs.mapInPandas(run, "node long, n long, spare long, vec binary, fine binary, short binary, tokens array<long>")
 
 
 def reach_of(n: int) -> int:
@@ -196,49 +200,57 @@ class CountTree:
 
 
 def _survivors(rows: DataFrame) -> DataFrame:
-    """Pairs of different labels that meet at a place and survive the bound.
+    """Pairs of different labels that meet at a place and survive both bounds.
 
-    ``rows`` are sorted by place within partitions; a place may continue in the next batch.
+    ``rows`` are sorted by place within partitions; a place may continue in the next batch. A
+    pair that shares one of the first places of both classes is only told at the least of them.
     """
 
-    def small(group, vecs, sizes, labels, nodes) -> list[np.ndarray]:
+    def small(group, vecs, sizes, labels) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All pairs of groups that a block of the tree would hold, one distance at a time."""
-        found = []
         for d in range(1, len(group)):
             at = np.flatnonzero(group[d:] == group[:-d])
             if not len(at):
-                break
+                return
             x, y = at, at + d
             fits = (labels[x] != labels[y]) & (WHOLE * np.minimum(sizes[x], sizes[y]) >= PART * np.maximum(sizes[x], sizes[y]))
             x, y = x[fits], y[fits]
             fits = overlaps(vecs[x], vecs[y]) >= needed(sizes[x], sizes[y])
-            x, y = nodes[x[fits]], nodes[y[fits]]
-            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-        return found
+            yield x[fits], y[fits]
 
-    def large(vecs, sizes, labels, nodes, own, across) -> list[np.ndarray]:
-        tree, found = CountTree(vecs, sizes), []
+    def large(vecs, sizes, labels, own, across) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tree = CountTree(vecs, sizes)
         # Of two labels one is not the most frequent: the other points need no search of their own.
         names, times = np.unique(labels, return_counts=True)
         for i in np.flatnonzero(labels != names[times.argmax()]):
             hits = tree.near(vecs[i], sizes[i])
             # Of two blocks, pairs across only.
             hits = hits[(labels[hits] != labels[i]) & ((own[hits] != own[i]) | (not across))]
-            found.append(np.stack([np.minimum(nodes[hits], nodes[i]), np.maximum(nodes[hits], nodes[i])], 1))
-        return found
+            yield np.full(len(hits), i), hits
 
     def search(pdf: pd.DataFrame, cut: np.ndarray) -> pd.DataFrame:
-        vecs = np.frombuffer(b"".join(pdf["vec"]), "<u2").reshape(-1, GROUPS)
-        sizes, labels, nodes, own = (pdf[c].values for c in ("n", "label", "node", "own"))
+        vecs, short = (np.frombuffer(b"".join(pdf[c]), "u1").reshape(len(pdf), -1) for c in ("vec", "short"))
+        early = np.concatenate(pdf["early"].to_list()).reshape(-1, EARLY)
+        sizes, labels, nodes, own, places = (pdf[c].values for c in ("n", "label", "node", "own", "token"))
         across = (pdf["low"] != pdf["high"]).values
         lengths = np.diff(np.append(cut, len(pdf)))
         group = np.repeat(np.arange(len(cut)), lengths)
-        few = np.repeat(lengths <= 2 * LEAF, lengths) & ~across
-        found = small(group[few], vecs[few], sizes[few], labels[few], nodes[few])
-        for x, y in zip(cut, cut + lengths, strict=True):
-            if not few[x]:
-                found += large(vecs[x:y], sizes[x:y], labels[x:y], nodes[x:y], own[x:y], across[x])
-        return pd.DataFrame(np.concatenate([np.zeros((0, 2), np.int64), *found]), columns=["a", "b"])
+        few = np.flatnonzero(np.repeat(lengths <= 2 * LEAF, lengths) & ~across)
+        tries = [(few, small(group[few], vecs[few], sizes[few], labels[few]))]
+        for a, b in zip(cut, cut + lengths, strict=True):
+            if b - a > 2 * LEAF or across[a]:
+                tries.append((np.arange(a, b), large(vecs[a:b], sizes[a:b], labels[a:b], own[a:b], across[a])))
+        found = [np.zeros((0, 2), np.int64)]
+        for at, tried in tries:
+            for x, y in tried:
+                x, y = at[x], at[y]
+                fits = (PART + WHOLE) * least_apart(short, x, y, SHORT) <= (WHOLE - PART) * (sizes[x] + sizes[y])
+                x, y = x[fits], y[fits]
+                both = (early[x][:, :, None] == early[y][:, None, :]).any(2)
+                fits = ~both.any(1) | (np.where(both, early[x], np.iinfo(np.int64).max).min(1) == places[x])
+                x, y = nodes[x[fits]], nodes[y[fits]]
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -346,9 +358,13 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
         F.sum("k").alias("k"), F.count("*").alias("labels")
     ).filter("labels > 1").select("token", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A class with fewer places repeats its last one.
+    early = rows.groupBy("node").agg(F.sort_array(F.collect_set("token")).alias("early")).select(
+        "node", F.transform(F.sequence(F.lit(1), F.lit(EARLY)), lambda i: F.element_at("early", F.least(i, F.size("early")))).alias("early")
+    )
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(listed.select("node", "n", "vec"), "node").select(
-        "token", "node", "label", "n", "vec", "own", "other",
+    rows = rows.join(early, "node").join(listed.select("node", "n", "vec", "short"), "node").select(
+        "token", "node", "label", "n", "vec", "short", "early", "own",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")

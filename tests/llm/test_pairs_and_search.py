@@ -10,11 +10,12 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from boxlake.llm import alignment, minhash, sketches
-from boxlake.llm.common import Scratch
+from boxlake.llm import alignment, jaccard, minhash, sketches
+from boxlake.llm.common import Scratch, least_apart, packed_counts
 from tests.llm import brute
 from tests.llm.test_operators import ROWS, SCHEMA
 
@@ -139,6 +140,60 @@ def test_minhash_rows_without_or_with_shared_ids(spark, docs, empty):
     assert minhash.near_duplicates(empty, Scratch(spark)).count() == 0
 
 
+def test_pairs_that_cannot_link_are_dropped_where_they_meet(spark):
+    """Near copies of a likeness below the threshold: no pair of them is made, at however many places they meet."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(400)]
+    # Sets of 396 shingles of four words, or five; 90 go in each copy, so that two copies have likeness 0.63 at most.
+    texts = []
+    for i in range(40):
+        words, start = list(base), rng.randrange(5)
+        for k in range(18):
+            words[start + 22 * k] = f"new{i}x{k}"
+        texts.append(" ".join(words))
+    sets = [np.unique(minhash.shingles([t.encode()])[0]) for t in texts]
+    for x, y in ((0, 1), (2, 3)):
+        packed = np.stack([np.frombuffer(packed_counts(sets[k], minhash.GROUPS, minhash.SHORT), np.uint8) for k in (x, y)])
+        apart = len(np.setxor1d(sets[x], sets[y]))
+        assert 0.9 * apart <= least_apart(packed, np.array([0]), np.array([1]), minhash.SHORT)[0] <= apart
+    rows = [(1, i, i, len(sets[i]), bytes(minhash.HASHES), packed_counts(sets[i], minhash.GROUPS, minhash.SHORT), 0, 0, 0) for i in range(40)]
+    met = spark.createDataFrame(rows, "key long, node long, label long, n long, sig binary, counts binary, own int, low int, high int")
+    # Equal signatures leave every pair in; the counts alone tell that none can link.
+    met = met.withColumn("key", F.lit(0).cast("long")).coalesce(1)
+    assert minhash._compared(met).count() == 0
+    with np.errstate(over="ignore"):
+        fives = jaccard.shingle_sets([t.encode() for t in texts])
+    few = np.zeros(jaccard.GROUPS, np.uint8).tobytes()  # no bound by groups
+    rows = [(k, i, i, len(s), bytes([255]) * len(few), packed_counts(s, jaccard.FINE, jaccard.SHORT), list(range(8)), 0, 0, 0) for k in range(20) for i, s in enumerate(fives)]
+    schema = "token long, node long, label long, n long, vec binary, short binary, early array<long>, own int, low int, high int"
+    assert jaccard._survivors(spark.createDataFrame(rows, schema).coalesce(1)).count() == 0
+
+
+def test_a_pair_is_told_once(spark):
+    """Two equal sets meet at 30 places and are told at the first of them; without early places in common, at each."""
+    own = np.arange(500, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    vec, short = bytes([255]) * jaccard.GROUPS, packed_counts(own, jaccard.FINE, jaccard.SHORT)
+    schema = "token long, node long, label long, n long, vec binary, short binary, early array<long>, own int, low int, high int"
+    told = []
+    for early in ([list(range(8))] * 2, [list(range(8)), list(range(8, 16))]):
+        rows = [(t, node, node, 500, vec, short, early[node], 0, 0, 0) for t in range(30) for node in (0, 1)]
+        for parts in (1, 30):
+            frame = spark.createDataFrame(rows, schema).repartition(parts, "token").sortWithinPartitions("token")
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(type(frame), "distinct", lambda self: self)
+                told.append([tuple(r) for r in jaccard._survivors(frame).collect()])
+    assert told[0] == told[1] == [(0, 1)] and set(told[3]) == {(0, 1)} and len(told[3]) > 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, (1 << 64) - 1), unique=True), st.lists(st.integers(0, (1 << 64) - 1), unique=True), st.integers(0, 400), st.sampled_from([2, 4]))
+def test_counts_never_say_too_much(left, right, shared, bits):
+    both = [k * 0x9E3779B97F4A7C15 % (1 << 64) for k in range(shared)]
+    sets = [np.unique(np.array(both + own, np.uint64)) for own in (left, right)]
+    packed = np.stack([np.frombuffer(packed_counts(s, 64, bits), np.uint8) for s in sets])
+    assert least_apart(packed, np.array([0]), np.array([1]), bits)[0] <= len(np.setxor1d(*sets))
+
+
 def test_posterior_bounds():
     """Fewer matches than the bound give likeness 0.8 at most the chosen probability."""
     rng, c = np.random.default_rng(1), 0.8 + 0.2 / 256
