@@ -6,7 +6,9 @@ classes are candidates of each other: two sets of likeness 0.8 share none of the
 probability 3e-6. A pair of candidates is compared in batches that end at ``STEPS`` hashes: with a uniform
 prior on the chance of equal bytes, the posterior after m of n matches is a beta
 distribution, and the pair is dropped once it gives a likeness of 0.8 or more at most the
-probability ``MISS``. What survives all batches is verified on its whole sets.
+probability ``MISS``. Then the counts of their hashes by group, ``SHORT`` bits of each, show how
+many stand in one set only at least; for a link these are few. What survives is verified on its
+whole sets.
 
 Rounds of candidates join most of a group first: the member of a bucket that meets most
 others is its hub, and each class is compared with the hub of most of its buckets, one pair
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from boxlake.llm.common import Scratch, chunks, mix, text_of, word_hashes, words_of
+from boxlake.llm.common import Scratch, chunks, least_apart, mix, packed_counts, text_of, word_hashes, words_of
 from boxlake.llm.graph import components
 
 WORDS = 4
@@ -43,6 +45,8 @@ BANDS, ROWS = 32, 5
 STEPS = (BANDS * ROWS, 256, 384, 512)
 HASHES = STEPS[-1]
 MISS = 1e-6
+#: Groups of a set's hashes, and the bits that are kept of how many are in each.
+GROUPS, SHORT = 2048, 2
 BLOCK = 2_000
 ROUNDS = 1
 FEW = 48
@@ -126,10 +130,11 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, n long, s1 long, s2 long")
 
 
-def signatures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Size of each text's set, and ``HASHES`` bytes (that mean nothing for an empty one)."""
+def signatures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Size of each text's set, ``HASHES`` bytes (that mean nothing for an empty one), and counts by group."""
     full, cut = shingles(texts)
-    n = np.array([len(np.unique(full[a:b])) for a, b in zip(cut[:-1], cut[1:], strict=True)], np.int64)
+    sets = [np.unique(full[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    n = np.array([len(own) for own in sets], np.int64)
     some = np.flatnonzero(np.diff(cut))
     out = np.zeros((len(texts), HASHES), np.uint8)
     if len(some):
@@ -138,7 +143,7 @@ def signatures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             for k in range(HASHES):
                 least = np.minimum.reduceat(x * _FACTORS[k] + _SHIFTS[k], begin)
                 out[some, k] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
-    return n, out
+    return n, out, [packed_counts(own, GROUPS, SHORT) for own in sets]
 
 
 def band_keys(signed: np.ndarray) -> np.ndarray:
@@ -151,17 +156,18 @@ def band_keys(signed: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``node, n, sig, keys`` of every row that has words."""
+    """``node, n, sig, counts, keys`` of every row that has words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
             for a, b in chunks(texts):
-                n, found = signatures(texts[a:b])
-                out = pd.DataFrame({"node": pdf["doc_id"].values[a:b], "n": n, "sig": [row.tobytes() for row in found], "keys": list(band_keys(found))})
+                n, found, counts = signatures(texts[a:b])
+                sigs = [row.tobytes() for row in found]
+                out = pd.DataFrame({"node": pdf["doc_id"].values[a:b], "n": n, "sig": sigs, "counts": counts, "keys": list(band_keys(found))})
                 yield out[n > 0]
 
-    return docs.mapInPandas(run, "node long, n long, sig binary, keys array<long>")
+    return docs.mapInPandas(run, "node long, n long, sig binary, counts binary, keys array<long>")
 
 
 def survive(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -253,7 +259,7 @@ def _compared(rows: DataFrame) -> DataFrame:
             yield np.full(len(j), i), j
 
     def search(pdf: pd.DataFrame, cut: np.ndarray) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, HASHES)
+        sig, counts = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1) for c in ("sig", "counts"))
         n, labels, nodes, own, key = (pdf[c].values for c in ("n", "label", "node", "own", "key"))
         both, band = (pdf["low"] != pdf["high"]).values, key >> (8 * ROWS)
         lengths = np.diff(np.append(cut, len(pdf)))
@@ -268,6 +274,8 @@ def _compared(rows: DataFrame) -> DataFrame:
             for x, y in tried:
                 x, y = rows[x], rows[y]
                 keep = survive(sig[x], sig[y])
+                x, y = x[keep], y[keep]
+                keep = (100 + PERCENT) * least_apart(counts, x, y, SHORT) <= (100 - PERCENT) * (n[x] + n[y])
                 x, y = nodes[x[keep]], nodes[y[keep]]
                 found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
@@ -298,7 +306,7 @@ def classes_and_labels(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     first = scratch.keep(first, "classes")
     # Of rows that share an id, each has its own signature.
     listed = scratch.keep(signed(docs.join(first.select("node"), F.col("doc_id") == F.col("node"), "left_semi")), "signed")
-    marks = listed.select("node", "n", "sig").distinct()
+    marks = listed.select("node", "n", "sig", "counts").distinct()
 
     shown = listed.select("node", F.explode("keys").alias("key")).distinct()
     met = shown.join(shown.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1"), "key")
@@ -334,7 +342,7 @@ def classes_and_labels(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     rows = rows.join(size, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.join(marks, "node").select(
-        "key", "node", "label", "n", "sig", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+        "key", "node", "label", "n", "sig", "counts", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
     rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     pairs = scratch.keep(_compared(rows).distinct(), "pairs")
