@@ -73,6 +73,11 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def _signed(hashes: np.ndarray) -> np.ndarray:
+    """As signed numbers of the same order."""
+    return (hashes ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _each_set(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     texts = [t.encode() for t in pdf["text"]]
     for a, b in chunks(texts):
@@ -114,7 +119,7 @@ def lists(docs: DataFrame) -> DataFrame:
                 vec = np.minimum(fine.reshape(-1, GROUPS).sum(0), np.iinfo("u1").max).astype("u1")
                 fine = np.minimum(fine, np.iinfo("u1").max).astype("u1")
                 first = tokens[: _needed_part(n) + spare] if n else tokens
-                rows.append((ids[i], n, spare, vec.tobytes(), fine.tobytes(), packed_counts(tokens, FINE, SHORT), first.view(np.int64)))
+                rows.append((ids[i], n, spare, vec.tobytes(), fine.tobytes(), packed_counts(tokens, FINE, SHORT), _signed(first)))
             yield pd.DataFrame(rows, columns=["node", "n", "spare", "vec", "fine", "short", "tokens"])
 
     return docs.mapInPandas(run, "node long, n long, spare long, vec binary, fine binary, short binary, tokens array<long>")
@@ -136,7 +141,7 @@ def long_lists(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = pdf["doc_id"].values
-            rows = [(ids[i], tokens[: reach_of(len(tokens))].view(np.int64)) for i, tokens in _each_set(pdf)]
+            rows = [(ids[i], _signed(tokens[: reach_of(len(tokens))])) for i, tokens in _each_set(pdf)]
             yield pd.DataFrame(rows, columns=["node", "tokens"])
 
     return docs.mapInPandas(run, "node long, tokens array<long>")
@@ -199,22 +204,85 @@ class CountTree:
         return self.order[at[overlaps(self.vecs[at], vec) >= needed(size, sizes)]]
 
 
+def _whole_places(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows sorted by place, no place apart, and the starts of the places; a place may continue in the next batch."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        place = pdf[["token", "low", "high"]].values
+        cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(1)]))
+        rest = pdf.iloc[cut[-1] :]
+        if len(cut) > 1:
+            yield pdf.iloc[: cut[-1]], cut[:-1]
+    if rest is not None and len(rest):
+        yield rest, np.zeros(1, np.int64)
+
+
+def _by_place(rows: DataFrame) -> DataFrame:
+    return rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+
+
+def _few_and_many(pdf: pd.DataFrame, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Rows of places of one block that a leaf or two hold, their places' numbers, and the ranges of the others."""
+    across = (pdf["low"] != pdf["high"]).values
+    lengths = np.diff(np.append(cut, len(pdf)))
+    group = np.repeat(np.arange(len(cut)), lengths)
+    few = np.flatnonzero(np.repeat(lengths <= 2 * LEAF, lengths) & ~across)
+    many = (lengths > 2 * LEAF) | across[cut]
+    return few, group[few], list(zip(cut[many].tolist(), (cut + lengths)[many].tolist(), strict=True))
+
+
+def _in_places(group, sizes, labels, ranks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a place whose labels differ and whose sizes and ranks allow a link, one distance at a time."""
+    for d in range(1, len(group)):
+        at = np.flatnonzero(group[d:] == group[:-d])
+        if not len(at):
+            return
+        x, y = at, at + d
+        fits = (labels[x] != labels[y]) & (WHOLE * np.minimum(sizes[x], sizes[y]) >= PART * np.maximum(sizes[x], sizes[y]))
+        x, y = x[fits], y[fits]
+        fits = _room(sizes, ranks, x, y)
+        yield x[fits], y[fits]
+
+
+def _room(sizes: np.ndarray, ranks: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Is enough left from this place on, if it is the first in the order that both have?
+
+    A negative rank stands for any: its class has met by another order.
+    """
+    left = np.minimum(sizes[x] - ranks[x], sizes[y] - ranks[y])
+    return (np.minimum(ranks[x], ranks[y]) < 0) | (left >= needed(sizes[x], sizes[y]))
+
+
+def _with_partner(rows: DataFrame) -> DataFrame:
+    """Those of ``rows``, sorted by place, that sizes and ranks leave a partner; all of places with many rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, cut in _whole_places(batches):
+            few, group, many = _few_and_many(pdf, cut)
+            sizes, labels, ranks = (pdf[c].values[few] for c in ("n", "label", "rank"))
+            keep = np.zeros(len(pdf), bool)
+            for x, y in _in_places(group, sizes, labels, ranks):
+                keep[few[x]] = keep[few[y]] = True
+            for a, b in many:
+                keep[a:b] = True
+            yield pdf[keep]
+
+    return rows.mapInPandas(run, rows.schema)
+
+
 def _survivors(rows: DataFrame) -> DataFrame:
-    """Pairs of different labels that meet at a place and survive both bounds.
+    """Pairs of different labels that meet at a place and survive the bounds.
 
-    ``rows`` are sorted by place within partitions; a place may continue in the next batch. A
-    pair that shares one of the first places of both classes is only told at the least of them.
+    ``rows`` are sorted by place within partitions. A pair that shares one of the first places
+    of both classes is only told at the least of them.
     """
 
-    def small(group, vecs, sizes, labels) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs of groups that a block of the tree would hold, one distance at a time."""
-        for d in range(1, len(group)):
-            at = np.flatnonzero(group[d:] == group[:-d])
-            if not len(at):
-                return
-            x, y = at, at + d
-            fits = (labels[x] != labels[y]) & (WHOLE * np.minimum(sizes[x], sizes[y]) >= PART * np.maximum(sizes[x], sizes[y]))
-            x, y = x[fits], y[fits]
+    def small(group, vecs, sizes, labels, ranks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs of groups that a block of the tree would hold."""
+        for x, y in _in_places(group, sizes, labels, ranks):
             fits = overlaps(vecs[x], vecs[y]) >= needed(sizes[x], sizes[y])
             yield x[fits], y[fits]
 
@@ -232,18 +300,18 @@ def _survivors(rows: DataFrame) -> DataFrame:
         vecs, short = (np.frombuffer(b"".join(pdf[c]), "u1").reshape(len(pdf), -1) for c in ("vec", "short"))
         early = np.concatenate(pdf["early"].to_list()).reshape(-1, EARLY)
         sizes, labels, nodes, own, places = (pdf[c].values for c in ("n", "label", "node", "own", "token"))
-        across = (pdf["low"] != pdf["high"]).values
-        lengths = np.diff(np.append(cut, len(pdf)))
-        group = np.repeat(np.arange(len(cut)), lengths)
-        few = np.flatnonzero(np.repeat(lengths <= 2 * LEAF, lengths) & ~across)
-        tries = [(few, small(group[few], vecs[few], sizes[few], labels[few]))]
-        for a, b in zip(cut, cut + lengths, strict=True):
-            if b - a > 2 * LEAF or across[a]:
-                tries.append((np.arange(a, b), large(vecs[a:b], sizes[a:b], labels[a:b], own[a:b], across[a])))
+        ranks = pdf["rank"].values if "rank" in pdf else np.full(len(pdf), -1)
+        few, group, many = _few_and_many(pdf, cut)
+        tries = [(few, small(group, vecs[few], sizes[few], labels[few], ranks[few]))]
+        for a, b in many:
+            across = pdf["low"].iat[a] != pdf["high"].iat[a]
+            tries.append((np.arange(a, b), large(vecs[a:b], sizes[a:b], labels[a:b], own[a:b], across)))
         found = [np.zeros((0, 2), np.int64)]
         for at, tried in tries:
             for x, y in tried:
                 x, y = at[x], at[y]
+                fits = _room(sizes, ranks, x, y)
+                x, y = x[fits], y[fits]
                 fits = (PART + WHOLE) * least_apart(short, x, y, SHORT) <= (WHOLE - PART) * (sizes[x] + sizes[y])
                 x, y = x[fits], y[fits]
                 both = (early[x][:, :, None] == early[y][:, None, :]).any(2)
@@ -253,18 +321,8 @@ def _survivors(rows: DataFrame) -> DataFrame:
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            place = pdf[["token", "low", "high"]].values
-            cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(1)]))
-            rest = pdf.iloc[cut[-1] :]
-            if len(cut) > 1:
-                yield search(pdf.iloc[: cut[-1]], cut[:-1])
-        if rest is not None and len(rest):
-            yield search(rest, np.zeros(1, np.int64))
+        for pdf, cut in _whole_places(batches):
+            yield search(pdf, cut)
 
     return rows.mapInPandas(run, "a long, b long").distinct()
 
@@ -325,19 +383,23 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     keys = summed.join(first, ["s1", "s2"], "left")
 
     listed = scratch.keep(lists(docs).join(first.select("node").distinct(), "node", "left_semi"), "lists")
-    shown = listed.select("node", "spare", F.explode("tokens").alias("token"))
+    shown = listed.select("node", "spare", F.posexplode("tokens").alias("pos", "token"))
     busy = shown.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token", (F.col("k") >= HEAVY).alias("heavy"))
     shared = scratch.keep(shown.join(busy, "token"), "shared")
-    crowded = shared.filter("heavy").groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare")).filter("k > spare")
-    crowded = scratch.keep(crowded.select("node"), "crowded")
+    heavies = shared.filter("heavy").groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare"))
+    heavies = scratch.keep(heavies.select("node", "k", (F.col("k") > F.col("spare")).alias("crowded")), "heavies")
+    crowded = heavies.filter("crowded").select("node")
     longer = long_lists(docs.join(crowded, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text"))
     longer = scratch.keep(longer.select("node", F.explode("tokens").alias("token")), "longer")
     # What stands in a longer list may be in one list only, and is no less a place to meet.
     heavy = shared.filter("heavy").select("token").distinct()
-    late = shown.select("node", "token").join(longer.select("token").distinct(), "token", "left_semi")
-    late = late.join(crowded, "node", "left_anti").join(heavy, "token", "left_anti")
-    met = shared.filter("not heavy").join(crowded, "node", "left_anti").select("node", "token")
-    met = scratch.keep(met.unionByName(late.select("node", "token")).unionByName(longer).distinct(), "met")
+    late = shown.select("node", "token", "pos").join(longer.select("token").distinct(), "token", "left_semi")
+    late = late.join(heavy, "token", "left_anti")
+    met = shared.filter("not heavy").select("node", "token", "pos").unionByName(late).join(heavies, "node", "left")
+    # At least so many of a class stand before a place in the order, where heavy ones are last.
+    met = met.filter("crowded is null or not crowded").withColumn("rank", F.expr("greatest(pos - coalesce(k, 0), 0)").cast("int"))
+    met = met.select("node", "token", "rank").unionByName(longer.withColumn("rank", F.lit(-1)))
+    met = scratch.keep(met.groupBy("node", "token").agg(F.min("rank").alias("rank")), "met")
 
     labels, links, tried = None, None, None
     for _ in range(STAR_ROUNDS):
@@ -358,16 +420,17 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
         F.sum("k").alias("k"), F.count("*").alias("labels")
     ).filter("labels > 1").select("token", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.join(listed.select("node", "n"), "node").select(
+        "token", "node", "label", "n", "rank", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    )
+    # Counts are long: they come along only where sizes and ranks leave a partner.
+    rows = scratch.keep(_with_partner(_by_place(rows)), "rows")
     # A class with fewer places repeats its last one.
     early = rows.groupBy("node").agg(F.sort_array(F.collect_set("token")).alias("early")).select(
         "node", F.transform(F.sequence(F.lit(1), F.lit(EARLY)), lambda i: F.element_at("early", F.least(i, F.size("early")))).alias("early")
     )
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(early, "node").join(listed.select("node", "n", "vec", "short"), "node").select(
-        "token", "node", "label", "n", "vec", "short", "early", "own",
-        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-    )
-    rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    rows = _by_place(rows.join(early, "node").join(listed.select("node", "n", "vec", "short"), ["node", "n"]))
     pairs = scratch.keep(_bounded(_survivors(rows).join(tried, ["a", "b"], "left_anti"), listed), "pairs")
     new = scratch.keep(_linked(pairs, docs, scratch), "links")
     labels = scratch.keep(components(scratch, links.unionByName(new)), "labels")

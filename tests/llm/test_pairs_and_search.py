@@ -204,3 +204,26 @@ def test_posterior_bounds():
     left = rng.integers(0, 256, (20_000, minhash.HASHES), np.uint8)
     right = np.where(rng.random(left.shape) < 0.8, left, rng.integers(0, 256, left.shape, np.uint8)).astype(np.uint8)
     assert len(minhash.survive(left, right)) == len(left)
+
+
+def test_jaccard_rows_without_partner(spark, monkeypatch):
+    schema = "token long, node long, label long, n long, rank int, own int, low int, high int"
+    rows = [
+        (1, 1, 1, 100, 0, 0, 0, 0), (1, 2, 2, 81, 0, 0, 0, 0), (1, 3, 3, 60, 0, 0, 0, 0),  # 3 is too small
+        (2, 1, 1, 100, 11, 0, 0, 0), (2, 4, 4, 100, 12, 0, 0, 0), (2, 5, 5, 100, 11, 0, 0, 0),  # 89 are needed, 88 left
+        (3, 1, 1, 100, 15, 0, 0, 0), (3, 6, 6, 100, -1, 0, 0, 0),  # met by another order
+        (4, 1, 1, 100, 0, 0, 0, 0), (4, 7, 1, 100, 0, 0, 0, 0),  # one component
+        (5, 1, 1, 100, 50, 0, 0, 1), (5, 2, 2, 100, 50, 1, 0, 1),  # two blocks: all stay
+    ]
+    frame = spark.createDataFrame(rows, schema).coalesce(1).sortWithinPartitions("token", "low", "high")
+    kept = {(r.token, r.node) for r in jaccard._with_partner(frame).collect()}
+    assert kept == {(1, 1), (1, 2), (2, 1), (2, 5), (3, 1), (3, 6), (5, 1), (5, 2)}
+
+
+def test_jaccard_counts_only_where_partners_are(spark, monkeypatch):
+    """Texts that share a phrase, of sizes that allow no link, come to no place with their counts."""
+    texts = [" ".join(["a phrase of five words", *(f"w{i}x{j}" for j in range(8 << i))]) for i in range(8)]
+    seen, searched = [], jaccard._survivors
+    monkeypatch.setattr(jaccard, "_survivors", lambda rows: seen.append(rows.count()) or searched(rows))
+    got = jaccard.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert seen == [0] and all(r.component_id == r.doc_id for r in got)
