@@ -383,19 +383,20 @@ def classes_and_links(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Dat
     keys = summed.join(first, ["s1", "s2"], "left")
 
     listed = scratch.keep(lists(docs).join(first.select("node").distinct(), "node", "left_semi"), "lists")
-    shown = listed.select("node", "spare", F.posexplode("tokens").alias("pos", "token"))
+    shown = listed.select("node", F.posexplode("tokens").alias("pos", "token"))
     busy = shown.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token", (F.col("k") >= HEAVY).alias("heavy"))
-    shared = scratch.keep(shown.join(busy, "token"), "shared")
-    heavies = shared.filter("heavy").groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare"))
+    busy = scratch.keep(busy, "busy")
+    # Few, as each is listed so often: joined without moving the lists.
+    heavy = scratch.keep(busy.filter("heavy").select("token"), "heavy")
+    heavies = listed.select("node", "spare", F.explode("tokens").alias("token")).join(heavy, "token")
+    heavies = heavies.groupBy("node").agg(F.count("*").alias("k"), F.max("spare").alias("spare"))
     heavies = scratch.keep(heavies.select("node", "k", (F.col("k") > F.col("spare")).alias("crowded")), "heavies")
-    crowded = heavies.filter("crowded").select("node")
+    crowded = scratch.keep(heavies.filter("crowded").select("node"), "crowded")
     longer = long_lists(docs.join(crowded, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text"))
     longer = scratch.keep(longer.select("node", F.explode("tokens").alias("token")), "longer")
     # What stands in a longer list may be in one list only, and is no less a place to meet.
-    heavy = shared.filter("heavy").select("token").distinct()
-    late = shown.select("node", "token", "pos").join(longer.select("token").distinct(), "token", "left_semi")
-    late = late.join(heavy, "token", "left_anti")
-    met = shared.filter("not heavy").select("node", "token", "pos").unionByName(late).join(heavies, "node", "left")
+    places = busy.filter("not heavy").select("token").unionByName(longer.select("token").join(heavy, "token", "left_anti")).distinct()
+    met = shown.join(places, "token", "left_semi").join(heavies, "node", "left")
     # At least so many of a class stand before a place in the order, where heavy ones are last.
     met = met.filter("crowded is null or not crowded").withColumn("rank", F.expr("greatest(pos - coalesce(k, 0), 0)").cast("int"))
     met = met.select("node", "token", "rank").unionByName(longer.withColumn("rank", F.lit(-1)))
