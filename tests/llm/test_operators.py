@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -202,6 +203,32 @@ def test_repeated_strings_by_hash(spark, docs, monkeypatch):
     assert _seen(bwt.deduplicated(docs, Scratch(spark))) == want
 
 
+def test_contexts_of_many_anchors_and_repeated_anchors():
+    """A merge has more anchors than its symbols name, and anchors that stand twice in a string; as by plain comparison."""
+    rng = random.Random(5)
+    rows = []
+    for n in range(bwt.ANCHORS + 40):
+        piece = f"{n:024d}".encode()
+        for doc in rng.sample(range(9), 2):
+            left = "".join(rng.choices("ab", k=rng.choice([3, 20, 26]))) if n % 3 else "b" * 26
+            rows.append((n, rng.choice([left.encode(), piece + b"zz"]), piece, rng.choice([b"b" * 26, piece + b"bc", b"b" * 24 + b"cc", b"b" * 9]), doc))
+    contexts, lows = [a + k + b for _, a, k, b, _ in rows], np.array([len(r[1]) for r in rows])
+    docs = np.array([r[4] for r in rows])
+    kept = bwt.promising(contexts, lows)
+    pdf = pd.DataFrame({"h": [r[0] for r in rows], "c": range(len(rows)), "doc": docs, "low": lows, "context": contexts})
+    found = pd.concat(bwt.decided([pdf])).set_index("c")["bits"]
+    least: dict = {}
+    for n, (context, low) in enumerate(zip(contexts, lows)):
+        for j in range(len(context) - bwt.LENGTH + 1):
+            at = (rows[n][0], j - low, context[j : j + bwt.LENGTH])
+            least[at] = min(least.get(at, 99), docs[n])
+    for n, (context, low) in enumerate(zip(contexts, lows)):
+        want = sum(1 << int(j + bwt.REACH - low) for j in range(len(context) - bwt.LENGTH + 1)
+                   if least[rows[n][0], j - low, context[j : j + bwt.LENGTH]] < docs[n])
+        assert found.get(n, 0) == want and (kept[n] or not want)
+    assert kept.any() and (found > 0).any()
+
+
 def test_merged_transforms_are_ordered():
     rng = np.random.RandomState(2)
     shards = [np.concatenate([rng.randint(1, 4, (n, 20)), np.zeros((n, 1), int)], 1).astype(np.uint16) for n in (5, 1, 7)]
