@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +12,7 @@ from boxlake.sources.files import Working
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+READ = "spark.sql.parquet.columnarReaderBatchSize"
 # Text that one vectorised step holds at once; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 20
 SEPARATORS = np.zeros(256, bool)
@@ -24,12 +25,12 @@ class Scratch(Working):
     """Intermediate tables in the shared folder; a table's shuffle files go once it is written.
 
     With ``batch_bytes``, the batches that Python gets while a table is written are bounded by
-    size and not only by rows.
+    size and not only by rows. With ``read_rows``, so many rows of a file are columns at once.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, batch_bytes: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, batch_bytes: str | None = None, read_rows: int | None = None):
         super().__init__(spark, root)
-        self.settings = {CLEANUP: "true"} | ({BATCH: batch_bytes} if batch_bytes else {})
+        self.settings = {CLEANUP: "true"} | ({BATCH: batch_bytes} if batch_bytes else {}) | ({READ: str(read_rows)} if read_rows else {})
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         before = {key: self.spark.conf.get(key, None) for key in self.settings}
@@ -62,16 +63,22 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
     return F.coalesce(rest == part, F.lit(True))
 
 
+def spans(sizes: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of these sizes that have about ``limit`` together."""
+    start, end, total = 0, 0, 0
+    for size in sizes:
+        if end > start and total + size > limit:
+            yield start, end
+            start, total = end, 0
+        total += size + 1
+        end += 1
+    if start < end:
+        yield start, end
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes together."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(text) + 1
-    if start < len(texts):
-        yield start, len(texts)
+    return spans(map(len, texts), limit)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -20,12 +20,13 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from boxlake.llm.common import chunks, text_of
+from boxlake.llm.common import spans, text_of
 
 MARK = "▁"
 #: Segments that a task remembers at most; it starts anew when they are more.
@@ -260,20 +261,20 @@ def encoded(docs: DataFrame, model_file: str) -> DataFrame:
     with open(model_file, "rb") as file:
         blob = file.read()  # a bounded file; executors get its content, not its place
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(blob)
-        for pdf in batches:
-            texts, names = pdf["text"].tolist(), pdf["doc_id"]
-            for a, b in chunks(texts):
+        for batch in batches:
+            texts = batch.column(1)
+            # Only one chunk's texts are Python objects at a time.
+            for a, b in spans(pc.binary_length(texts).to_pylist()):
                 rows = []
-                for text in texts[a:b]:
+                for text in texts.slice(a, b - a).to_pylist():
                     normalised, origin = model.normalise(text)
                     ids = model.encode(normalised)
                     begins, ends = model.spans(ids, origin)
                     rows.append((ids.tobytes(), begins.astype("<u4").tobytes(), ends.astype("<u4").tobytes(), model.decode(ids)))
-                out = pd.DataFrame(rows, columns=["ids", "begins", "ends", "decoded"])
-                out.insert(0, "doc_id", names.iloc[a:b].values)
-                yield out
+                made = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), [pa.binary()] * 3 + [pa.string()], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *made], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(run, "doc_id long, ids binary, begins binary, ends binary, decoded string")
+    return rows.mapInArrow(run, "doc_id long, ids binary, begins binary, ends binary, decoded string")

@@ -14,9 +14,12 @@ as the only placeholders, and what either search finds has leaked.
 
 Both sides' windows are made once per search: the items' windows and the hits are written
 tables, since several of the following steps read them and templates cost most of the time.
+Hits are written where they are found and dealt out from there, so the tasks that make
+templates hold no pages of sorts and shuffles.
 
 The benchmark's windows are broadcast in blocks of a bounded number of rows, one join for
-each block, so documents are never shuffled for the search, whatever they share.
+each block, so documents are never shuffled for the search, whatever they share. ``clean``
+broadcasts the ids of what leaked if they are at most a block, and else hashes them.
 
 Null and empty texts, and texts or items of fewer than ``WIDTH`` tokens, have no windows and
 no leaks. Repeated items are items of their own. Identical rows count as one document and
@@ -37,6 +40,9 @@ WIDTH = 8
 MIN_COVER = 0.25
 #: Rows of a broadcast block: about 200 bytes each.
 BLOCK_ROWS = 200_000
+#: Texts that a task of the search reads at once: 4,096 as by default are arrays of 16 MB and
+#: more, for which a heap without so much room in one piece grows.
+READ_ROWS = 256
 UNITS = (
     "mm cm m km inch inches feet foot yard yards mile miles mg g kg ton tons ml l liter liters litre litres "
     "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
@@ -93,7 +99,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFram
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"), F.xxhash64("item_id", text_of()).alias("ik"))
     wanted = _windows(items.dropDuplicates(["ik"]), ["item_id", "ik"], names)
     wanted = wanted.select("item_id", "ik", F.col("at").alias("item_at"), "h", _slots("tokens", F.col("at")).alias("item_slots"))
-    scratch = Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, read_rows=READ_ROWS)
     wanted = scratch.keep(wanted, "item_windows")
     size = wanted.groupBy("ik").agg(F.count("*").alias("windows"))
     blocks = -(-wanted.count() // BLOCK_ROWS)
@@ -103,7 +109,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, names: bool = True) -> DataFram
         part = wanted.filter(F.pmod("h", F.lit(max(blocks, 1))) == b)
         hits = _windows(of, ["doc", "tk"], names).join(F.broadcast(part), "h")
         found.append(hits.select("doc", "tk", "item_id", "ik", "item_at", (F.col("at") - F.col("item_at")).alias("offset"), "item_slots", _slots("tokens", F.col("at")).alias("slots")))
-    hits = reduce(DataFrame.unionByName, found)
+    hits = scratch.keep(reduce(DataFrame.unionByName, found), "found")
 
     offset = ["doc", "tk", "item_id", "ik", "offset"]
     # Identical rows are one document; with a fixed offset a window of the item stands once.
@@ -152,7 +158,10 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no item leaked into, with names or without case, as they are."""
-    found = either(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
+    found = either(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).distinct()
+    found = Scratch(docs.sparkSession).keep(found, "leaked")
+    # Whole documents are not sorted to meet these few ids, and only moved if the ids pass a block.
+    found = F.broadcast(found) if found.count() <= BLOCK_ROWS else found.hint("shuffle_hash")
     doc, tk = _order()
     marked = docs.withColumn("__d", doc).withColumn("__t", tk)
     return marked.join(found, F.col("__d").eqNullSafe(F.col("__doc")) & (F.col("__t") == F.col("__tk")), "left_anti").drop("__d", "__t")

@@ -17,7 +17,8 @@ from sentencepiece import sentencepiece_model_pb2
 import corpus_pipeline
 import public_tokenizers
 from boxlake.llm import bwt, ctw, jaccard, line_runs, pieces, pii, quality, syncmers, templates, url_lists
-from boxlake.llm.common import Scratch
+from boxlake.llm.common import Scratch, chunks, spans
+from boxlake.sources.files import Working
 from tests.llm import brute
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -442,3 +443,47 @@ def test_contract_held_out(spark):
     for r in rows:
         rest = zlib.crc32(str(r.id).encode())
         assert (r.a, r.b) == (rest % 5 == 0, rest % 7 == 2)
+
+
+LEAKED = "Ann had 12 apples and gave 5 of them to her brother before the long walk home with the others"
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_templates_neither_sort_nor_shuffle_beside_the_search(spark, monkeypatch):
+    """What reads texts is a task without sorts and exchanges that reads few rows at once; few ids that leaked move no documents."""
+    texts = [(1, f"first {LEAKED} and on"), (1, f"first {LEAKED} and on"), (1, "nothing of it"), (2, None), (None, LEAKED), (None, "clean")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(5, LEAKED), (5, LEAKED), (6, None)], "item_id long, text string")
+    plans, keep = {}, Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: (plans.setdefault(name, []).append(_plan(df)), keep(self, df, name))[1])
+    for most, moved in ((200_000, False), (1, True)):
+        monkeypatch.setattr(templates, "BLOCK_ROWS", most)
+        plans.clear()
+        clean = templates.clean(rows, benchmark)
+        assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == [(0, "clean"), (1, "nothing of it"), (2, "")]
+        assert len(plans["found"]) == 2 and not any("Sort" in p or "Exchange hashpartitioning" in p for p in plans["found"])
+        joined = _plan(clean)
+        assert "Sort" not in joined and ("Exchange hashpartitioning" in joined) == moved
+
+
+def test_rows_read_at_once_are_bounded(spark, monkeypatch):
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    before, write = spark.conf.get(key), Working.keep
+    monkeypatch.setattr(Working, "keep", lambda self, df, name: (seen.append((name, spark.conf.get(key))), write(self, df, name))[1])
+    rows = spark.createDataFrame([(1, LEAKED)], "doc_id long, text string")
+    templates.leaks(rows, rows.withColumnRenamed("doc_id", "item_id"))
+    assert {r for n, r in seen if n == "found"} == {str(templates.READ_ROWS)} and spark.conf.get(key) == before
+
+
+def test_pieces_of_many_chunks(spark):
+    """Texts become Python objects a chunk at a time; every row comes back, long texts and empty ones too."""
+    texts = [None, "", "né 🙂 " * 90_000, "x", *[f"row {i} " * 40_000 for i in range(6)], "end"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = pieces.encoded(rows, MODEL)
+    assert "MapInArrow" in _plan(found)
+    assert {r.doc_id: r.decoded for r in found.collect()} == {i: t or "" for i, t in enumerate(texts)}
+    sizes = [len(t or "") for t in texts]
+    assert list(spans(sizes, 300_000)) == list(chunks([t or "" for t in texts], 300_000)) and list(spans([])) == []
